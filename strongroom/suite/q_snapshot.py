@@ -1 +1,142 @@
-"""placeholder"""
+"""Snapshot queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strongroom.operators.specs import SNAPSHOT_DTS
+from strongroom.plans.snapshot import build_bridge, build_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
+from strongroom.sources.io import cut_lineage
+from strongroom.suite import model
+from strongroom.suite import sqlbits as S
+from strongroom.suite.q_satellite import SAT_STATE_SQL, SAT_VALUE_SQL, ST_DETAILS
+from strongroom.suite.q_vault import LNK_ORDER_ITEM_SQL
+from strongroom.suite.registry import register
+
+HUB_USER_SQL = S.hub_sql(S.STG_USER_EVENTS, "USER_HK", "USER_ID")
+END = "2024-01-31 00:00:00"
+SPINE_SQL = f"""SELECT unnest(generate_series(CAST((SELECT min(LOAD_DTS) FROM ({HUB_USER_SQL})) AS DATE)::TIMESTAMP,
+    TIMESTAMP '{END}', INTERVAL 1 DAY)) AS SNAPSHOT_DTS"""
+
+
+def user_spine(spark, d):
+    return spine_from_hub(model.hub_user(spark, d), END, "1 day")
+
+
+@register("spine", SPINE_SQL)
+def q_spine(spark, d):
+    hub = model.hub_user(spark, d)
+    return spine_frame(hub, user_spine(spark, d))
+
+
+PIT_USER_SQL = f"""WITH h AS ({HUB_USER_SQL}), a AS ({SAT_STATE_SQL}), b AS ({SAT_VALUE_SQL}), d AS ({SPINE_SQL})
+SELECT d.SNAPSHOT_DTS, h.USER_HK,
+    (SELECT max(a.LOAD_DTS) FROM a WHERE a.USER_HK = h.USER_HK AND a.LOAD_DTS <= d.SNAPSHOT_DTS) AS SAT_STATE_LOAD_DTS,
+    (SELECT max(b.LOAD_DTS) FROM b WHERE b.USER_HK = h.USER_HK AND b.LOAD_DTS <= d.SNAPSHOT_DTS) AS SAT_VALUE_LOAD_DTS,
+    'SYSGEN' AS REC_SRC
+FROM h CROSS JOIN d"""
+
+
+def pit_user(spark, d, spine=None, since=None):
+    sats = {"SAT_STATE_LOAD_DTS": model.sat_user_state(spark, d), "SAT_VALUE_LOAD_DTS": model.sat_user_value(spark, d)}
+    return build_pit(model.hub_user(spark, d), "USER_HK", sats, spine or user_spine(spark, d), since=since)
+
+
+@register("pit_user", PIT_USER_SQL)
+def q_pit_user(spark, d):
+    return pit_user(spark, d)
+
+
+# The stored PIT holds snapshots up to Jan 15; the incremental build adds
+# only later snapshots (watermark = stored maximum), seeded by older versions.
+@register("pit_incremental", PIT_USER_SQL)
+def q_pit_incremental(spark, d):
+    first = user_spine(spark, d)
+    from strongroom.plans.snapshot import Spine
+
+    stored = cut_lineage(pit_user(spark, d, Spine(first.start, F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), "1 day")))
+    watermark = stored.select(F.max(SNAPSHOT_DTS)).scalar()
+    return stored.unionByName(pit_user(spark, d, first, since=watermark))
+
+
+# PIT on a link, yearly snapshots.
+LINK_SPINE = ("1996-01-01 00:00:00", "2002-01-01 00:00:00", "1 year")
+
+
+@register(
+    "pit_link",
+    f"""WITH l AS ({LNK_ORDER_ITEM_SQL}), s AS ({S.timeline_sql(ST_DETAILS, 'ORDER_ITEM_HK, LINE_SSQN')}),
+    d AS (SELECT unnest(generate_series(TIMESTAMP '{LINK_SPINE[0]}', TIMESTAMP '{LINK_SPINE[1]}', INTERVAL 1 YEAR)) AS SNAPSHOT_DTS)
+    SELECT d.SNAPSHOT_DTS, l.ORDER_ITEM_HK,
+        (SELECT max(s.LOAD_DTS) FROM s WHERE s.ORDER_ITEM_HK = l.ORDER_ITEM_HK AND s.LOAD_DTS <= d.SNAPSHOT_DTS) AS SAT_DETAILS_LOAD_DTS,
+        'SYSGEN' AS REC_SRC
+    FROM l CROSS JOIN d""",
+)
+def q_pit_link(spark, d):
+    spine = fixed_spine(*LINK_SPINE)
+    sats = {"SAT_DETAILS_LOAD_DTS": model.sat_order_item_details(spark, d)}
+    return build_pit(model.lnk_order_item(spark, d), "ORDER_ITEM_HK", sats, spine)
+
+
+# P5: equi-join read at one snapshot (inner, the literal query).
+READ_AT = "2024-01-20 00:00:00"
+
+
+@register(
+    "pit_read",
+    f"""WITH p AS ({PIT_USER_SQL}), a AS ({SAT_STATE_SQL}), b AS ({SAT_VALUE_SQL})
+    SELECT p.SNAPSHOT_DTS, p.USER_HK, p.SAT_STATE_LOAD_DTS, p.SAT_VALUE_LOAD_DTS, a.EVENT_TYPE, b.VALUE
+    FROM p JOIN a ON a.USER_HK = p.USER_HK AND a.LOAD_DTS = p.SAT_STATE_LOAD_DTS
+           JOIN b ON b.USER_HK = p.USER_HK AND b.LOAD_DTS = p.SAT_VALUE_LOAD_DTS
+    WHERE p.SNAPSHOT_DTS = TIMESTAMP '{READ_AT}'""",
+)
+def q_pit_read(spark, d):
+    sats = {
+        "SAT_STATE_LOAD_DTS": (model.sat_user_state(spark, d), ["EVENT_TYPE"]),
+        "SAT_VALUE_LOAD_DTS": (model.sat_user_value(spark, d), ["VALUE"]),
+    }
+    return pit_read(pit_user(spark, d), "USER_HK", sats, READ_AT, how="inner")
+
+
+# M4: user dimension at one snapshot through the PIT; keys without a
+# version keep NULL attributes.
+DIM_AT = "2024-01-10 00:00:00"
+
+
+@register(
+    "dim_at",
+    f"""WITH p AS ({PIT_USER_SQL}), a AS ({SAT_STATE_SQL}), b AS ({SAT_VALUE_SQL}), h AS ({HUB_USER_SQL})
+    SELECT p.SNAPSHOT_DTS, p.USER_HK AS USER_KEY, h.USER_ID, a.EVENT_TYPE, b.VALUE
+    FROM p JOIN h ON h.USER_HK = p.USER_HK
+    LEFT JOIN a ON a.USER_HK = p.USER_HK AND a.LOAD_DTS = p.SAT_STATE_LOAD_DTS
+    LEFT JOIN b ON b.USER_HK = p.USER_HK AND b.LOAD_DTS = p.SAT_VALUE_LOAD_DTS
+    WHERE p.SNAPSHOT_DTS = TIMESTAMP '{DIM_AT}'""",
+)
+def q_dim_at(spark, d):
+    sats = {
+        "SAT_STATE_LOAD_DTS": (model.sat_user_state(spark, d), ["EVENT_TYPE"]),
+        "SAT_VALUE_LOAD_DTS": (model.sat_user_value(spark, d), ["VALUE"]),
+    }
+    r = pit_read(pit_user(spark, d), "USER_HK", sats, DIM_AT, how="left")
+    hub = model.hub_user(spark, d).select("USER_HK", "USER_ID")
+    return r.join(hub, "USER_HK").select(SNAPSHOT_DTS, F.col("USER_HK").alias("USER_KEY"), "USER_ID", "EVENT_TYPE", "VALUE")
+
+
+# Bridge of order lines and payment methods per yearly snapshot.
+@register(
+    "bridge_sales",
+    f"""WITH l AS ({LNK_ORDER_ITEM_SQL}),
+    p AS ({S.link_sql(S.STG_PAYMENTS, 'ORDER_PAYMENT_HK', [('ORDER_HK', 'ORDER_NUMBER'), ('PAYMENT_METHOD_HK', 'PAYMENT_METHOD_CODE')])}),
+    d AS (SELECT unnest(generate_series(TIMESTAMP '{LINK_SPINE[0]}', TIMESTAMP '{LINK_SPINE[1]}', INTERVAL 1 YEAR)) AS SNAPSHOT_DTS)
+    SELECT l.ORDER_ITEM_HK, l.ORDER_HK, l.PRODUCT_HK, l.CUSTOMER_HK, d.SNAPSHOT_DTS, p.PAYMENT_METHOD_HK
+    FROM l JOIN d ON l.LOAD_DTS <= d.SNAPSHOT_DTS
+    LEFT JOIN p ON p.ORDER_HK = l.ORDER_HK AND p.LOAD_DTS <= d.SNAPSHOT_DTS""",
+)
+def q_bridge_sales(spark, d):
+    spine = fixed_spine(*LINK_SPINE)
+    return build_bridge(
+        model.lnk_order_item(spark, d),
+        ["ORDER_ITEM_HK", "ORDER_HK", "PRODUCT_HK", "CUSTOMER_HK"],
+        [(model.lnk_order_payment(spark, d), "ORDER_HK", ["PAYMENT_METHOD_HK"])],
+        spine,
+    )
