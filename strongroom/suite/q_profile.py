@@ -1 +1,307 @@
-"""placeholder"""
+"""Profiling queries (Q1.1-Q12.1, QV) over the test tables; each oracle is
+the toolkit statement itself in DuckDB dialect."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strongroom.operators import profiling as P
+from strongroom.sources import feeds
+from strongroom.sources.io import row_count_meta
+from strongroom.suite.registry import register
+
+AS_OF_FRESH = "2002-01-01"
+AS_OF_DATES = "2000-01-01 00:00:00"
+
+
+def t(spark, d, name):
+    return feeds.table(spark, d, name)
+
+
+@register("profile_row_count", "SELECT count(*) AS total_rows FROM lineitem")
+def q_row_count(spark, d):
+    return P.row_count(t(spark, d, "lineitem"))
+
+
+@register("profile_row_count_meta", "SELECT count(*) AS approx_rows FROM lineitem")
+def q_row_count_meta(spark, d):
+    return row_count_meta(spark, f"{d.rstrip('/')}/lineitem.parquet")
+
+
+@register(
+    "profile_freshness",
+    f"""SELECT min(o_orderdate) AS earliest, max(o_orderdate) AS latest,
+        date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '{AS_OF_FRESH}') AS days_since_last_record FROM orders""",
+)
+def q_freshness(spark, d):
+    out = P.freshness(t(spark, d, "orders"), "o_orderdate", AS_OF_FRESH)
+    return out.withColumn("days_since_last_record", F.col("days_since_last_record").cast("bigint"))
+
+
+@register(
+    "profile_key_uniqueness",
+    """SELECT count(*) AS total_rows, count(DISTINCT l_orderkey) AS distinct_keys,
+        count(*) - count(DISTINCT l_orderkey) AS duplicate_rows FROM lineitem""",
+)
+def q_key_uniqueness(spark, d):
+    return P.key_uniqueness(t(spark, d, "lineitem"), "l_orderkey")
+
+
+@register(
+    "profile_duplicate_keys",
+    "SELECT o_custkey, count(*) AS occurrences FROM orders GROUP BY o_custkey HAVING count(*) > 1",
+)
+def q_duplicate_keys(spark, d):
+    return P.duplicate_keys(t(spark, d, "orders"), "o_custkey")
+
+
+@register(
+    "profile_composite_duplicates",
+    "SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+)
+def q_composite_duplicates(spark, d):
+    return P.duplicate_keys(t(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@register(
+    "profile_fan_out",
+    """SELECT occurrences, count(*) AS keys_with_this_many FROM (
+        SELECT l_orderkey, count(*) AS occurrences FROM lineitem GROUP BY l_orderkey) GROUP BY occurrences""",
+)
+def q_fan_out(spark, d):
+    return P.fan_out(t(spark, d, "lineitem"), "l_orderkey")
+
+
+@register(
+    "profile_nulls",
+    """SELECT count(*) AS total_rows, count(l.quality) AS populated, count(*) - count(l.quality) AS nulls,
+        CAST(100.0 * (count(*) - count(l.quality)) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS null_pct
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+)
+def q_nulls(spark, d):
+    docs = t(spark, d, "documents").select("doc_id")
+    lab = t(spark, d, "labels").select("doc_id", "quality")
+    return P.null_profile(docs.join(lab, "doc_id", "left"), "quality")
+
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@register(
+    "profile_columns",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS total_rows, count({c}) AS populated, count(*) - count({c}) AS nulls,
+            CAST(100.0 * (count(*) - count({c})) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS null_pct,
+            count(DISTINCT {c}) AS distinct_vals FROM customer"""
+        for c in CUSTOMER_COLS
+    ),
+)
+def q_profile_columns(spark, d):
+    return P.profile_columns(t(spark, d, "customer"), exact=True)
+
+
+# Approximate variant (HyperLogLog): rows-only check, no oracle.
+@register("profile_columns_approx")
+def q_profile_columns_approx(spark, d):
+    return P.profile_columns(t(spark, d, "lineitem"), exact=False)
+
+
+@register(
+    "profile_cardinality",
+    """SELECT count(DISTINCT o_orderpriority) AS distinct_vals, count(*) AS total_rows,
+        CAST(100.0 * count(DISTINCT o_orderpriority) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS distinct_pct,
+        CASE WHEN count(DISTINCT o_orderpriority) = count(*) THEN 'KEY'
+             WHEN count(DISTINCT o_orderpriority) < 20 THEN 'CATEGORY' ELSE 'ATTRIBUTE' END AS verdict
+    FROM orders""",
+)
+def q_cardinality(spark, d):
+    return P.cardinality(t(spark, d, "orders"), "o_orderpriority")
+
+
+@register(
+    "profile_top_values",
+    """SELECT coalesce(substr(CAST(l_partkey AS VARCHAR), 1, 100), '(NULL)') AS value, count(*) AS occurrences,
+        CAST(100.0 * count(*) / (SELECT count(*) FROM lineitem) AS DECIMAL(5,2)) AS pct
+    FROM lineitem GROUP BY l_partkey ORDER BY occurrences DESC, value ASC LIMIT 30""",
+)
+def q_top_values(spark, d):
+    return P.top_values(t(spark, d, "lineitem"), "l_partkey", 30)
+
+
+@register(
+    "profile_blanks",
+    """SELECT count_if(text IS NULL) AS is_null, count_if(trim(text) = '') AS is_blank,
+        count_if(text IS NOT NULL AND trim(text) <> '') AS is_populated FROM documents""",
+)
+def q_blanks(spark, d):
+    return P.blank_profile(t(spark, d, "documents"), "text")
+
+
+@register(
+    "profile_numeric",
+    """SELECT min(c_acctbal) AS min_val, max(c_acctbal) AS max_val, round(avg(c_acctbal), 4) AS avg_val,
+        round(stddev_samp(c_acctbal), 4) AS std_dev, count_if(c_acctbal < 0) AS negatives,
+        count_if(c_acctbal = 0) AS zeros, count_if(c_acctbal IS NULL) AS nulls FROM customer""",
+)
+def q_numeric(spark, d):
+    return P.numeric_profile(t(spark, d, "customer"), "c_acctbal")
+
+
+@register(
+    "profile_outliers",
+    """WITH s AS (SELECT avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS sd FROM lineitem)
+    SELECT count(*) AS outlier_rows FROM lineitem, s
+    WHERE l_extendedprice > s.m + 3 * s.sd OR l_extendedprice < s.m - 3 * s.sd""",
+)
+def q_outliers(spark, d):
+    return P.outliers(t(spark, d, "lineitem"), "l_extendedprice", 3.0)
+
+
+@register(
+    "profile_dates",
+    f"""SELECT min(o_orderdate) AS earliest, max(o_orderdate) AS latest, count_if(o_orderdate IS NULL) AS null_dates,
+        count_if(o_orderdate > TIMESTAMP '{AS_OF_DATES}') AS future_dates,
+        count_if(CAST(o_orderdate AS DATE) IN (DATE '1900-01-01', DATE '9999-12-31')) AS sentinel_dates FROM orders""",
+)
+def q_dates(spark, d):
+    return P.date_profile(t(spark, d, "orders"), "o_orderdate", AS_OF_DATES)
+
+
+@register(
+    "profile_monthly",
+    """SELECT CAST(year(ts) AS INTEGER) AS yr, CAST(month(ts) AS INTEGER) AS mth, count(*) AS rows
+    FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+)
+def q_monthly(spark, d):
+    return P.monthly_volume(t(spark, d, "events"), "ts")
+
+
+@register(
+    "profile_lengths",
+    """SELECT CAST(min(length(text)) AS INTEGER) AS min_len, CAST(max(length(text)) AS INTEGER) AS max_len,
+        round(avg(length(text)), 4) AS avg_len FROM documents WHERE text IS NOT NULL""",
+)
+def q_lengths(spark, d):
+    return P.length_profile(t(spark, d, "documents"), "text")
+
+
+@register(
+    "profile_whitespace",
+    "SELECT count(*) AS rows_with_stray_whitespace FROM documents WHERE text <> trim(text)",
+)
+def q_whitespace(spark, d):
+    return P.whitespace(t(spark, d, "documents"), "text")
+
+
+@register(
+    "profile_casing",
+    "SELECT count(DISTINCT p_name) AS distinct_raw, count(DISTINCT upper(trim(p_name))) AS distinct_normalised FROM part",
+)
+def q_casing(spark, d):
+    return P.casing(t(spark, d, "part"), "p_name")
+
+
+@register(
+    "profile_orphans",
+    """SELECT count(*) AS orphan_rows FROM documents c LEFT JOIN labels p ON p.doc_id = c.doc_id
+    WHERE p.doc_id IS NULL AND c.doc_id IS NOT NULL""",
+)
+def q_orphans(spark, d):
+    return P.orphans(t(spark, d, "documents"), t(spark, d, "labels"), "doc_id")
+
+
+@register(
+    "profile_contradictions",
+    """WITH c AS (SELECT l_orderkey, max(l_shipdate) AS closure_date FROM lineitem GROUP BY 1),
+    o AS (SELECT o.*, c.closure_date FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey)
+    SELECT 'OPEN_WITH_CLOSURE' AS rule, count_if(o_orderstatus = 'O' AND closure_date IS NOT NULL) AS violations FROM o
+    UNION ALL SELECT 'END_BEFORE_START', count_if(closure_date < o_orderdate) FROM o""",
+)
+def q_contradictions(spark, d):
+    c = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closure_date"))
+    o = t(spark, d, "orders").join(c, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return P.contradictions(
+        o,
+        {
+            "OPEN_WITH_CLOSURE": "o_orderstatus = 'O' AND closure_date IS NOT NULL",
+            "END_BEFORE_START": "closure_date < o_orderdate",
+        },
+    )
+
+
+@register(
+    "profile_exclusive_flags",
+    "SELECT 'QUALITY_AND_TOXIC' AS rule, count_if(quality = 1 AND toxic = 1) AS violations FROM labels",
+)
+def q_exclusive_flags(spark, d):
+    return P.contradictions(t(spark, d, "labels"), {"QUALITY_AND_TOXIC": "quality = 1 AND toxic = 1"})
+
+
+@register(
+    "profile_reconcile_counts",
+    """SELECT 'orders' AS source, count(*) AS rows FROM orders
+    UNION ALL SELECT 'lineitem_orders', count(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem)""",
+)
+def q_reconcile_counts(spark, d):
+    lo = t(spark, d, "lineitem").select("l_orderkey").distinct()
+    return P.reconcile_counts(t(spark, d, "orders"), lo, "orders", "lineitem_orders")
+
+
+@register(
+    "profile_reconcile_keys",
+    """SELECT key, 'A_NOT_B' AS side FROM (SELECT o_orderkey AS key FROM orders EXCEPT SELECT l_orderkey FROM lineitem)
+    UNION ALL SELECT key, 'B_NOT_A' FROM (SELECT l_orderkey AS key FROM lineitem EXCEPT SELECT o_orderkey FROM orders)""",
+)
+def q_reconcile_keys(spark, d):
+    return P.reconcile_keys(t(spark, d, "orders"), t(spark, d, "lineitem"), "o_orderkey", "l_orderkey")
+
+
+@register(
+    "profile_dictionary",
+    "SELECT o_orderpriority AS value, count(*) AS rows FROM orders GROUP BY o_orderpriority",
+)
+def q_dictionary(spark, d):
+    return P.dictionary(t(spark, d, "orders"), "o_orderpriority")
+
+
+# QV: findings of several checks against recorded expectations.
+EXPECTATIONS = [
+    ("orders.o_orderkey", "duplicate_rows", "=", 0),
+    ("lineitem.l_orderkey+l_linenumber", "duplicate_keys", "=", 0),
+    ("lineitem->orders", "orphan_rows", "=", 0),
+    ("documents->labels", "orphan_rows", "=", 0),
+    ("events->customer", "orphan_rows", "=", 0),
+]
+
+
+@register(
+    "profile_verdicts",
+    """WITH f AS (
+        SELECT 'orders.o_orderkey' AS "check", 'duplicate_rows' AS metric, count(*) - count(DISTINCT o_orderkey) AS value FROM orders
+        UNION ALL SELECT 'lineitem.l_orderkey+l_linenumber', 'duplicate_keys', count(*) FROM
+            (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+        UNION ALL SELECT 'lineitem->orders', 'orphan_rows', count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+        UNION ALL SELECT 'documents->labels', 'orphan_rows', count(*) FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)),
+    e AS (SELECT * FROM (VALUES ('orders.o_orderkey', 'duplicate_rows', '=', 0), ('lineitem.l_orderkey+l_linenumber', 'duplicate_keys', '=', 0),
+            ('lineitem->orders', 'orphan_rows', '=', 0), ('documents->labels', 'orphan_rows', '=', 0), ('events->customer', 'orphan_rows', '=', 0))
+          AS v("check", metric, op, expected))
+    SELECT e."check", e.metric, e.op, CAST(e.expected AS BIGINT) AS expected, CAST(f.value AS BIGINT) AS value,
+        CASE WHEN f.value IS NULL THEN 'ASSUMED' WHEN f.value = e.expected THEN 'CONFIRMED' ELSE 'VIOLATED' END AS verdict
+    FROM e LEFT JOIN f ON f."check" = e."check" AND f.metric = e.metric""",
+)
+def q_verdicts(spark, d):
+    orders = t(spark, d, "orders")
+    li = t(spark, d, "lineitem")
+    docs = t(spark, d, "documents")
+    labels = t(spark, d, "labels")
+
+    def finding(check, metric, df, col):
+        return df.select(F.lit(check).alias("check"), F.lit(metric).alias("metric"), F.col(col).cast("bigint").alias("value"))
+
+    f = finding("orders.o_orderkey", "duplicate_rows", P.key_uniqueness(orders, "o_orderkey"), "duplicate_rows")
+    dup = P.duplicate_keys(li, "l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+    f = f.unionByName(finding("lineitem.l_orderkey+l_linenumber", "duplicate_keys", dup, "n"))
+    f = f.unionByName(finding("lineitem->orders", "orphan_rows", P.orphans(li, orders, "l_orderkey", "o_orderkey"), "orphan_rows"))
+    f = f.unionByName(finding("documents->labels", "orphan_rows", P.orphans(docs, labels, "doc_id"), "orphan_rows"))
+    exp = spark.createDataFrame(EXPECTATIONS, "check string, metric string, op string, expected bigint")
+    return P.verdicts(f, exp)
