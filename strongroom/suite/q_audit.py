@@ -1 +1,207 @@
-"""placeholder"""
+"""Audit queries (A1-A12).  Each audit runs on a table broken on purpose in
+a realistic way (a wrong recipe, the literal DISTINCT load, a load-order
+slip), so the violating rows are real; a healthy vault returns none."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strongroom.operators import audit as A
+from strongroom.operators.hub import load_hub, load_hub_literal
+from strongroom.operators.link import load_link, load_link_literal
+from strongroom.operators.satellite import load_sat
+from strongroom.operators.specs import HubSpec
+from strongroom.sources import feeds
+from strongroom.suite import model
+from strongroom.suite import sqlbits as S
+from strongroom.suite.q_satellite import ST_STATE
+from strongroom.suite.registry import register
+
+# A1: the customer hub loaded by two jobs, one of them hashing with MD5.
+@register(
+    "audit_one_to_one",
+    f"""WITH h AS (
+        SELECT {S.hk('CUSTOMER_NUMBER')} AS HK, CUSTOMER_NUMBER FROM ({S.STG_CUSTOMERS})
+        UNION ALL SELECT md5(upper(trim(CUSTOMER_NUMBER))), CUSTOMER_NUMBER FROM ({S.STG_CUSTOMERS})),
+    b AS (SELECT DISTINCT HK, upper(trim(CUSTOMER_NUMBER)) AS BK FROM h)
+    SELECT 'HK_MANY_BK' AS KIND, HK AS KEY, count(*) AS N FROM b GROUP BY HK HAVING count(*) > 1
+    UNION ALL SELECT 'BK_MANY_HK', BK, count(*) FROM b GROUP BY BK HAVING count(*) > 1""",
+)
+def q_audit_one_to_one(spark, d):
+    stg = feeds.stg_customers(spark, d)
+    good = load_hub(stg, None, model.HUB_CUSTOMER)
+    md5 = load_hub(stg, None, HubSpec("HUB_CUSTOMER", "CUSTOMER_HK", ("CUSTOMER_NUMBER",), algo="md5"))
+    return A.audit_key_one_to_one(good.unionByName(md5), "CUSTOMER_HK", ["CUSTOMER_NUMBER"])
+
+
+# A2: the textbook SELECT DISTINCT hub load keeps one row per (key, date, source).
+@register(
+    "audit_hub_unique",
+    f"""SELECT CUSTOMER_HK, count(*) AS occurrences FROM (
+        SELECT DISTINCT {S.hk('CUSTOMER_NUMBER')} AS CUSTOMER_HK, CUSTOMER_NUMBER, LOAD_DTS, REC_SRC FROM ({S.STG_ORDERS}))
+    GROUP BY 1 HAVING count(*) > 1""",
+)
+def q_audit_hub_unique(spark, d):
+    hub = load_hub_literal(feeds.stg_orders(spark, d), None, model.HUB_CUSTOMER)
+    return A.audit_unique(hub, ["CUSTOMER_HK"])
+
+
+# A3: the same for a link.
+@register(
+    "audit_link_unique",
+    f"""SELECT ORDER_ITEM_HK, count(*) AS occurrences FROM (
+        SELECT DISTINCT {S.hk('ORDER_NUMBER', 'PRODUCT_CODE', 'CUSTOMER_NUMBER')} AS ORDER_ITEM_HK, LOAD_DTS, REC_SRC FROM ({S.STG_ORDERS}))
+    GROUP BY 1 HAVING count(*) > 1""",
+)
+def q_audit_link_unique(spark, d):
+    link = load_link_literal(feeds.stg_orders(spark, d), None, model.LNK_ORDER_ITEM)
+    return A.audit_unique(link, ["ORDER_ITEM_HK"])
+
+
+# A4: satellite primary key after a literal 'latest' load of overlapping batches.
+@register(
+    "audit_sat_pk",
+    f"""WITH st AS ({ST_STATE}),
+    b1 AS (SELECT * FROM st WHERE LOAD_DTS < TIMESTAMP '2024-01-15'),
+    ls AS (SELECT USER_HK, HASH_DIFF AS SHD FROM b1 QUALIFY row_number() OVER (PARTITION BY USER_HK ORDER BY LOAD_DTS DESC) = 1),
+    b2 AS (SELECT * FROM st WHERE LOAD_DTS >= TIMESTAMP '2024-01-13'),
+    s AS (SELECT * FROM b1 UNION ALL
+          SELECT b2.* FROM b2 LEFT JOIN ls ON ls.USER_HK = b2.USER_HK WHERE ls.USER_HK IS NULL OR ls.SHD <> b2.HASH_DIFF)
+    SELECT USER_HK, LOAD_DTS, count(*) AS occurrences FROM s GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def q_audit_sat_pk(spark, d):
+    from strongroom.suite.q_satellite import q_sat_latest_mode
+
+    return A.audit_unique(q_sat_latest_mode(spark, d), ["USER_HK", "LOAD_DTS"])
+
+
+# A5: the payment link loaded before the order hub took the payment feed.
+@register(
+    "audit_link_hub",
+    f"""WITH h AS ({S.hub_sql(S.STG_ORDERS, 'ORDER_HK', 'ORDER_NUMBER')}),
+    l AS ({S.link_sql(S.STG_PAYMENTS, 'ORDER_PAYMENT_HK', [('ORDER_HK', 'ORDER_NUMBER'), ('PAYMENT_METHOD_HK', 'PAYMENT_METHOD_CODE')])})
+    SELECT l.* FROM l WHERE l.ORDER_HK IS NOT NULL AND NOT EXISTS (SELECT 1 FROM h WHERE h.ORDER_HK = l.ORDER_HK)""",
+)
+def q_audit_link_hub(spark, d):
+    return A.audit_missing_parent(model.lnk_order_payment(spark, d), "ORDER_HK", model.hub_order(spark, d), "ORDER_HK")
+
+
+# Order header satellite whose parent is missing from the order hub.
+@register(
+    "audit_sat_parent",
+    f"""WITH h AS ({S.hub_sql(S.STG_ORDERS, 'ORDER_HK', 'ORDER_NUMBER')}),
+    s AS ({S.timeline_sql(f"SELECT {S.hk('ORDER_NUMBER')} AS ORDER_HK, LOAD_DTS, {S.hd('ORDER_STATUS', 'TOTAL_PRICE', 'PRIORITY')} AS HASH_DIFF, REC_SRC, ORDER_STATUS, TOTAL_PRICE, PRIORITY FROM ({S.STG_ORDER_HEADERS})", 'ORDER_HK')})
+    SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.ORDER_HK = s.ORDER_HK)""",
+)
+def q_audit_sat_parent(spark, d):
+    sat = load_sat(feeds.stg_order_headers(spark, d), None, model.SAT_ORDER_HEADER)
+    return A.audit_missing_parent(sat, "ORDER_HK", model.hub_order(spark, d), "ORDER_HK")
+
+
+# Stub share per hub.
+@register(
+    "audit_stub_share",
+    f"""WITH hp AS ({S.hub_sql(S.STG_ORDERS, 'PRODUCT_HK', 'PRODUCT_CODE')}),
+    sp AS (SELECT {S.hk('PRODUCT_CODE')} AS PRODUCT_HK FROM ({S.STG_PARTS})),
+    hs AS ({S.hub_sql(S.STG_ORDERS, 'SUPPLIER_HK', 'SUPPLIER_NUMBER')}),
+    hc AS ({S.hub_sql(S.STG_ORDERS, 'CUSTOMER_HK', 'CUSTOMER_NUMBER')}),
+    sc AS (SELECT {S.hk('CUSTOMER_NUMBER')} AS CUSTOMER_HK FROM ({S.STG_CUSTOMERS}))
+    SELECT 'HUB_PRODUCT' AS HUB, count(*) AS KEYS, count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) AS KEYS_WITHOUT_SAT,
+        CAST(100.0 * count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS STUB_PCT FROM hp
+    UNION ALL SELECT 'HUB_SUPPLIER', count(*), count(*), CAST(100.0 * count(*) / NULLIF(count(*), 0) AS DECIMAL(5,2)) FROM hs
+    UNION ALL SELECT 'HUB_CUSTOMER', count(*), count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)),
+        CAST(100.0 * count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)) / NULLIF(count(*), 0) AS DECIMAL(5,2)) FROM hc""",
+)
+def q_audit_stub_share(spark, d):
+    return A.audit_stub_share(
+        {
+            "HUB_PRODUCT": (model.hub_product(spark, d), "PRODUCT_HK", [model.sat_product_details(spark, d)]),
+            "HUB_SUPPLIER": (load_hub(feeds.stg_orders(spark, d), None, model.HUB_SUPPLIER), "SUPPLIER_HK", []),
+            "HUB_CUSTOMER": (model.hub_customer(spark, d), "CUSTOMER_HK", [model.sat_customer_profile(spark, d)]),
+        }
+    )
+
+
+# A hub of customer names hashed without trimming and upper-casing.
+@register(
+    "audit_hash_drift",
+    f"""SELECT sha256(FULL_NAME) AS NAME_HK, FULL_NAME, LOAD_DTS, REC_SRC, {S.hk('FULL_NAME')} AS EXPECTED_HK
+    FROM ({S.STG_CUSTOMERS}) WHERE sha256(FULL_NAME) <> {S.hk('FULL_NAME')}""",
+)
+def q_audit_hash_drift(spark, d):
+    stg = feeds.stg_customers(spark, d)
+    drifted = stg.select(F.sha2(F.col("FULL_NAME"), 256).alias("NAME_HK"), "FULL_NAME", "LOAD_DTS", "REC_SRC")
+    return A.audit_hash_drift(drifted, "NAME_HK", ["FULL_NAME"])
+
+
+# A literal 'latest' load of all events as one first batch keeps equal neighbours.
+@register(
+    "audit_consecutive_equal",
+    f"""SELECT * EXCLUDE (_p) FROM (SELECT *, lag(HASH_DIFF) OVER (PARTITION BY USER_HK ORDER BY LOAD_DTS) AS _p FROM ({ST_STATE}))
+    WHERE _p = HASH_DIFF""",
+)
+def q_audit_consecutive_equal(spark, d):
+    sat = load_sat(feeds.stg_user_events(spark, d), None, model.SAT_USER_STATE, mode="latest")
+    return A.audit_consecutive_equal(sat, ["USER_HK"])
+
+
+# A10: the fact keeps its grain only while each order has one payment; a
+# split-payment feed (partly paid orders also paid by gift card) fans out.
+SPLIT_PAY_SQL = f"""{S.STG_PAYMENTS} UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), 'GIFT_CARD', o_orderdate, 'PAY2' FROM orders WHERE o_orderstatus = 'P'"""
+
+
+@register(
+    "audit_fact_grain",
+    f"""WITH l AS ({S.link_sql(S.STG_ORDERS, 'ORDER_ITEM_HK', [('ORDER_HK', 'ORDER_NUMBER'), ('PRODUCT_HK', 'PRODUCT_CODE'), ('CUSTOMER_HK', 'CUSTOMER_NUMBER')])}),
+    op AS ({S.link_sql(SPLIT_PAY_SQL, 'ORDER_PAYMENT_HK', [('ORDER_HK', 'ORDER_NUMBER'), ('PAYMENT_METHOD_HK', 'PAYMENT_METHOD_CODE')])})
+    SELECT l.ORDER_ITEM_HK, count(*) AS occurrences FROM l LEFT JOIN op ON op.ORDER_HK = l.ORDER_HK
+    GROUP BY 1 HAVING count(*) > 1""",
+)
+def q_audit_fact_grain(spark, d):
+    pay = feeds.stg_payments(spark, d)
+    o = feeds.table(spark, d, "orders").filter(F.col("o_orderstatus") == "P")
+    gift = o.select(
+        F.col("o_orderkey").cast("string").alias("ORDER_NUMBER"), F.lit("GIFT_CARD").alias("PAYMENT_METHOD_CODE"),
+        F.col("o_orderdate").alias("LOAD_DTS"), F.lit("PAY2").alias("REC_SRC"),
+    )
+    op = load_link(pay.unionByName(gift), None, model.LNK_ORDER_PAYMENT)
+    link = model.lnk_order_item(spark, d)
+    joined = link.select("ORDER_ITEM_HK", "ORDER_HK").join(op.select("ORDER_HK", "PAYMENT_METHOD_HK"), "ORDER_HK", "left")
+    return A.audit_unique(joined, ["ORDER_ITEM_HK"])
+
+
+# A hub rebuilt from the later batch only (instead of appended to)
+# loses or changes rows of the earlier state.
+@register(
+    "audit_insert_only",
+    f"""WITH b AS ({S.hub_sql(f"SELECT * FROM ({S.STG_ORDERS}) WHERE LOAD_DTS < TIMESTAMP '1998-01-01'", 'CUSTOMER_HK', 'CUSTOMER_NUMBER')}),
+    a AS ({S.hub_sql(f"SELECT * FROM ({S.STG_ORDERS}) WHERE LOAD_DTS >= TIMESTAMP '1998-01-01'", 'CUSTOMER_HK', 'CUSTOMER_NUMBER')})
+    SELECT * FROM b EXCEPT ALL SELECT * FROM a""",
+)
+def q_audit_insert_only(spark, d):
+    stg = feeds.stg_orders(spark, d)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    before = load_hub(stg.filter(F.col("LOAD_DTS") < cut), None, model.HUB_CUSTOMER)
+    rebuilt = load_hub(stg.filter(F.col("LOAD_DTS") >= cut), None, model.HUB_CUSTOMER)
+    return A.audit_insert_only(before, rebuilt)
+
+
+# Documents staged with the labeller as record source; unlabelled
+# documents arrive without one.
+@register(
+    "audit_audit_columns",
+    """SELECT d.doc_id AS DOC_ID, TIMESTAMP '2024-01-01 00:00:00' AS LOAD_DTS,
+        CASE WHEN l.doc_id IS NOT NULL THEN 'LABELLER' END AS REC_SRC
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL""",
+)
+def q_audit_audit_columns(spark, d):
+    docs = feeds.table(spark, d, "documents").select("doc_id")
+    lab = feeds.table(spark, d, "labels").select(F.col("doc_id").alias("_l"))
+    staged = docs.join(lab, docs["doc_id"] == lab["_l"], "left").select(
+        F.col("doc_id").alias("DOC_ID"),
+        feeds.ts(feeds.FIXED_LOAD_DTS).alias("LOAD_DTS"),
+        F.when(F.col("_l").isNotNull(), F.lit("LABELLER")).alias("REC_SRC"),
+    )
+    return A.audit_audit_columns(staged)
+
