@@ -1 +1,68 @@
-"""placeholder"""
+"""Streaming queries (R1, R2): events delivered as four overlapping,
+time-ordered files (each re-delivers the last days of the one before)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strongroom.sources import feeds
+from strongroom.sources.io import scratch_path
+from strongroom.streaming.microbatch import VaultTarget, redelivery_filter, sink_parquet, stream_load
+from strongroom.suite import model
+from strongroom.suite import sqlbits as S
+from strongroom.suite.q_satellite import SAT_STATE_SQL
+from strongroom.suite.registry import register
+
+# Fixed delivery windows [from, to) of the four files; overlaps are re-deliveries.
+DELIVERIES = [
+    ("2024-01-01", "2024-01-09"),
+    ("2024-01-06", "2024-01-16"),
+    ("2024-01-13", "2024-01-23"),
+    ("2024-01-20", "2024-02-01"),
+]
+
+
+def delivered_events(spark, d) -> tuple[str, object]:
+    """Write the staged events as four files, one append each (so file
+    modification times follow delivery order); returns (folder, schema)."""
+    stg = feeds.stg_user_events(spark, d)
+    folder = scratch_path(spark, "landing_events")
+    for lo, hi in DELIVERIES:
+        part = stg.filter(
+            (F.col("LOAD_DTS") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("LOAD_DTS") < F.lit(hi).cast("timestamp_ntz"))
+        )
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder, stg.schema
+
+
+@register("stream_load", SAT_STATE_SQL)
+def q_stream_load(spark, d):
+    folder, schema = delivered_events(spark, d)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    hub_path, sat_path = scratch_path(spark, "hub_user"), scratch_path(spark, "sat_user_state")
+    q = stream_load(
+        src,
+        [VaultTarget(model.HUB_USER, hub_path), VaultTarget(model.SAT_USER_STATE, sat_path)],
+        scratch_path(spark, "ckpt_stream_load"),
+    )
+    q.awaitTermination()
+    return spark.read.parquet(sat_path)
+
+
+@register(
+    "stream_dedup",
+    f"SELECT USER_ID, EVENT_ID, EVENT_TYPE, VALUE, PROPS, LOAD_DTS, REC_SRC FROM ({S.STG_USER_EVENTS})",
+)
+def q_stream_dedup(spark, d):
+    folder, schema = delivered_events(spark, d)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    clean = redelivery_filter(src, ["USER_ID", "EVENT_ID"], "LOAD_DTS", hours=96)
+    out = scratch_path(spark, "events_dedup")
+    q = (
+        clean.writeStream.foreachBatch(sink_parquet(out))
+        .option("checkpointLocation", scratch_path(spark, "ckpt_stream_dedup"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).select("USER_ID", "EVENT_ID", "EVENT_TYPE", "VALUE", "PROPS", "LOAD_DTS", "REC_SRC")
