@@ -41,6 +41,7 @@ def previous_value(
     value: str,
     out: str,
     bucket: str | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out`` = the ``value`` of the previous row of the same key by ``order_col``.
 
@@ -50,20 +51,21 @@ def previous_value(
     partitions: ``lag`` runs inside each (key, bucket); the first row of a
     bucket takes the last value of the previous non-empty bucket, found by a
     partially aggregated group-by and a window over buckets only.
-    ``order_col`` must be unique within a key.
+    ``tie`` adds columns that order rows sharing one ``order_col`` value.
     """
     keys = list(keys)
+    order = [F.col(order_col)] + [F.col(c) for c in tie]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col))
+        w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.lag(value).over(w))
     b = "_bucket"
     tmp = df.withColumn(b, F.date_trunc(bucket, F.col(order_col)))
-    w_in = Window.partitionBy(*keys, b).orderBy(F.col(order_col))
+    w_in = Window.partitionBy(*keys, b).orderBy(*order)
     tmp = tmp.withColumn("_prev_in", F.lag(value).over(w_in)).withColumn(
         "_first_in", F.row_number().over(w_in) == 1
     )
     last = tmp.groupBy(*keys, b).agg(
-        F.max(F.struct(F.col(order_col), F.col(value))).getField(value).alias("_last_val")
+        F.max(F.struct(*order, F.col(value).alias("_v"))).getField("_v").alias("_last_val")
     )
     w_b = Window.partitionBy(*keys).orderBy(F.col(b))
     last = last.withColumn("_prev_bucket", F.lag("_last_val").over(w_b)).drop("_last_val")

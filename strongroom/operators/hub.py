@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strongroom.functions.hashing import hash_key, key_is_valid
+from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key
 from strongroom.operators.common import first_per_key
 from strongroom.operators.specs import LOAD_DTS, REC_SRC, HubSpec
 
@@ -49,12 +49,30 @@ def load_hub(
 ) -> DataFrame:
     """Rows to append to ``hub``: keys of the staged feed(s) not stored yet.
 
-    Only the hash-key column of the stored hub is read (column pruning), and
-    the guard is a ``left_anti`` join that Spark plans as a broadcast or
-    sort-merge anti join depending on the stored hub's size.
+    The batch is grouped on the normalised business key (short strings,
+    equivalent to the hash key by construction), partially aggregated before
+    the shuffle, and hashed only once per surviving key.  Only the hash-key
+    column of the stored hub is read (column pruning) for the ``left_anti``
+    guard, which Spark plans as a broadcast or sort-merge anti join
+    depending on the stored hub's size.
     """
-    cand = hub_candidates(stg, spec).filter(F.col("_valid")).drop("_valid")
-    new = first_per_key(cand, [spec.hk], [LOAD_DTS, REC_SRC, *spec.bk])
+    parts = spec.key_parts()
+    norm = [f"_n{i}" for i in range(len(parts))]
+    feeds = _as_list(stg)
+    cand = None
+    for f in feeds:
+        c = f.select(
+            *[normalise_key(p).alias(n) for p, n in zip(parts, norm)],
+            *[F.col(b).cast("string").alias(b) for b in spec.bk],
+            F.col(LOAD_DTS),
+            F.col(REC_SRC),
+        )
+        cand = c if cand is None else cand.unionByName(c)
+    valid = F.lit(True)
+    for n in norm:
+        valid = valid & F.col(n).isNotNull() & (F.col(n) != F.lit(""))
+    first = first_per_key(cand.filter(valid), norm, [LOAD_DTS, REC_SRC, *spec.bk])
+    new = first.select(digest(_join([F.col(n) for n in norm]), spec.algo).alias(spec.hk), *spec.bk, LOAD_DTS, REC_SRC)
     if hub is not None:
         new = new.join(hub.select(spec.hk), spec.hk, "left_anti")
     return new

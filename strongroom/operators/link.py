@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strongroom.functions.hashing import hash_key, key_is_valid
+from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key
 from strongroom.operators.common import first_per_key
 from strongroom.operators.specs import LOAD_DTS, REC_SRC, LinkSpec
 
@@ -37,10 +37,35 @@ def link_candidates(stg: DataFrame | Sequence[DataFrame], spec: LinkSpec) -> Dat
 
 
 def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec: LinkSpec) -> DataFrame:
-    """Rows to append: one per new link key, first seen and first source."""
-    cand = link_candidates(stg, spec).filter(F.col("_valid")).drop("_valid")
-    order = [LOAD_DTS, REC_SRC]
-    new = first_per_key(cand, [spec.hk], order)
+    """Rows to append: one per new link key, first seen and first source.
+
+    Grouped on the normalised business keys (as the hub load), so the
+    shuffle carries short keys instead of one 64-character hash per hub;
+    the link key and the hub keys are hashed once per surviving row.
+    """
+    parts = spec.key_parts()
+    norm = [f"_n{i}" for i in range(len(parts))]
+    feeds = [stg] if isinstance(stg, DataFrame) else list(stg)
+    cand = None
+    for f in feeds:
+        c = f.select(
+            *[normalise_key(p).alias(n) for p, n in zip(parts, norm)],
+            F.col(LOAD_DTS),
+            F.col(REC_SRC),
+            *[F.col(p) for p in spec.payload],
+        )
+        cand = c if cand is None else cand.unionByName(c)
+    valid = F.lit(True)
+    for n in norm:
+        valid = valid & F.col(n).isNotNull() & (F.col(n) != F.lit(""))
+    first = first_per_key(cand.filter(valid), norm, [LOAD_DTS, REC_SRC])
+    cols = [digest(_join([F.col(n) for n in norm]), spec.algo).alias(spec.hk)]
+    i = 0
+    for hk_col, bks in spec.refs:
+        idx = norm[i : i + len(bks)]
+        cols.append(digest(_join([F.col(n) for n in idx]), spec.algo).alias(hk_col))
+        i += len(bks)
+    new = first.select(*cols, F.col(LOAD_DTS), F.col(REC_SRC), *[F.col(p) for p in spec.payload])
     if link is not None:
         new = new.join(link.select(spec.hk), spec.hk, "left_anti")
     return new

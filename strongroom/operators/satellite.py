@@ -80,8 +80,7 @@ def load_sat(
         return _load_latest(staged, sat, spec)
     if mode != "timeline":
         raise ValueError(f"unknown satellite load mode {mode!r}")
-    clean, _ = _batch_reduce(staged, spec)
-    return _load_timeline(clean, sat, spec, hot_key_bucket)
+    return _load_timeline(staged, sat, spec, hot_key_bucket)
 
 
 def sat_rejects(stg: DataFrame, spec: SatSpec) -> DataFrame:
@@ -100,20 +99,43 @@ def _load_latest(staged: DataFrame, sat: DataFrame | None, spec: SatSpec) -> Dat
     return out.drop("_stored_hd")
 
 
-def _load_timeline(clean: DataFrame, sat: DataFrame | None, spec: SatSpec, bucket: str | None) -> DataFrame:
+def _load_timeline(staged: DataFrame, sat: DataFrame | None, spec: SatSpec, bucket: str | None) -> DataFrame:
+    """Timeline rule in one shuffle by parent key (plus ``hot_key_bucket``).
+
+    Stored rows of the touched keys (PK and HASH_DIFF only) are found with a
+    ``left_semi`` join, which Spark broadcasts when the batch's key list is
+    small, so the stored satellite is filtered where it lies.  They are
+    unioned with the staged rows and two windows over the same partitioning
+    decide:
+      1. a peer window (rows of one primary key) drops staged rows whose PK
+         is already stored (insert-only: the stored row wins) and ties, i.e.
+         one PK with two payloads (``sat_rejects`` returns those);
+      2. an ordered ``lag`` keeps a staged row only when its HASH_DIFF
+         differs from its predecessor's; an exact duplicate equals its twin
+         and falls out by the same rule.
+    """
     keys = spec.part_keys()
     pk = spec.pk()
-    cols = clean.columns
-    if sat is None:
-        merged = clean.withColumn("_new", F.lit(True))
-    else:
-        stored = sat.select(*pk, HASH_DIFF)
-        clean = clean.join(stored.select(*pk), pk, "left_anti")
-        # Only the history of keys touched by this batch takes part.
-        touched = clean.select(*keys).distinct()
-        hist = stored.join(touched, keys, "left_semi").withColumn("_new", F.lit(False))
-        merged = clean.withColumn("_new", F.lit(True)).unionByName(hist, allowMissingColumns=True)
-    merged = previous_value(merged, keys, LOAD_DTS, HASH_DIFF, "_prev_hd", bucket)
+    cols = staged.columns
+    payload = [c for c in cols if c not in pk and c not in (HASH_DIFF, REC_SRC)]
+    merged = staged.withColumn("_new", F.lit(True))
+    if sat is not None:
+        touched = staged.select(*keys).distinct()
+        hist = sat.select(*pk, HASH_DIFF).join(touched, keys, "left_semi").withColumn("_new", F.lit(False))
+        merged = merged.unionByName(hist, allowMissingColumns=True)
+    part = [F.col(k) for k in keys] + ([F.date_trunc(bucket, F.col(LOAD_DTS))] if bucket else [])
+    peers = Window.partitionBy(*part).orderBy(F.col(LOAD_DTS)).rangeBetween(Window.currentRow, Window.currentRow)
+    staged_hd = F.when(F.col("_new"), F.col(HASH_DIFF))
+    merged = merged.withColumns(
+        {
+            "_stored_pk": F.max((~F.col("_new")).cast("int")).over(peers),
+            "_hd_lo": F.min(staged_hd).over(peers),
+            "_hd_hi": F.max(staged_hd).over(peers),
+        }
+    )
+    ok = ~F.col("_new") | ((F.col("_stored_pk") == 0) & (F.col("_hd_lo") == F.col("_hd_hi")))
+    merged = merged.filter(ok).drop("_stored_pk", "_hd_lo", "_hd_hi")
+    merged = previous_value(merged, keys, LOAD_DTS, HASH_DIFF, "_prev_hd", bucket, tie=["_new", REC_SRC, *payload])
     keep = F.col("_new") & (F.col("_prev_hd").isNull() | (F.col("_prev_hd") != F.col(HASH_DIFF)))
     return merged.filter(keep).select(*cols)
 
