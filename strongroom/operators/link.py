@@ -105,7 +105,7 @@ def exploration_link(df: DataFrame, hk: str, keys: Sequence[str], algo: str = "s
     """Disposable relation (L6): distinct key combinations of any query result.
     ``keys`` are hash-key columns; the link key hashes them in order."""
     keys = list(keys)
-    base = df.select(*keys).filter(F.lit(True) if not keys else key_is_valid(*keys)).distinct()
+    base = df.select(*keys).filter(key_is_valid(*keys)).distinct()
     return base.select(hash_key(*keys, algo=algo).alias(hk), *keys)
 
 
