@@ -56,14 +56,28 @@ class Spine:
         return _snap_of(t, self.start, self.step)
 
 
+def _tod(c: Column) -> Column:
+    """Time of day of a TIMESTAMP_NTZ as sortable text (no time zone involved)."""
+    return F.date_format(c, "HH:mm:ss.SSSSSS")
+
+
 def _snap_of(t: Column, start: Column, step: str) -> Column:
+    """First snapshot ``start + k * step`` (k >= 0) at or after ``t``.
+
+    Day, month and year steps use calendar arithmetic on TIMESTAMP_NTZ
+    (dates and time-of-day text), so the session time zone and daylight
+    saving never move a version into another snapshot.
+    """
     n, unit = step.split()
     n = int(n)
     unit = unit.lower().rstrip("s")
-    if unit in ("day", "hour", "minute", "second"):
-        secs = {"day": 86400, "hour": 3600, "minute": 60, "second": 1}[unit] * n
-        # Whole steps between start and t, rounded up; exact hits stay.
-        # timestamp_diff works on TIMESTAMP_NTZ directly: no time-zone shift.
+    if unit == "day":
+        # Whole days from start's day to t's day, plus one when t is later in its day.
+        days = F.datediff(F.to_date(t), F.to_date(start)) + F.when(_tod(t) > _tod(start), 1).otherwise(0)
+        k = F.greatest(F.ceil(days / F.lit(n)), F.lit(0)).cast("int")
+        return start + F.make_dt_interval(days=k * F.lit(n))
+    if unit in ("hour", "minute", "second"):
+        secs = {"hour": 3600, "minute": 60, "second": 1}[unit] * n
         diff = F.timestamp_diff("MICROSECOND", start, t)
         k = F.greatest(F.ceil(diff / F.lit(secs * 1_000_000)), F.lit(0))
         return F.timestamp_add("SECOND", k * F.lit(secs), start)

@@ -177,7 +177,7 @@ def _bitemporal(spark, d):
     return e.select(
         hash_key("USER_ID").alias("USER_HK"),
         F.col("LOAD_DTS").alias("APPLIED_DTS"),
-        (F.date_trunc("day", "LOAD_DTS") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("LOAD_DTS"),
+        F.date_add(F.to_date("LOAD_DTS"), 1).cast("timestamp_ntz").alias("LOAD_DTS"),
         "EVENT_TYPE",
     )
 

@@ -74,3 +74,23 @@ def test_profile_columns_counts(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "x int, y string")
     out = {r.column_name: (r.populated, r.nulls, r.distinct_vals) for r in P.profile_columns(df).collect()}
     assert out == {"x": (3, 0, 2), "y": (2, 1, 1)}
+
+
+def test_pit_ignores_session_time_zone_and_dst(spark):
+    hub = spark.createDataFrame([("k1", dt.datetime(2024, 3, 1))], "HK string, LOAD_DTS timestamp_ntz")
+    versions = [dt.datetime(2024, 3, 10, 0, 30), dt.datetime(2024, 3, 10, 23, 30), dt.datetime(2024, 3, 11, 0, 0)]
+    sat = spark.createDataFrame([("k1", v) for v in versions], "HK string, LOAD_DTS timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    results = []
+    try:
+        for tz in ("UTC", "America/New_York", "Australia/Sydney"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            pit = build_pit(hub, "HK", {"S": sat}, fixed_spine("2024-03-09", "2024-03-12"))
+            results.append(sorted((r.SNAPSHOT_DTS, r.S) for r in pit.collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1] == results[2]
+    got = dict(results[0])
+    assert got[dt.datetime(2024, 3, 10)] is None
+    assert got[dt.datetime(2024, 3, 11)] == dt.datetime(2024, 3, 11, 0, 0)
+    assert got[dt.datetime(2024, 3, 12)] == dt.datetime(2024, 3, 11, 0, 0)
