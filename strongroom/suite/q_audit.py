@@ -106,11 +106,11 @@ def q_audit_sat_parent(spark, d):
     hs AS ({S.hub_sql(S.STG_ORDERS, 'SUPPLIER_HK', 'SUPPLIER_NUMBER')}),
     hc AS ({S.hub_sql(S.STG_ORDERS, 'CUSTOMER_HK', 'CUSTOMER_NUMBER')}),
     sc AS (SELECT {S.hk('CUSTOMER_NUMBER')} AS CUSTOMER_HK FROM ({S.STG_CUSTOMERS}))
-    SELECT 'HUB_PRODUCT' AS HUB, count(*) AS KEYS, count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) AS KEYS_WITHOUT_SAT,
-        CAST(100.0 * count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS STUB_PCT FROM hp
+    SELECT 'HUB_PRODUCT' AS HUB, count(*) AS KEYS, CAST(count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) AS BIGINT) AS KEYS_WITHOUT_SAT,
+        CAST(100.0 * CAST(count_if(NOT EXISTS (SELECT 1 FROM sp WHERE sp.PRODUCT_HK = hp.PRODUCT_HK)) AS BIGINT) / NULLIF(count(*), 0) AS DECIMAL(5,2)) AS STUB_PCT FROM hp
     UNION ALL SELECT 'HUB_SUPPLIER', count(*), count(*), CAST(100.0 * count(*) / NULLIF(count(*), 0) AS DECIMAL(5,2)) FROM hs
-    UNION ALL SELECT 'HUB_CUSTOMER', count(*), count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)),
-        CAST(100.0 * count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)) / NULLIF(count(*), 0) AS DECIMAL(5,2)) FROM hc""",
+    UNION ALL SELECT 'HUB_CUSTOMER', count(*), CAST(count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)) AS BIGINT),
+        CAST(100.0 * CAST(count_if(NOT EXISTS (SELECT 1 FROM sc WHERE sc.CUSTOMER_HK = hc.CUSTOMER_HK)) AS BIGINT) / NULLIF(count(*), 0) AS DECIMAL(5,2)) FROM hc""",
 )
 def q_audit_stub_share(spark, d):
     return A.audit_stub_share(

@@ -130,8 +130,8 @@ def q_top_values(spark, d):
 
 @register(
     "profile_blanks",
-    """SELECT count_if(text IS NULL) AS is_null, count_if(trim(text) = '') AS is_blank,
-        count_if(text IS NOT NULL AND trim(text) <> '') AS is_populated FROM documents""",
+    """SELECT CAST(count_if(text IS NULL) AS BIGINT) AS is_null, CAST(count_if(trim(text) = '') AS BIGINT) AS is_blank,
+        CAST(count_if(text IS NOT NULL AND trim(text) <> '') AS BIGINT) AS is_populated FROM documents""",
 )
 def q_blanks(spark, d):
     return P.blank_profile(t(spark, d, "documents"), "text")
@@ -140,8 +140,8 @@ def q_blanks(spark, d):
 @register(
     "profile_numeric",
     """SELECT min(c_acctbal) AS min_val, max(c_acctbal) AS max_val, round(avg(c_acctbal), 4) AS avg_val,
-        round(stddev_samp(c_acctbal), 4) AS std_dev, count_if(c_acctbal < 0) AS negatives,
-        count_if(c_acctbal = 0) AS zeros, count_if(c_acctbal IS NULL) AS nulls FROM customer""",
+        round(stddev_samp(c_acctbal), 4) AS std_dev, CAST(count_if(c_acctbal < 0) AS BIGINT) AS negatives,
+        CAST(count_if(c_acctbal = 0) AS BIGINT) AS zeros, CAST(count_if(c_acctbal IS NULL) AS BIGINT) AS nulls FROM customer""",
 )
 def q_numeric(spark, d):
     return P.numeric_profile(t(spark, d, "customer"), "c_acctbal")
@@ -159,9 +159,9 @@ def q_outliers(spark, d):
 
 @register(
     "profile_dates",
-    f"""SELECT min(o_orderdate) AS earliest, max(o_orderdate) AS latest, count_if(o_orderdate IS NULL) AS null_dates,
-        count_if(o_orderdate > TIMESTAMP '{AS_OF_DATES}') AS future_dates,
-        count_if(CAST(o_orderdate AS DATE) IN (DATE '1900-01-01', DATE '9999-12-31')) AS sentinel_dates FROM orders""",
+    f"""SELECT min(o_orderdate) AS earliest, max(o_orderdate) AS latest, CAST(count_if(o_orderdate IS NULL) AS BIGINT) AS null_dates,
+        CAST(count_if(o_orderdate > TIMESTAMP '{AS_OF_DATES}') AS BIGINT) AS future_dates,
+        CAST(count_if(CAST(o_orderdate AS DATE) IN (DATE '1900-01-01', DATE '9999-12-31')) AS BIGINT) AS sentinel_dates FROM orders""",
 )
 def q_dates(spark, d):
     return P.date_profile(t(spark, d, "orders"), "o_orderdate", AS_OF_DATES)
@@ -214,8 +214,8 @@ def q_orphans(spark, d):
     "profile_contradictions",
     """WITH c AS (SELECT l_orderkey, max(l_shipdate) AS closure_date FROM lineitem GROUP BY 1),
     o AS (SELECT o.*, c.closure_date FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey)
-    SELECT 'OPEN_WITH_CLOSURE' AS rule, count_if(o_orderstatus = 'O' AND closure_date IS NOT NULL) AS violations FROM o
-    UNION ALL SELECT 'END_BEFORE_START', count_if(closure_date < o_orderdate) FROM o""",
+    SELECT 'OPEN_WITH_CLOSURE' AS rule, CAST(count_if(o_orderstatus = 'O' AND closure_date IS NOT NULL) AS BIGINT) AS violations FROM o
+    UNION ALL SELECT 'END_BEFORE_START', CAST(count_if(closure_date < o_orderdate) AS BIGINT) FROM o""",
 )
 def q_contradictions(spark, d):
     c = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closure_date"))
@@ -231,7 +231,7 @@ def q_contradictions(spark, d):
 
 @register(
     "profile_exclusive_flags",
-    "SELECT 'QUALITY_AND_TOXIC' AS rule, count_if(quality = 1 AND toxic = 1) AS violations FROM labels",
+    "SELECT 'QUALITY_AND_TOXIC' AS rule, CAST(count_if(quality = 1 AND toxic = 1) AS BIGINT) AS violations FROM labels",
 )
 def q_exclusive_flags(spark, d):
     return P.contradictions(t(spark, d, "labels"), {"QUALITY_AND_TOXIC": "quality = 1 AND toxic = 1"})
