@@ -65,9 +65,9 @@ def audit_hash_drift(hub: DataFrame, hk: str, bk: Sequence[str], algo: str = "sh
     return hub.withColumn("EXPECTED_HK", hash_key(*bk, algo=algo)).filter(F.col(hk) != F.col("EXPECTED_HK"))
 
 
-def audit_consecutive_equal(sat: DataFrame, keys: Sequence[str]) -> DataFrame:
+def audit_consecutive_equal(sat: DataFrame, keys: Sequence[str], hot_key_bucket: str | None = None) -> DataFrame:
     """Versions whose HASH_DIFF equals the previous version of their key."""
-    p = previous_value(sat, keys, LOAD_DTS, HASH_DIFF, "_prev")
+    p = previous_value(sat, keys, LOAD_DTS, HASH_DIFF, "_prev", hot_key_bucket)
     return p.filter(F.col("_prev") == F.col(HASH_DIFF)).drop("_prev")
 
 

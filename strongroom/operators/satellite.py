@@ -208,7 +208,13 @@ def as_of_bitemporal(
     return last_per_key(known, keys, [applied_col, LOAD_DTS])
 
 
-def split_sat(sat: DataFrame, keys: Sequence[str], groups: dict[str, Sequence[str]], algo: str = "sha256") -> dict[str, DataFrame]:
+def split_sat(
+    sat: DataFrame,
+    keys: Sequence[str],
+    groups: dict[str, Sequence[str]],
+    algo: str = "sha256",
+    hot_key_bucket: str | None = None,
+) -> dict[str, DataFrame]:
     """Split a satellite by column group (S13).  Each part gets its own
     HASH_DIFF and keeps a row only where its own columns change, so the
     split loses no version of any column."""
@@ -217,7 +223,7 @@ def split_sat(sat: DataFrame, keys: Sequence[str], groups: dict[str, Sequence[st
     for name, cols in groups.items():
         cols = list(cols)
         part = sat.select(*keys, LOAD_DTS, REC_SRC, *cols).withColumn(HASH_DIFF, hash_diff(*cols, algo=algo))
-        part = previous_value(part, keys, LOAD_DTS, HASH_DIFF, "_prev")
+        part = previous_value(part, keys, LOAD_DTS, HASH_DIFF, "_prev", hot_key_bucket)
         part = part.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(HASH_DIFF))).drop("_prev")
         out[name] = part.select(*keys, LOAD_DTS, HASH_DIFF, REC_SRC, *cols)
     return out
