@@ -10,7 +10,6 @@ setting is read from the session and only set here when it is unset
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,22 +37,14 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    On a cluster this is ``spark.checkpoint.dir`` (required there).  Only a
-    ``local`` master without the setting gets a fresh temporary folder.
+    On a cluster this is ``spark.checkpoint.dir``.  Where it is unset, a folder
+    in the session's warehouse is set, which all executors share as well.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if sc.master.startswith("local"):
-        d = tempfile.mkdtemp(prefix="strongroom-ckpt-")
-        sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
-    raise RuntimeError("set spark.checkpoint.dir to a shared folder before running vault jobs")
+    if not sc.getCheckpointDir():
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
