@@ -30,6 +30,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    from strongroom.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in padded sequences of at most 4096 tokens."""
     from strongroom.llm.packing import pack
@@ -46,6 +53,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op5_simhash": op5_simhash,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
 }
