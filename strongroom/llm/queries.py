@@ -20,6 +20,13 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label."""
+    from strongroom.llm.embedding_links import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the rows not held out."""
     from strongroom.llm.language import identify, learn
@@ -37,6 +44,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the rows not held out."""
+    from strongroom.llm.quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    out = score(docs, train(docs, table(spark, sf_dir, "labels").where(~held)))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in padded sequences of at most 4096 tokens."""
     from strongroom.llm.packing import pack
@@ -52,11 +69,33 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_links": op1_embedding_links,
     "op2_language_id": op2_language_id,
     "op5_simhash": op5_simhash,
+    "op7_quality": op7_quality,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embedding_links": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, x -> x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+              ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (
+            SELECT x, y FROM links
+            UNION
+            SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+        SELECT e.vec_id,
+               (SELECT count(*) FROM links l WHERE l.x = e.vec_id) AS n_links,
+               least(e.vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = e.vec_id), e.vec_id)) AS component_id,
+               e.vec_id <= coalesce((SELECT min(y) FROM reach r WHERE r.x = e.vec_id), e.vec_id) AS kept
+        FROM embeddings e""",
+}
