@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strongroom.llm.common import crc_mod
+from strongroom.llm.secrets import KINDS, LONG, RANK
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("'", "''") + "'"
+
+
 def word_bpe() -> str:
     """Where the installed vocabulary file of the packing query lies."""
     import public_tokenizers
@@ -37,6 +43,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document; a source is an owner, a source's language part a repository."""
+    from strongroom.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    from strongroom.llm.topk import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     from strongroom.llm.simhash import near_duplicates
@@ -71,6 +92,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_links": op1_embedding_links,
     "op2_language_id": op2_language_id,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_topk_search": op4_topk_search,
     "op5_simhash": op5_simhash,
     "op7_quality": op7_quality,
     "op9_packing": op9_packing,
@@ -83,8 +106,8 @@ ORACLES: dict[str, str] = {
         WITH RECURSIVE vectors AS (
             SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
             WHERE label IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         links AS (
             SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
               ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
@@ -98,4 +121,55 @@ ORACLES: dict[str, str] = {
                least(e.vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = e.vec_id), e.vec_id)) AS component_id,
                e.vec_id <= coalesce((SELECT min(y) FROM reach r WHERE r.x = e.vec_id), e.vec_id) AS kept
         FROM embeddings e""",
+    "op3_secret_scan": f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '-') AS owner FROM documents),
+        patterns AS (SELECT * FROM (VALUES {", ".join(f"({RANK[k]}, '{k}', {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)}) AS v(rank, kind, pattern)),
+        hits AS (
+            SELECT doc_id, owner, rank, kind, unnest(range(1, len(h) + 1)) AS i, h,
+                   CASE WHEN kind = 'assign' THEN regexp_extract_all(t, {sql_text(KINDS["assign"])}, 2) ELSE h END AS v, g
+            FROM (SELECT doc_id, owner, rank, kind, t,
+                         CASE rank {" ".join(f"WHEN {RANK[k]} THEN regexp_extract_all(t, {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)} END AS h,
+                         CASE rank {" ".join(f"WHEN {RANK[k]} THEN string_split_regex(t, {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)} END AS g
+                  FROM docs CROSS JOIN patterns)),
+        placed AS (
+            SELECT doc_id, owner, rank, kind, v[i] AS value, length(h[i]) AS n,
+                   list_sum(list_transform(g[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(h[1:i-1], lambda x: length(x))), 0) AS s
+            FROM hits),
+        spans AS (
+            SELECT doc_id, owner, rank, kind, value, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e FROM placed
+            WHERE CASE kind WHEN 'assign' THEN length(value) >= 6
+                            WHEN 'token' THEN regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')
+                            ELSE true END),
+        taken AS (
+            SELECT * FROM spans x WHERE kind <> 'token' OR NOT EXISTS (
+                SELECT 1 FROM spans b WHERE b.doc_id = x.doc_id AND b.kind <> 'token' AND b.s < x.e AND x.s < b.e)),
+        owned AS (SELECT value, count(DISTINCT owner) AS owners FROM taken GROUP BY value),
+        marked AS (SELECT taken.*, owners <= 1 AS live FROM taken JOIN owned USING (value)),
+        final AS (
+            SELECT doc_id,
+                   count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+                   count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+                   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (WHERE kind <> 'token') AS base,
+                   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans,
+                   count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example
+            FROM marked WHERE kind <> 'token' OR live GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+               coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+        FROM docs d LEFT JOIN final f ON d.doc_id = f.doc_id""",
+    "op4_topk_search": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(coalesce(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+            FROM vectors q JOIN vectors v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.x) = len(v.x)),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
