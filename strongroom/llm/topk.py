@@ -49,50 +49,53 @@ class Index:
             low.append(values[starts])
             high.append(values[ends - 1])
         self.rows = np.concatenate(rows)
-        self.values = x[self.rows, np.repeat(np.arange(dims), n)]
+        dims_of = np.repeat(np.arange(dims, dtype=np.int32), n)
+        self.values = x[self.rows, dims_of].astype(np.float64)  # whole numbers, exact as doubles
+        self.cells = self.rows * np.int32(dims) + dims_of if n * dims < 2**31 else self.rows.astype(np.int64) * dims + dims_of
         self.dim, self.first, self.last = np.concatenate(dim), np.concatenate(first), np.concatenate(last)
         self.low, self.high = np.concatenate(low), np.concatenate(high)
+        self.least, self.most = x.min(axis=0), x.max(axis=0)
 
-    def search(self, q, k: int, rounds: int = 4):
-        """Rows that may be among the k best of query ``q`` and their exact scores."""
+    def search(self, q, k: int, known: float = float("-inf"), rounds: int = 4, enough: float = 0.5):
+        """Rows that may be among the k best of query ``q`` and their exact scores.
+
+        ``known`` is the k-th best score that other rows have.  A share
+        ``enough`` of possible rows ends the rounds: scoring those exactly is
+        cheaper than more postings.
+        """
         import numpy as np
 
         n, dims = self.x.shape
         if n <= k:
             return np.arange(n), self.x @ q
         w = q[self.dim]
-        most = np.where(w >= 0, w * self.high, w * self.low)  # of a segment's contributions
-        least_seg = np.where(w >= 0, w * self.low, w * self.high)
-        floor = np.full(dims, np.iinfo(np.int64).max)
-        np.minimum.at(floor, self.dim, least_seg)  # of a dimension's
-        impact = most - floor[self.dim]
+        floor = np.where(q >= 0, q * self.least, q * self.most)  # of a dimension's contributions
+        impact = np.where(w >= 0, w * self.high, w * self.low) - floor[self.dim]
         order = np.argsort(-impact, kind="stable")
-        size = (self.last - self.first)[order]
+        dim, impact, first, size = self.dim[order], impact[order], self.first[order], (self.last - self.first)[order]
         done = np.cumsum(size)
         cuts = np.unique(np.searchsorted(done, done[-1] * np.arange(1, rounds + 1) / rounds) + 1)
-        score = np.zeros(n)  # whole numbers, exact as doubles
-        seen = np.zeros((n, dims), dtype=np.float32)
-        at = 0
+        score, seen, at = np.zeros(n), np.zeros((n, dims), dtype=np.float32), 0
         for cut in cuts:  # rounds of about equal postings, in descending impact
-            segments, lengths = order[at:cut], size[at:cut]
-            postings = np.arange(lengths.sum()) + np.repeat(self.first[segments] - np.cumsum(lengths) + lengths, lengths)
-            rows, d = self.rows[postings], np.repeat(self.dim[segments], lengths)
-            score += np.bincount(rows, weights=q[d] * self.values[postings] - floor[d], minlength=n)
-            seen[rows, d] = 1
+            lengths = size[at:cut]
+            postings = np.arange(lengths.sum()) + np.repeat(first[at:cut] - np.cumsum(lengths) + lengths, lengths)
+            weight = np.repeat(q[dim[at:cut]].astype(np.float64), lengths)
+            score += np.bincount(self.rows[postings], weights=weight * self.values[postings], minlength=n)
+            seen.ravel()[self.cells[postings]] = 1
             at = cut
-            left = np.zeros(dims, dtype=np.float32)  # the most that a dimension can still bring
-            np.maximum.at(left, self.dim[order[at:]], impact[order[at:]])
-            bar = np.partition(score, n - k)[n - k]
-            total = left.sum()
-            slack = 1 + 1e-5 * total  # more than single precision can lose
-            possible = np.flatnonzero(score + (total + slack) - seen @ left >= bar)
-            if len(possible) <= max(4 * k, n // 50):
+            left = np.zeros(dims)  # the most that a dimension can still bring: its next segment's, the last one written here
+            left[dim[at:][::-1]] = impact[at:][::-1]
+            lost = seen @ np.stack([floor, floor + left], axis=1).astype(np.float32)
+            slack = 1 + 1e-5 * (np.abs(floor).sum() + left.sum())  # more than single precision can lose
+            bar = max(np.partition(score - lost[:, 0], n - k)[n - k] - slack, known - floor.sum())
+            possible = np.flatnonzero(score + (left.sum() + slack) - lost[:, 1] >= bar)
+            if len(possible) <= max(4 * k, n * enough):
                 break
         return possible, self.x[possible] @ q
 
 
 def top_k(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = 256,
-          level: int = 16, shard_rows: int = 4096, query_rows: int = 1024) -> DataFrame:
+          level: int = 16, shard_rows: int = 16_384, index_rows: int = 4096, query_rows: int = 256) -> DataFrame:
     """(query_id, rank, vector id, score): the k largest integer inner products of every query row with all other rows.
 
     Components are floor(``scale`` * x).  Vectors that are null or hold null or
@@ -121,14 +124,19 @@ def top_k(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col:
             found_length, wanted_length = found.x.map(len), wanted.x.map(len)
             for width in set(found_length) & set(wanted_length):
                 here, ask = found[found_length == width], wanted[wanted_length == width]
-                index = Index(np.array(here.x.tolist(), dtype=np.int64).reshape(len(here), width), level)
+                data = np.array(here.x.tolist(), dtype=np.int64).reshape(len(here), width)
+                indexes = [(start, Index(data[start : start + index_rows], level)) for start in range(0, len(data), index_rows)]
                 ids = here.vec.to_numpy()
                 for vec, x in zip(ask.vec, ask.x):
-                    own = int((ids == vec).sum())
-                    at, score = index.search(np.asarray(x, dtype=np.int64), k + own)
-                    at, score = at[ids[at] != vec], score[ids[at] != vec]
-                    best = np.lexsort((ids[at], -score))[:k]
-                    out += zip([vec] * len(best), ids[at][best], score[best])
+                    q, own = np.asarray(x, dtype=np.int64), int((ids == vec).sum())
+                    rows, scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+                    for start, index in indexes:
+                        known = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else float("-inf")
+                        at, score = index.search(q, k + own, known)
+                        new = (ids[at + start] != vec) & (score >= known)
+                        rows, scores = np.r_[rows, at[new] + start], np.r_[scores, score[new]]
+                    best = np.lexsort((ids[rows], -scores))[:k]
+                    out += zip([vec] * len(best), ids[rows][best], scores[best])
         return pd.DataFrame(out, columns=["query_id", "vec", "score"])
 
     pairs = data.groupBy("shard", "block").cogroup(asks.groupBy("shard", "block")).applyInPandas(run, schema)
