@@ -75,6 +75,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of sources takes."""
+    from strongroom.llm.mixing import mix
+
+    documents, _ = mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most_times=3)
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in padded sequences of at most 4096 tokens."""
     from strongroom.llm.packing import pack
@@ -96,6 +104,7 @@ QUERIES = {
     "op4_topk_search": op4_topk_search,
     "op5_simhash": op5_simhash,
     "op7_quality": op7_quality,
+    "op8_source_mixing": op8_source_mixing,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
 }
