@@ -118,7 +118,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     same = (each["source"].eqNullSafe(part["source"])) & (each["block"] == part["block"])
     low = F.greatest(F.col("at"), each["block"] * block_words) - F.col("at")
     high = F.least(F.col("at") + F.col("size"), each["block"] * block_words + F.col("length")) - F.col("at")
-    hit = each.join(part, same).select("row", low.alias("low"), high.alias("high")).where("low < high")
+    # Exploded rows are many more than Spark's estimate, so neither side may be broadcast.
+    hit = each.hint("merge").join(part.hint("merge"), same).select("row", low.alias("low"), high.alias("high")).where("low < high")
     ranges = hit.groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("some"), F.array_sort(F.collect_list(F.struct("low", "high"))).alias("ranges"))
     # Targets have one row for each source; sizes of sources decide whether Spark sends them to every task.
     known = plan.select(F.col("source").alias("_s"), "source_size", "target", "passes")
