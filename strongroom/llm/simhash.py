@@ -102,17 +102,18 @@ def links(fps: DataFrame, max_bits: int, segments: int, cell_rows: int) -> DataF
         crowd = spread(left, "a").join(full, "cell", "left_semi").select(F.col("a").alias("fp")).distinct()
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     once = F.col("a") < F.col("b") if left == right else F.col("a") != F.col("b")
-    pairs = a.join(b, "cell").where(once & near)
+    # Exploded rows are many more than Spark's estimate, so none of them may be broadcast.
+    pairs = a.hint("merge").join(b.hint("merge"), "cell").where(once & near)
     out = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     if crowd is not None:
         cover = lambda r: crowd.select("fp", F.explode(flips(F.col("fp"), r)).alias("key"))
         if left == right:
             both = cover(left)
             star = stored(both.groupBy("key").agg(F.min("fp").alias("a")), "stars")
-            out = out.unionByName(both.join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
+            out = out.unionByName(both.hint("merge").join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
         else:  # an odd limit: the shared fingerprint is within the smaller half of one of the two
             star = stored(cover(right).groupBy("key").agg(F.min("fp").alias("a")), "stars")
-            out = out.unionByName(cover(left).join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
+            out = out.unionByName(cover(left).hint("merge").join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
     return out
 
 
