@@ -99,8 +99,8 @@ def top_k(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col:
     """(query_id, rank, vector id, score): the k largest integer inner products of every query row with all other rows.
 
     Components are floor(``scale`` * x).  Vectors that are null or hold null or
-    non-finite components, null ids, and vectors of another length than the
-    query take no part.  Ties go to the smaller id; a query never finds rows of
+    non-finite components, null ids, empty vectors, and vectors of another
+    length than the query take no part.  Ties go to the smaller id; a query never finds rows of
     its own id; repeated rows are found as often as they occur; a repeated
     query row answers once.  Fewer than k other rows are all returned; an empty
     table gives none.  Queries and shards meet in blocks, each a bounded task.
@@ -122,7 +122,7 @@ def top_k(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col:
         out = []
         if len(found) and len(wanted):
             found_length, wanted_length = found.x.map(len), wanted.x.map(len)
-            for width in set(found_length) & set(wanted_length):
+            for width in set(found_length) & set(wanted_length) - {0}:
                 here, ask = found[found_length == width], wanted[wanted_length == width]
                 data = np.array(here.x.tolist(), dtype=np.int64).reshape(len(here), width)
                 indexes = [(start, Index(data[start : start + index_rows], level)) for start in range(0, len(data), index_rows)]
