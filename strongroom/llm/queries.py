@@ -65,6 +65,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of the paragraphs of every document."""
+    from strongroom.llm.licences import scan, train
+
+    return scan(table(spark, sf_dir, "documents"), train())
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the rows not held out."""
     from strongroom.llm.quality import score, train
@@ -103,6 +110,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_topk_search": op4_topk_search,
     "op5_simhash": op5_simhash,
+    "op6_licence_scan": op6_licence_scan,
     "op7_quality": op7_quality,
     "op8_source_mixing": op8_source_mixing,
     "op9_packing": op9_packing,
