@@ -8,15 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strongroom.functions.hashing import hash_key, normalise_key
-from strongroom.operators.common import previous_value
+from strongroom.functions.hashing import _join, hash_key, normalise_key
+from strongroom.operators.common import null_safe_differs, previous_value
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC
 
 
 def audit_key_one_to_one(hub: DataFrame, hk: str, bk: Sequence[str]) -> DataFrame:
     """A1: hash key <-> normalised business key must be one-to-one, both ways.
     Returns (KIND, KEY, N): HK_MANY_BK (collision) or BK_MANY_HK (recipe drift)."""
-    norm = F.concat_ws("|", *[normalise_key(c) for c in bk])
+    norm = _join([F.coalesce(normalise_key(c), F.lit("\\N")) for c in bk])
     base = hub.select(F.col(hk).alias("_hk"), norm.alias("_bk")).distinct()
     a = base.groupBy("_hk").agg(F.count(F.lit(1)).alias("N")).filter("N > 1")
     a = a.select(F.lit("HK_MANY_BK").alias("KIND"), F.col("_hk").alias("KEY"), "N")
@@ -61,8 +61,10 @@ def audit_stub_share(hubs: dict[str, tuple[DataFrame, str, Sequence[DataFrame]]]
 
 
 def audit_hash_drift(hub: DataFrame, hk: str, bk: Sequence[str], algo: str = "sha256") -> DataFrame:
-    """Stored hash key differs from the key recomputed with the recipe."""
-    return hub.withColumn("EXPECTED_HK", hash_key(*bk, algo=algo)).filter(F.col(hk) != F.col("EXPECTED_HK"))
+    """Stored hash key differs from the key recomputed with the recipe
+    (null-safe: a missing key where one is expected is a drift too)."""
+    expected = hub.withColumn("EXPECTED_HK", hash_key(*bk, algo=algo))
+    return expected.filter(null_safe_differs(F.col(hk), F.col("EXPECTED_HK")))
 
 
 def audit_consecutive_equal(sat: DataFrame, keys: Sequence[str], hot_key_bucket: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strongroom.functions.hashing import digest, hash_key
+from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key
 from strongroom.operators.common import last_per_key
 from strongroom.operators.satellite import _load_timeline
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC, SatSpec
@@ -39,23 +39,33 @@ def driving_key_effectivity(
     other: Sequence[str],
     ts: str = LOAD_DTS,
     rec_src: str = REC_SRC,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Driving-key effectivity.
+    """Driving-key effectivity (S7): the rows to append.
 
     For each driving key, ordered by ``ts``: when the non-driving part
     changes, the old relation is closed and the new one opened.  Emits an
     open row (LOAD_DTS = BEGIN_DTS, END_DTS NULL) per run and a close row
     (LOAD_DTS = END_DTS = next run's begin) for every run that ended.  A
     relation that returns later opens a new run.
+
+    ``stored`` holds the rows of earlier loads: the runs of the driving keys
+    that the batch touches are its predecessors, so a batch closes what an
+    earlier one opened, and any split into batches in time order gives the
+    one-shot rows.  Rows with a NULL or blank key part are left out
+    (``driving_key_rejects``).  Relations at one time follow each other in the
+    order of their key text, then of their source.
     """
     driving, other = list(driving), list(other)
-    base = df.select(*driving, *other, F.col(ts).alias("_t"), F.col(rec_src).alias("_src"))
-    w = Window.partitionBy(*driving).orderBy("_t")
-    okey = F.concat_ws("|", *[F.col(c).cast("string") for c in other])
-    base = base.withColumn("_o", okey).withColumn("_prev_o", F.lag("_o").over(w))
+    base = df.filter(key_is_valid(*driving, *other) & F.col(ts).isNotNull())
+    base = base.select(*driving, *other, F.col(ts).alias("_t"), F.col(rec_src).alias("_src"))
+    if stored is not None:
+        runs = stored.filter(F.col("END_DTS").isNull()).join(base.select(*driving).distinct(), driving, "left_semi")
+        base = base.unionByName(runs.select(*driving, *other, F.col("BEGIN_DTS").alias("_t"), F.col(REC_SRC).alias("_src")))
+    w = Window.partitionBy(*driving).orderBy("_t", "_o", "_src")
+    base = base.withColumn("_o", _join([normalise_key(c) for c in other])).withColumn("_prev_o", F.lag("_o").over(w))
     starts = base.filter(F.col("_prev_o").isNull() | (F.col("_prev_o") != F.col("_o")))
-    w2 = Window.partitionBy(*driving).orderBy("_t")
-    starts = starts.withColumn("_next", F.lead("_t").over(w2))
+    starts = starts.withColumn("_next", F.lead("_t").over(w))
     keyed = starts.select(
         hash_key(*driving, *other).alias(link_hk),
         hash_key(*driving).alias("DRIVING_HK"),
@@ -73,7 +83,18 @@ def driving_key_effectivity(
         link_hk, "DRIVING_HK", *driving, *other, F.col("_next").alias(LOAD_DTS), "BEGIN_DTS",
         F.col("_next").alias("END_DTS"), F.lit(0).alias("IS_DELETED"), REC_SRC,
     )
-    return opened.unionByName(closed)
+    new = opened.unionByName(closed)
+    if stored is not None:
+        same = F.lit(True)
+        for c in (link_hk, LOAD_DTS, "BEGIN_DTS", "END_DTS"):
+            same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}"))
+        new = new.alias("n").join(stored.alias("s"), same, "left_anti")
+    return new
+
+
+def driving_key_rejects(df: DataFrame, driving: Sequence[str], other: Sequence[str], ts: str = LOAD_DTS) -> DataFrame:
+    """Rows that ``driving_key_effectivity`` leaves out: a key part NULL or blank, or no time."""
+    return df.filter(~(key_is_valid(*driving, *other) & F.col(ts).isNotNull()))
 
 
 def load_effectivity(stg: DataFrame, sat: DataFrame | None, parent_hk: str, algo: str = "sha256") -> DataFrame:
@@ -102,11 +123,9 @@ def detect_deletes(
     deletion gets IS_DELETED = 0.  Descriptive satellites are untouched.
     """
     t = F.lit(load_dts).cast("timestamp_ntz")
-    live = full_extract.select(F.col(extract_hk).alias(hk)).distinct()
-    keys = hub.select(hk).distinct()
-    missing = keys.join(live, hk, "left_anti").withColumn("IS_DELETED", F.lit(1))
-    present = keys.join(live, hk, "left_semi").withColumn("IS_DELETED", F.lit(0))
-    cand = missing.unionByName(present)
+    live = full_extract.select(F.col(extract_hk).alias(hk)).distinct().withColumn("_live", F.lit(True))
+    cand = hub.select(hk).distinct().join(live, hk, "left")
+    cand = cand.select(hk, F.when(F.col("_live"), 0).otherwise(1).alias("IS_DELETED"))
     if eff is not None:
         latest = last_per_key(eff.select(hk, LOAD_DTS, "IS_DELETED"), [hk], [LOAD_DTS]).select(
             hk, F.col("IS_DELETED").alias("_last")

@@ -22,26 +22,6 @@ def _as_list(stg: DataFrame | Sequence[DataFrame]) -> list[DataFrame]:
     return [stg] if isinstance(stg, DataFrame) else list(stg)
 
 
-def hub_candidates(stg: DataFrame | Sequence[DataFrame], spec: HubSpec) -> DataFrame:
-    """Hashed candidate rows of one or several feeds (H2: ``unionByName``)."""
-    feeds = _as_list(stg)
-    parts = []
-    for f in feeds:
-        parts.append(
-            f.select(
-                hash_key(*spec.key_parts(), algo=spec.algo).alias(spec.hk),
-                *[F.col(b).cast("string").alias(b) for b in spec.bk],
-                F.col(LOAD_DTS),
-                F.col(REC_SRC),
-                key_is_valid(*spec.key_parts()).alias("_valid"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def load_hub(
     stg: DataFrame | Sequence[DataFrame],
     hub: DataFrame | None,
@@ -49,30 +29,28 @@ def load_hub(
 ) -> DataFrame:
     """Rows to append to ``hub``: keys of the staged feed(s) not stored yet.
 
-    The batch is grouped on the normalised business key (short strings,
-    equivalent to the hash key by construction), partially aggregated before
-    the shuffle, and hashed only once per surviving key.  Only the hash-key
+    The batch is grouped on the very text that the hash key digests (short
+    strings, so one row per hash key even where a part holds the delimiter),
+    partially aggregated before the shuffle, and hashed only once per
+    surviving key.  Only the hash-key
     column of the stored hub is read (column pruning) for the ``left_anti``
     guard, which Spark plans as a broadcast or sort-merge anti join
     depending on the stored hub's size.
     """
     parts = spec.key_parts()
-    norm = [f"_n{i}" for i in range(len(parts))]
-    feeds = _as_list(stg)
     cand = None
-    for f in feeds:
-        c = f.select(
-            *[normalise_key(p).alias(n) for p, n in zip(parts, norm)],
+    for f in _as_list(stg):
+        c = f.filter(key_is_valid(*parts)).select(
+            _join([normalise_key(p) for p in parts]).alias("_key"),
             *[F.col(b).cast("string").alias(b) for b in spec.bk],
             F.col(LOAD_DTS),
             F.col(REC_SRC),
         )
         cand = c if cand is None else cand.unionByName(c)
-    valid = F.lit(True)
-    for n in norm:
-        valid = valid & F.col(n).isNotNull() & (F.col(n) != F.lit(""))
-    first = first_per_key(cand.filter(valid), norm, [LOAD_DTS, REC_SRC, *spec.bk])
-    new = first.select(digest(_join([F.col(n) for n in norm]), spec.algo).alias(spec.hk), *spec.bk, LOAD_DTS, REC_SRC)
+    # A first pass that Spark plans as a hash aggregate leaves little to the struct's sort.
+    cand = cand.groupBy("_key", *spec.bk, REC_SRC).agg(F.min(LOAD_DTS).alias(LOAD_DTS))
+    first = first_per_key(cand, ["_key"], [LOAD_DTS, REC_SRC, *spec.bk])
+    new = first.select(digest(F.col("_key"), spec.algo).alias(spec.hk), *spec.bk, LOAD_DTS, REC_SRC)
     if hub is not None:
         new = new.join(hub.select(spec.hk), spec.hk, "left_anti")
     return new

@@ -39,7 +39,8 @@ def link_candidates(stg: DataFrame | Sequence[DataFrame], spec: LinkSpec) -> Dat
 def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec: LinkSpec) -> DataFrame:
     """Rows to append: one per new link key, first seen and first source.
 
-    Grouped on the normalised business keys (as the hub load), so the
+    Grouped on the text that the link key digests (as the hub load), so there
+    is one row per link key even where a part holds the delimiter, and the
     shuffle carries short keys instead of one 64-character hash per hub;
     the link key and the hub keys are hashed once per surviving row.
     """
@@ -48,18 +49,16 @@ def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec
     feeds = [stg] if isinstance(stg, DataFrame) else list(stg)
     cand = None
     for f in feeds:
-        c = f.select(
+        c = f.filter(key_is_valid(*parts)).select(
             *[normalise_key(p).alias(n) for p, n in zip(parts, norm)],
             F.col(LOAD_DTS),
             F.col(REC_SRC),
             *[F.col(p) for p in spec.payload],
         )
         cand = c if cand is None else cand.unionByName(c)
-    valid = F.lit(True)
-    for n in norm:
-        valid = valid & F.col(n).isNotNull() & (F.col(n) != F.lit(""))
-    first = first_per_key(cand.filter(valid), norm, [LOAD_DTS, REC_SRC])
-    cols = [digest(_join([F.col(n) for n in norm]), spec.algo).alias(spec.hk)]
+    cand = cand.withColumn("_key", _join([F.col(n) for n in norm]))
+    first = first_per_key(cand, ["_key"], [LOAD_DTS, REC_SRC, *norm])
+    cols = [digest(F.col("_key"), spec.algo).alias(spec.hk)]
     i = 0
     for hk_col, bks in spec.refs:
         idx = norm[i : i + len(bks)]
@@ -71,8 +70,13 @@ def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec
     return new
 
 
-def link_rejects(stg: DataFrame, spec: LinkSpec) -> DataFrame:
-    return stg.filter(~key_is_valid(*spec.key_parts()))
+def link_rejects(stg: DataFrame | Sequence[DataFrame], spec: LinkSpec) -> DataFrame:
+    """Staged rows with a key part that is NULL or blank."""
+    out = None
+    for f in [stg] if isinstance(stg, DataFrame) else stg:
+        r = f.filter(~key_is_valid(*spec.key_parts()))
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 def load_nh_link(stg: DataFrame, link: DataFrame | None, spec: LinkSpec) -> DataFrame:

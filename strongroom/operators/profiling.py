@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 SENTINEL_DATES = ("1900-01-01", "9999-12-31")
 TOP_N = 30
 NULL_LABEL = "(NULL)"
-VALUE_WIDTH = 100
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -68,13 +67,17 @@ def profile_columns(df: DataFrame, exact: bool = True, skip: Sequence[str] = ())
     (exact distincts are planned by Spark as one Expand with a map-side
     de-duplication, so the shuffle carries distinct values, not rows x
     columns; ``exact=False`` uses HyperLogLog sketches instead), then
-    ``stack`` turns the single wide row into one row per column.
+    ``stack`` turns the single wide row into one row per column.  Columns
+    whose values can't be compared (map, variant) have a NULL distinct count.
     """
-    cols = [f for f in df.schema.fields if f.name not in skip and _countable(f.dataType)]
+    cols = [f for f in df.schema.fields if f.name not in skip]
     aggs = [F.count(F.lit(1)).alias("_total")]
     for i, f in enumerate(cols):
         aggs.append(F.count(F.col(f"`{f.name}`")).alias(f"_p{i}"))
-        dist = F.count_distinct(F.col(f"`{f.name}`")) if exact else F.approx_count_distinct(F.col(f"`{f.name}`"))
+        if not _countable(f.dataType):
+            dist = F.max(F.lit(None).cast("bigint"))
+        else:
+            dist = F.count_distinct(F.col(f"`{f.name}`")) if exact else F.approx_count_distinct(F.col(f"`{f.name}`"))
         aggs.append(dist.alias(f"_d{i}"))
     wide = df.agg(*aggs)
     body = ", ".join(f"'{f.name}', _p{i}, _d{i}" for i, f in enumerate(cols))
@@ -102,7 +105,7 @@ def cardinality(df: DataFrame, c: str) -> DataFrame:  # Q4.1
 
 
 def _value_text(c: str) -> Column:
-    return F.coalesce(F.substring(F.col(c).cast("string"), 1, VALUE_WIDTH), F.lit(NULL_LABEL))
+    return F.coalesce(F.col(c).cast("string"), F.lit(NULL_LABEL))
 
 
 def top_values(df: DataFrame, c: str, n: int = TOP_N) -> DataFrame:  # Q5.1
@@ -217,10 +220,6 @@ def dictionary(df: DataFrame, c: str) -> DataFrame:  # Q12.1
     return df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def findings_row(check: str, metric: str, value: Column) -> Column:
-    return F.struct(F.lit(check).alias("check"), F.lit(metric).alias("metric"), value.cast("bigint").alias("value"))
-
-
 def verdicts(findings: DataFrame, expectations: DataFrame) -> DataFrame:  # QV
     """ASSUMED (no finding yet), CONFIRMED (finding meets the expectation)
     or VIOLATED, per expectation (check, metric, op, expected)."""

@@ -17,13 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strongroom.functions.hashing import hash_diff, hash_key
+from strongroom.functions.hashing import hash_diff, hash_key, key_is_valid
 from strongroom.operators.common import last_per_key, previous_value
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC, SatSpec
 
 
+def parent_is_valid(spec: SatSpec) -> Column:
+    """True where the parent key is one that a hub accepts (D3) and LOAD_DTS is present."""
+    return key_is_valid(*(spec.parent_bk or (spec.parent_hk,))) & F.col(LOAD_DTS).isNotNull()
+
+
 def stage_sat(stg: DataFrame, spec: SatSpec) -> DataFrame:
-    """Staged satellite rows: parent key, [SSQN], LOAD_DTS, HASH_DIFF, REC_SRC, payload."""
+    """Staged satellite rows: parent key, [SSQN], LOAD_DTS, HASH_DIFF, REC_SRC, payload.
+
+    Rows whose parent key is NULL or blank are left out, as in the hub load;
+    ``sat_rejects`` returns them."""
     if spec.parent_bk:
         hk = hash_key(*spec.parent_bk, algo=spec.algo).alias(spec.parent_hk)
     else:
@@ -38,7 +46,7 @@ def stage_sat(stg: DataFrame, spec: SatSpec) -> DataFrame:
     ]
     cols += [F.col(p) for p in spec.payload]
     cols += [F.col(p) for p in spec.extra]
-    return stg.select(*cols).filter(F.col(spec.parent_hk).isNotNull())
+    return stg.filter(parent_is_valid(spec)).select(*cols)
 
 
 def _batch_reduce(staged: DataFrame, spec: SatSpec) -> tuple[DataFrame, DataFrame]:
@@ -84,8 +92,20 @@ def load_sat(
 
 
 def sat_rejects(stg: DataFrame, spec: SatSpec) -> DataFrame:
-    """Staged rows that tie on the primary key with different payloads."""
-    return _batch_reduce(stage_sat(stg, spec), spec)[1]
+    """Feed rows that the load refuses, with a ``REASON``: ``KEY`` (NULL or
+    blank parent key, or no LOAD_DTS), ``TIE`` (one primary key with two
+    payloads).  Every other row is loaded or absorbed as a duplicate."""
+    refused = stg.filter(~parent_is_valid(spec)).withColumn("REASON", F.lit("KEY"))
+    hk = hash_key(*spec.parent_bk, algo=spec.algo) if spec.parent_bk else F.col(spec.parent_hk)
+    diff = hash_diff(*spec.diff_cols(), algo=spec.algo, strict=spec.strict_hashdiff)
+    valid = stg.filter(parent_is_valid(spec)).withColumns({"_hk": hk, "_hd": diff})
+    pk = ["_hk", *([spec.ssqn] if spec.ssqn else []), LOAD_DTS]
+    ties = valid.groupBy(*pk).agg(F.min("_hd").alias("_lo"), F.max("_hd").alias("_hi")).filter("_lo <> _hi")
+    same = F.lit(True)
+    for c in pk:  # null-safe: the SSQN may be NULL
+        same = same & F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}"))
+    tied = valid.alias("v").join(ties.alias("t"), same, "left_semi").drop("_hk", "_hd")
+    return refused.unionByName(tied.withColumn("REASON", F.lit("TIE")))
 
 
 def _load_latest(staged: DataFrame, sat: DataFrame | None, spec: SatSpec) -> DataFrame:
@@ -149,7 +169,8 @@ def load_multi_active_sets(stg: DataFrame, sat: DataFrame | None, spec: SatSpec)
     if not spec.ssqn:
         raise ValueError("whole-set load needs spec.ssqn")
     hk = spec.parent_hk
-    staged = stage_sat(stg, spec)
+    # One row per primary key; ``sat_rejects`` returns the ties.
+    staged, _ = _batch_reduce(stage_sat(stg, spec), spec)
     row_hash = F.xxhash64(F.col(spec.ssqn).cast("string"), F.col(HASH_DIFF))
 
     def fingerprint(df: DataFrame) -> DataFrame:

@@ -1,20 +1,21 @@
 """Snapshots (P1-P6): spine, point-in-time tables and bridges.
 
+Snapshots are numbered 0, 1, ... from the spine's start, and all the work is
+done on the numbers; a time is made of one only in the result.
+
 PIT build (P2) without a correlated MAX and without a cross join:
 
-1. every satellite version is assigned to the first snapshot at or after
-   its LOAD_DTS (``<=`` is inclusive), and reduced to the latest LOAD_DTS
-   per (key, snapshot) by a partially aggregated group-by; versions older
-   than the first snapshot fold into it;
-2. each hub key gets its own snapshot rows from a ``sequence`` generator
-   (the grid), from the spine start (or the key's first load with
-   ``known_keys_only``) to the spine end;
-3. grid rows and reduced versions are unioned and a ``last(ignorenulls)``
-   window per key carries the latest LOAD_DTS forward.
-
-The window partition of a key holds at most (1 + satellites) rows per
-snapshot, whatever the number of versions, so a hot key cannot blow up one
-task; its cost is bounded by the snapshot horizon.
+1. every satellite version gets the number of the first snapshot at or after
+   its LOAD_DTS (``<=`` is inclusive); one partially aggregated group-by takes
+   the latest LOAD_DTS per (key, number) of all satellites, and each hub key
+   adds one seed row at the number where its snapshots start;
+2. a window per key carries the latest LOAD_DTS forward and finds the next
+   number of the key;
+3. each row is then stretched to the snapshots up to the next row (a
+   ``sequence`` generator after the last shuffle).
+
+So the shuffles and the window hold versions, not keys times snapshots, and a
+hot key has one row per snapshot at most.
 """
 
 from __future__ import annotations
@@ -28,10 +29,8 @@ from pyspark.sql.window import Window
 
 from strongroom.operators.specs import LOAD_DTS, REC_SRC, SNAPSHOT_DTS
 
-# PIT rows are system generated; the reference horizon is ten
-# years of daily snapshots.
+# Fixed value: PIT and bridge rows are system generated.
 SYSGEN = "SYSGEN"
-MAX_SNAPSHOTS = 3650
 
 
 @dataclass(frozen=True)
@@ -40,20 +39,63 @@ class Spine:
 
     ``start`` and ``end`` are Columns (literals or scalar subqueries), so a
     data-derived start never goes through the driver.  ``step`` is a Spark
-    interval string such as '1 day' or '1 year'.
+    interval string such as '1 day' or '1 year'.  Day, month and year steps use
+    calendar arithmetic on TIMESTAMP_NTZ (dates and time-of-day text), so the
+    session time zone and daylight saving never move a version into another
+    snapshot.
     """
 
     start: Column
     end: Column
     step: str = "1 day"
 
-    def sequence(self, start: Column | None = None) -> Column:
-        s = self.start if start is None else start
-        return F.sequence(s, self.end, F.expr(f"INTERVAL {self.step}"))
-
-    def snap_of(self, t: Column) -> Column:
-        """First snapshot at or after ``t`` (``start`` when ``t`` is earlier)."""
-        return _snap_of(t, self.start, self.step)
+    def _unit(self) -> tuple[int, str]:
+        n, unit = self.step.split()
+        n, unit = int(n), unit.lower().rstrip("s")
+        if unit == "year":
+            n, unit = 12 * n, "month"
+        if unit in ("hour", "minute"):
+            n, unit = n * (3600 if unit == "hour" else 60), "second"
+        if unit not in ("day", "month", "second"):
+            raise ValueError(f"unsupported step {self.step!r}")
+        return n, unit
+
+    def at(self, k: Column) -> Column:
+        """Time of snapshot number ``k``."""
+        n, unit = self._unit()
+        k = (k * F.lit(n)).cast("int") if unit != "second" else k * F.lit(n)
+        if unit == "day":
+            return self.start + F.make_dt_interval(days=k)
+        if unit == "second":
+            return F.timestamp_add("SECOND", k, self.start)
+        day = self.start.cast("date")
+        return F.add_months(day, k).cast("timestamp_ntz") + (self.start - day.cast("timestamp_ntz"))
+
+    def index(self, t: Column) -> Column:
+        """Number of the first snapshot at or after ``t`` (0 when ``t`` is earlier)."""
+        n, unit = self._unit()
+        if unit == "day":
+            # Whole days from start's day to t's day, plus one when t is later in its day.
+            days = F.datediff(F.to_date(t), F.to_date(self.start)) + F.when(_tod(t) > _tod(self.start), 1).otherwise(0)
+            k = F.ceil(days / F.lit(n))
+        elif unit == "second":
+            k = F.ceil(F.timestamp_diff("MICROSECOND", self.start, t) / F.lit(n * 1_000_000))
+        else:
+            months = (F.year(t) - F.year(self.start)) * 12 + (F.month(t) - F.month(self.start))
+            k = F.floor(months / F.lit(n)).cast("long")
+            k = F.when(self.at(k) >= t, k).otherwise(k + 1)
+        return F.when(t.isNotNull(), F.greatest(k.cast("long"), F.lit(0).cast("long")))
+
+    def last(self) -> Column:
+        """Number of the last snapshot, -1 when ``end`` is before ``start``."""
+        k = self.index(self.end)
+        return F.when(self.at(k) > self.end, k - 1).otherwise(k)
+
+    def stretch(self, df: DataFrame, lo: Column, hi: Column) -> DataFrame:
+        """Each row once per snapshot number from ``lo`` to ``hi``, with SNAPSHOT_DTS; none where lo > hi."""
+        df = df.withColumns({"_lo": lo, "_hi": hi}).filter(F.col("_lo") <= F.col("_hi"))
+        df = df.withColumn("_k", F.explode(F.sequence("_lo", "_hi"))).withColumn(SNAPSHOT_DTS, self.at(F.col("_k")))
+        return df.drop("_lo", "_hi")
 
 
 def _tod(c: Column) -> Column:
@@ -61,41 +103,6 @@ def _tod(c: Column) -> Column:
     return F.date_format(c, "HH:mm:ss.SSSSSS")
 
 
-def _snap_of(t: Column, start: Column, step: str) -> Column:
-    """First snapshot ``start + k * step`` (k >= 0) at or after ``t``.
-
-    Day, month and year steps use calendar arithmetic on TIMESTAMP_NTZ
-    (dates and time-of-day text), so the session time zone and daylight
-    saving never move a version into another snapshot.
-    """
-    n, unit = step.split()
-    n = int(n)
-    unit = unit.lower().rstrip("s")
-    if unit == "day":
-        # Whole days from start's day to t's day, plus one when t is later in its day.
-        days = F.datediff(F.to_date(t), F.to_date(start)) + F.when(_tod(t) > _tod(start), 1).otherwise(0)
-        k = F.greatest(F.ceil(days / F.lit(n)), F.lit(0)).cast("int")
-        return start + F.make_dt_interval(days=k * F.lit(n))
-    if unit in ("hour", "minute", "second"):
-        secs = {"hour": 3600, "minute": 60, "second": 1}[unit] * n
-        diff = F.timestamp_diff("MICROSECOND", start, t)
-        k = F.greatest(F.ceil(diff / F.lit(secs * 1_000_000)), F.lit(0))
-        return F.timestamp_add("SECOND", k * F.lit(secs), start)
-    if unit in ("month", "year"):
-        months = n * (12 if unit == "year" else 1)
-        m = (F.year(t) - F.year(start)) * 12 + (F.month(t) - F.month(start))
-        k = F.floor(m / F.lit(months))
-        cand = F.add_months(start.cast("date"), (k * months).cast("int")).cast("timestamp_ntz") + (
-            start - start.cast("date").cast("timestamp_ntz")
-        )
-        nxt = F.add_months(start.cast("date"), ((k + 1) * months).cast("int")).cast("timestamp_ntz") + (
-            start - start.cast("date").cast("timestamp_ntz")
-        )
-        snap = F.when(cand >= t, cand).otherwise(nxt)
-        return F.when(t <= start, start).otherwise(snap)
-    raise ValueError(f"unsupported step {step!r}")
-
-
 def spine_from_hub(hub: DataFrame, end: str, step: str = "1 day", at: str = "00:00:00") -> Spine:
     """Snapshots from the day of the hub's first load to ``end``.
 
@@ -114,7 +121,7 @@ def fixed_spine(start: str, end: str, step: str = "1 day") -> Spine:
 def spine_frame(spark_df: DataFrame, spine: Spine) -> DataFrame:
     """The spine as rows (one column SNAPSHOT_DTS), generated from one row."""
     one = spark_df.sparkSession.range(1)
-    return one.select(F.explode(spine.sequence()).alias(SNAPSHOT_DTS))
+    return spine.stretch(one, F.lit(0).cast("long"), spine.last()).select(SNAPSHOT_DTS)
 
 
 def build_pit(
@@ -129,36 +136,32 @@ def build_pit(
     in force (the latest LOAD_DTS <= snapshot), NULL when there is none.
 
     ``sats`` maps the output column name to a satellite (key, LOAD_DTS...).
-    ``since`` builds only snapshots after it (P3, incremental); earlier
-    versions still seed the first new snapshot.
+    ``known_keys_only`` starts each key at its first load (D9); keys first
+    loaded after the last snapshot have no rows.  ``since`` builds only
+    snapshots after it (P3, incremental), none when there is no later one;
+    earlier versions still seed the first new snapshot.
     """
-    start = spine.start
-    if since is not None:
-        start = F.greatest(spine.start, spine.snap_of(since + F.expr("INTERVAL 1 MICROSECOND")))
-    eff = Spine(start, spine.end, spine.step)
-    hk = hub.select(key, LOAD_DTS).groupBy(key).agg(F.min(LOAD_DTS).alias("_first"))
-    if known_keys_only:
-        seq = eff.sequence(F.greatest(eff.start, eff.snap_of(F.col("_first"))))
-    else:
-        seq = eff.sequence()
-    grid = hk.select(key, F.explode(seq).alias(SNAPSHOT_DTS), F.lit(0).alias("_kind"))
-    names = list(sats)
-    grid = grid.select(key, SNAPSHOT_DTS, "_kind", *[F.lit(None).cast("timestamp_ntz").alias(n) for n in names])
-    parts = [grid]
+    start = F.lit(0).cast("long")
+    if since is not None:  # a NULL watermark (nothing stored) starts at 0
+        start = F.greatest(start, spine.index(since + F.expr("INTERVAL 1 MICROSECOND")))
+    names, none = list(sats), F.lit(None).cast("timestamp_ntz")
+    seed = F.greatest(start, spine.index(F.col(LOAD_DTS))) if known_keys_only else start
+    u = hub.select(key, seed.alias("_k"), F.lit(True).alias("_seed"), *[none.alias(n) for n in names])
     for n, sat in sats.items():
-        v = sat.select(key, LOAD_DTS).filter(F.col(LOAD_DTS) <= eff.end)
-        v = v.withColumn(SNAPSHOT_DTS, eff.snap_of(F.col(LOAD_DTS)))
-        v = v.groupBy(key, SNAPSHOT_DTS).agg(F.max(LOAD_DTS).alias(n))
-        cols = [F.col(n) if m == n else F.lit(None).cast("timestamp_ntz").alias(m) for m in names]
-        parts.append(v.select(key, SNAPSHOT_DTS, F.lit(-1).alias("_kind"), *cols))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # Versions sort before the grid row of the same snapshot ('<=' is inclusive).
-    w = Window.partitionBy(key).orderBy(SNAPSHOT_DTS, "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.select(key, SNAPSHOT_DTS, "_kind", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in names])
-    out = filled.filter(F.col("_kind") == 0)
-    return out.select(SNAPSHOT_DTS, key, *names, F.lit(SYSGEN).alias(REC_SRC))
+        cols = [F.col(LOAD_DTS).alias(n) if m == n else none.alias(m) for m in names]
+        k = F.greatest(start, spine.index(F.col(LOAD_DTS)))
+        v = sat.filter(F.col(LOAD_DTS) <= spine.end)
+        u = u.unionByName(v.select(key, k.alias("_k"), F.lit(None).cast("boolean").alias("_seed"), *cols))
+    u = u.groupBy(key, "_k").agg(F.max("_seed").alias("_seed"), *[F.max(n).alias(n) for n in names])
+    w = Window.partitionBy(key).orderBy("_k")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    u = u.select(
+        key, "_k", *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in names],
+        F.max("_seed").over(so_far).alias("_on"), F.lead("_k").over(w).alias("_next"),
+    )  # rows before the key's seed, and keys that the hub lacks, are not on
+    until = F.least(F.coalesce(F.col("_next") - 1, spine.last()), spine.last())
+    u = spine.stretch(u.filter(F.col("_on")), F.col("_k"), until)
+    return u.select(SNAPSHOT_DTS, key, *names, F.lit(SYSGEN).alias(REC_SRC))
 
 
 def pit_read(
@@ -192,22 +195,40 @@ def build_bridge(
 ) -> DataFrame:
     """Hub and link keys pre-joined per snapshot.
 
-    A base-link row appears in every snapshot at or after its LOAD_DTS (a
-    per-row ``sequence``, no cross join); each extra link joins on its key
-    with ``left`` semantics and must itself be loaded by the snapshot.
-    ``deleted`` (key, LOAD_DTS of the deletion) removes relations from the
-    snapshots after their deletion (effectivity).
+    A base-link row appears in every snapshot at or after its LOAD_DTS; each
+    extra link joins on its key with ``left`` semantics and must itself be
+    loaded by the snapshot.  The links are joined as stretches of snapshot
+    numbers (before its first load, a key has a stretch of NULLs) and only
+    the joined rows are stretched to snapshots, so no shuffle carries them.
+
+    ``deleted`` (key, LOAD_DTS and, if it has one, IS_DELETED) is the
+    effectivity of the relations: one is left out of the snapshots at which
+    the latest state says deleted, and returns with a later IS_DELETED = 0.
+    Without that column every row is a deletion.
     """
-    base = base_link.select(*base_keys, LOAD_DTS)
-    first = spine.snap_of(F.col(LOAD_DTS))
-    rows = base.filter(F.col(LOAD_DTS) <= spine.end).select(
-        *base_keys, F.explode(spine.sequence(F.greatest(spine.start, first))).alias(SNAPSHOT_DTS)
+    last = spine.last()
+    rows = base_link.filter(F.col(LOAD_DTS) <= spine.end).select(
+        *base_keys, spine.index(F.col(LOAD_DTS)).alias("_lo"), last.alias("_hi")
     )
     for link, on, cols in joins:
-        lk = link.select(F.col(on).alias("_on"), *cols, F.col(LOAD_DTS).alias("_ld"))
-        cond = (rows[on] == lk["_on"]) & (lk["_ld"] <= rows[SNAPSHOT_DTS])
-        rows = rows.join(lk, cond, "left").drop("_on", "_ld")
+        lk = link.filter(F.col(LOAD_DTS) <= spine.end).select(
+            F.col(on).alias("_on"), *cols, spine.index(F.col(LOAD_DTS)).alias("_l"), last.alias("_h")
+        )
+        before = lk.groupBy("_on").agg(F.min("_l").alias("_first")).filter("_first > 0")
+        nulls = [F.lit(None).cast(lk.schema[c].dataType).alias(c) for c in cols]
+        lk = lk.unionByName(before.select("_on", *nulls, F.lit(0).cast("long").alias("_l"), (F.col("_first") - 1).alias("_h")))
+        rows = rows.join(lk, rows[on] == lk["_on"], "left")
+        # greatest and least skip the NULLs of a base row without a match.
+        rows = rows.withColumns({"_lo": F.greatest("_lo", "_l"), "_hi": F.least("_hi", "_h")}).drop("_on", "_l", "_h")
+        rows = rows.filter(F.col("_lo") <= F.col("_hi"))
+    names = rows.drop("_lo", "_hi").columns
+    rows = spine.stretch(rows, F.col("_lo"), F.col("_hi"))
     if deleted is not None and deleted_key is not None:
-        d = deleted.select(F.col(deleted_key).alias("_dk"), F.col(LOAD_DTS).alias("_dd"))
-        rows = rows.join(d, (rows[deleted_key] == d["_dk"]) & (d["_dd"] <= rows[SNAPSHOT_DTS]), "left_anti")
-    return rows
+        flag = F.col("IS_DELETED") if "IS_DELETED" in deleted.columns else F.lit(1)
+        d = deleted.select(F.col(deleted_key).alias("_dk"), F.col(LOAD_DTS).alias("_t"), flag.cast("int").alias("_gone"))
+        d = d.filter(F.col("_t") <= spine.end).withColumn("_from", spine.index(F.col("_t")))
+        d = d.groupBy("_dk", "_from").agg(F.max(F.struct("_t", "_gone")).getField("_gone").alias("_gone"))
+        d = d.withColumn("_to", F.lead("_from").over(Window.partitionBy("_dk").orderBy("_from"))).filter("_gone = 1")
+        gone = (rows[deleted_key] == d["_dk"]) & (rows["_k"] >= d["_from"]) & (d["_to"].isNull() | (rows["_k"] < d["_to"]))
+        rows = rows.join(d, gone, "left_anti")
+    return rows.select(*names, SNAPSHOT_DTS, F.lit(SYSGEN).alias(REC_SRC))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where nothing has been written yet; other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")
     if partition_by:
@@ -62,21 +73,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def materialise(df: DataFrame, path: str, mode: str = "overwrite", key: list[str] | None = None) -> DataFrame:
     """Write a view as a table and return the table.
 
-    ``mode='overwrite'`` rebuilds it; ``mode='incremental'`` appends only rows
-    whose ``key`` is not in the table yet (an anti join on the key columns).
+    ``mode='overwrite'`` rebuilds it.  ``mode='incremental'`` appends only rows
+    whose ``key`` is not in the table yet (an anti join on the key columns),
+    for insert-only views.  ``mode='refresh'`` also replaces the rows of keys
+    that ``df`` holds, for Type 1 tables; rows of other keys stay.
     """
     spark = df.sparkSession
     if mode == "overwrite":
         overwrite(df, path)
-    elif mode == "incremental":
+    elif mode in ("incremental", "refresh"):
         if not key:
-            raise ValueError("incremental materialisation needs key columns")
-        try:
-            stored = spark.read.parquet(path)
-        except Exception:  # first run: nothing stored yet
-            stored = None
-        new = df if stored is None else df.join(stored.select(*key), key, "left_anti")
-        append(new, path)
+            raise ValueError(f"{mode} materialisation needs key columns")
+        stored = read_or_none(spark, path)
+        if stored is None:
+            append(df, path)
+        elif mode == "incremental":
+            append(df.join(stored.select(*key), key, "left_anti"), path)
+        else:
+            rest = stored.join(df.select(*key), key, "left_anti")
+            # The table can't be overwritten while it is read.
+            overwrite(cut_lineage(df.unionByName(rest)), path)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return spark.read.parquet(path)
@@ -86,19 +102,12 @@ def row_count_meta(spark: SparkSession, path: str) -> DataFrame:
     """Row count from Parquet footers, without a data scan (Q1.2).
 
     Uses the V2 Parquet source with aggregate push-down, so the plan shows
-    ``PushedAggregation: [COUNT(*)]``; the settings are restored afterwards.
+    ``PushedAggregation: [COUNT(*)]``; the settings are those of a session of
+    its own, so queries that run at the same time don't see them.
     """
-    keys = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")
-    old = {k: spark.conf.get(k, None) for k in keys}
-    spark.conf.set("spark.sql.sources.useV1SourceList", "")
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    try:
-        df = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("approx_rows"))
-        rows = df.collect()  # one aggregated row, answered from metadata
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    # One aggregated row, answered from metadata.
+    rows = own.read.parquet(path).agg(F.count(F.lit(1)).alias("approx_rows")).collect()
     return spark.createDataFrame(rows, "approx_rows bigint")

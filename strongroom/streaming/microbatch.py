@@ -3,11 +3,12 @@
 R1: the batch loaders run once per micro-batch inside ``foreachBatch``.
 Every load is idempotent (anti joins on keys, timeline rule for
 satellites), so a micro-batch retried after an executor or driver loss adds
-nothing twice, and the checkpoint keeps the source offsets.
+nothing twice, and the checkpoint keeps the source offsets.  Rows that a
+load refuses are written to the target's rejects table.
 
-R2: re-delivered rows are dropped before the load with a watermark on the
-event time and ``dropDuplicatesWithinWatermark``; the watermark column must
-be TIMESTAMP (not TIMESTAMP_NTZ), so it is cast.
+R2: re-delivered rows are dropped before the load, either by the rows that
+are stored already (whatever their age), or within a time limit by Spark's
+state store.
 """
 
 from __future__ import annotations
@@ -15,51 +16,50 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strongroom.operators.hub import load_hub
-from strongroom.operators.link import load_link
-from strongroom.operators.satellite import load_sat
+from strongroom.operators.hub import hub_rejects, load_hub
+from strongroom.operators.link import link_rejects, load_link
+from strongroom.operators.satellite import load_sat, sat_rejects
 from strongroom.operators.specs import HubSpec, LinkSpec, SatSpec
-from strongroom.sources.io import append
-
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # not written yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+from strongroom.sources.io import append, overwrite, read_or_none
 
 
 @dataclass
 class VaultTarget:
-    """Where one entity lives and how it is loaded."""
+    """Where one entity lives, how it is loaded, and where refused rows go."""
 
     spec: HubSpec | LinkSpec | SatSpec
     path: str
     mode: str = "timeline"
+    rejects: str | None = None
 
 
 def vault_batch_loader(targets: Sequence[VaultTarget]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function loading hubs, then links, then satellites."""
+    """A ``foreachBatch`` function loading hubs, then links, then satellites.
+
+    The refused rows of a batch and target are written to a folder of their
+    own, ``<rejects>/BATCH_ID=<n>``, which a retry overwrites."""
     order = {HubSpec: 0, LinkSpec: 1, SatSpec: 2}
     ordered = sorted(targets, key=lambda t: order[type(t.spec)])
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read once, for all targets
         for t in ordered:
-            stored = _read_or_none(spark, t.path)
+            stored = read_or_none(spark, t.path)
             if isinstance(t.spec, HubSpec):
-                new = load_hub(batch, stored, t.spec)
+                new, refused = load_hub(batch, stored, t.spec), hub_rejects
             elif isinstance(t.spec, LinkSpec):
-                new = load_link(batch, stored, t.spec)
+                new, refused = load_link(batch, stored, t.spec), link_rejects
             else:
-                new = load_sat(batch, stored, t.spec, mode=t.mode)
+                new, refused = load_sat(batch, stored, t.spec, mode=t.mode), sat_rejects
             append(new, t.path)
+            if t.rejects:
+                overwrite(refused(batch, t.spec), f"{t.rejects}/BATCH_ID={batch_id}")
+        batch.unpersist()
 
     return run
 
@@ -77,20 +77,36 @@ def stream_load(
 
 
 def redelivery_filter(stream: DataFrame, keys: Sequence[str], event_ts: str, hours: int = 96) -> DataFrame:
-    """R2: drop rows delivered again within ``hours`` of event time.
-
-    The key must include the event time: A -> B -> A is three versions and
-    must stay so.  Rows older than the watermark are late and dropped too,
-    so this filter is optional ahead of R1 (which drops nothing)."""
+    """R2 with bounded state: drop rows delivered again within ``hours`` of
+    event time.  The key must include the event time: A -> B -> A is three
+    versions and must stay so.  Spark's watermark drops rows older than that
+    as well; where late rows may come, use ``unseen_sink``, which keeps them."""
     wm = "_wm_ts"
     s = stream.withColumn(wm, F.col(event_ts).cast("timestamp")).withWatermark(wm, f"{int(hours)} hours")
     return s.dropDuplicatesWithinWatermark(list(keys) + [wm]).drop(wm)
 
 
-def sink_parquet(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` sink appending each micro-batch to a Parquet table."""
+def unseen_sink(path: str, keys: Sequence[str], event_ts: str) -> Callable[[DataFrame, int], None]:
+    """R2: ``foreachBatch`` sink appending the rows of a micro-batch whose keys
+    and event time are not stored yet, however late they come.  Only the
+    stored rows between the batch's first and last event time are compared.
+    A retried micro-batch adds nothing twice."""
+    full = [*keys, event_ts]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        append(batch, path)
+        batch = batch.persist()
+        new = batch.dropDuplicates(full)
+        stored = read_or_none(batch.sparkSession, path)
+        if stored is not None:
+            lo, hi = batch.agg(F.min(event_ts), F.max(event_ts)).first()
+            seen = stored.select(*full)
+            if lo is not None:  # rows without an event time are compared as well
+                seen = seen.filter(F.col(event_ts).between(F.lit(lo), F.lit(hi)) | F.col(event_ts).isNull())
+            same = F.lit(True)
+            for c in full:
+                same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}"))
+            new = new.alias("n").join(seen.alias("s"), same, "left_anti")
+        append(new, path)
+        batch.unpersist()
 
     return run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
@@ -80,9 +82,13 @@ def q_sat_replay(spark, d):
 @register("sat_window", SAT_STATE_SQL)
 def q_sat_window(spark, d):
     stg = feeds.stg_user_events(spark, d)
-    sat = cut_lineage(load_sat(stg.filter(F.col("LOAD_DTS") < T("2024-01-20")), None, model.SAT_USER_STATE))
-    for as_of_day in ("2024-01-22", "2024-01-25", "2024-01-28", "2024-01-31"):
-        batch = window_extract(stg, "LOAD_DTS", as_of_day, hours=96)
+    # The history up to 9 days before the feed's end in one load, then an extract every 3 days until past the end.
+    end = stg.agg(F.max("LOAD_DTS").cast("date")).first()[0] or dt.date(1970, 1, 1)
+    days = [end + dt.timedelta(days=k) for k in (-8, -5, -2, 1)]
+    history = stg.filter(F.col("LOAD_DTS") < F.lit(days[0] - dt.timedelta(days=2)).cast("timestamp_ntz"))
+    sat = cut_lineage(load_sat(history, None, model.SAT_USER_STATE))
+    for as_of_day in days:
+        batch = window_extract(stg, "LOAD_DTS", as_of_day.isoformat(), hours=96)
         sat = cut_lineage(sat.unionByName(load_sat(batch, sat, model.SAT_USER_STATE)))
     return sat
 

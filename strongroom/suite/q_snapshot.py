@@ -128,7 +128,7 @@ def q_dim_at(spark, d):
     f"""WITH l AS ({LNK_ORDER_ITEM_SQL}),
     p AS ({S.link_sql(S.STG_PAYMENTS, 'ORDER_PAYMENT_HK', [('ORDER_HK', 'ORDER_NUMBER'), ('PAYMENT_METHOD_HK', 'PAYMENT_METHOD_CODE')])}),
     d AS (SELECT unnest(generate_series(TIMESTAMP '{LINK_SPINE[0]}', TIMESTAMP '{LINK_SPINE[1]}', INTERVAL 1 YEAR)) AS SNAPSHOT_DTS)
-    SELECT l.ORDER_ITEM_HK, l.ORDER_HK, l.PRODUCT_HK, l.CUSTOMER_HK, d.SNAPSHOT_DTS, p.PAYMENT_METHOD_HK
+    SELECT l.ORDER_ITEM_HK, l.ORDER_HK, l.PRODUCT_HK, l.CUSTOMER_HK, d.SNAPSHOT_DTS, p.PAYMENT_METHOD_HK, 'SYSGEN' AS REC_SRC
     FROM l JOIN d ON l.LOAD_DTS <= d.SNAPSHOT_DTS
     LEFT JOIN p ON p.ORDER_HK = l.ORDER_HK AND p.LOAD_DTS <= d.SNAPSHOT_DTS""",
 )

@@ -1,5 +1,5 @@
-"""Streaming queries (R1, R2): events delivered as four overlapping,
-time-ordered files (each re-delivers the last days of the one before)."""
+"""Streaming queries (R1, R2): events delivered in four overlapping,
+time-ordered deliveries (each re-delivers the last part of the one before)."""
 
 from __future__ import annotations
 
@@ -7,45 +7,45 @@ from pyspark.sql import functions as F
 
 from strongroom.sources import feeds
 from strongroom.sources.io import scratch_path
-from strongroom.streaming.microbatch import VaultTarget, redelivery_filter, sink_parquet, stream_load
+from strongroom.streaming.microbatch import VaultTarget, stream_load, unseen_sink
 from strongroom.suite import model
 from strongroom.suite import sqlbits as S
 from strongroom.suite.q_satellite import SAT_STATE_SQL
 from strongroom.suite.registry import register
 
-# Fixed delivery windows [from, to) of the four files; overlaps are re-deliveries.
-DELIVERIES = [
-    ("2024-01-01", "2024-01-09"),
-    ("2024-01-06", "2024-01-16"),
-    ("2024-01-13", "2024-01-23"),
-    ("2024-01-20", "2024-02-01"),
-]
+DELIVERIES = 4
 
 
-def delivered_events(spark, d) -> tuple[str, object]:
-    """Write the staged events as four files, one append each (so file
-    modification times follow delivery order); returns (folder, schema)."""
-    stg = feeds.stg_user_events(spark, d)
+def delivered(spark, stg, start):
+    """Land each delivery as a folder of files and run the stream over what is
+    new; ``start`` makes the stream of the landing folder, on one checkpoint.
+
+    The deliveries cut the time between the feed's first and last event evenly,
+    and each begins a quarter of that before the end of the one before; rows
+    without a time come with the last one."""
     folder = scratch_path(spark, "landing_events")
-    for lo, hi in DELIVERIES:
-        part = stg.filter(
-            (F.col("LOAD_DTS") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("LOAD_DTS") < F.lit(hi).cast("timestamp_ntz"))
-        )
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return folder, stg.schema
+    t = F.col("LOAD_DTS")
+    lo, hi = stg.agg(F.min(t), F.max(t)).first()
+    step = None if lo is None else (hi - lo) / DELIVERIES
+    for k in range(DELIVERIES):
+        part = stg
+        if step is not None:
+            part = stg.filter(t >= F.lit(lo + (k - (k > 0) / 4) * step))
+            part = part.filter(t < F.lit(lo + (k + 1) * step)) if k + 1 < DELIVERIES else part.unionByName(stg.filter(t.isNull()))
+        part.write.parquet(f"{folder}/delivery={k}")
+        src = spark.readStream.schema(stg.schema).parquet(f"{folder}/*")
+        start(src).awaitTermination()
 
 
 @register("stream_load", SAT_STATE_SQL)
 def q_stream_load(spark, d):
-    folder, schema = delivered_events(spark, d)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     hub_path, sat_path = scratch_path(spark, "hub_user"), scratch_path(spark, "sat_user_state")
-    q = stream_load(
-        src,
-        [VaultTarget(model.HUB_USER, hub_path), VaultTarget(model.SAT_USER_STATE, sat_path)],
-        scratch_path(spark, "ckpt_stream_load"),
-    )
-    q.awaitTermination()
+    refused, checkpoint = scratch_path(spark, "rejects"), scratch_path(spark, "ckpt_stream_load")
+    targets = [
+        VaultTarget(model.HUB_USER, hub_path, rejects=f"{refused}/hub"),
+        VaultTarget(model.SAT_USER_STATE, sat_path, rejects=f"{refused}/sat"),
+    ]
+    delivered(spark, feeds.stg_user_events(spark, d), lambda src: stream_load(src, targets, checkpoint))
     return spark.read.parquet(sat_path)
 
 
@@ -54,15 +54,11 @@ def q_stream_load(spark, d):
     f"SELECT USER_ID, EVENT_ID, EVENT_TYPE, VALUE, PROPS, LOAD_DTS, REC_SRC FROM ({S.STG_USER_EVENTS})",
 )
 def q_stream_dedup(spark, d):
-    folder, schema = delivered_events(spark, d)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    clean = redelivery_filter(src, ["USER_ID", "EVENT_ID"], "LOAD_DTS", hours=96)
-    out = scratch_path(spark, "events_dedup")
-    q = (
-        clean.writeStream.foreachBatch(sink_parquet(out))
-        .option("checkpointLocation", scratch_path(spark, "ckpt_stream_dedup"))
-        .trigger(availableNow=True)
-        .start()
+    out, checkpoint = scratch_path(spark, "events_dedup"), scratch_path(spark, "ckpt_stream_dedup")
+    sink = unseen_sink(out, ["USER_ID", "EVENT_ID"], "LOAD_DTS")
+    delivered(
+        spark,
+        feeds.stg_user_events(spark, d),
+        lambda src: src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(),
     )
-    q.awaitTermination()
     return spark.read.parquet(out).select("USER_ID", "EVENT_ID", "EVENT_TYPE", "VALUE", "PROPS", "LOAD_DTS", "REC_SRC")
