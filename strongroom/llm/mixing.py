@@ -131,10 +131,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 
 def numbered(rows: DataFrame, chunk: int = 4096) -> DataFrame:
-    """Each row ``n`` times, with ``k`` from 0; made in chunks that are dealt out to all tasks."""
+    """Each row ``n`` times, with ``k`` from 0; made in chunks that are dealt out to all tasks.
+
+    The number of tasks is given, as Spark would join the short chunk rows,
+    whose size says nothing of what they are about to make, into few tasks.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = lambda n: F.floor((n - 1) / chunk).cast("long")
     zero = F.lit(0).cast("long")
-    chunks = rows.where("n > 0").withColumn("_c", F.explode(F.sequence(zero, last(F.col("n"))))).repartition("number", "_c")
+    chunks = rows.where("n > 0").withColumn("_c", F.explode(F.sequence(zero, last(F.col("n"))))).repartition(tasks, "number", "_c")
     first = F.col("_c") * chunk
     return chunks.withColumn("k", F.explode(F.sequence(first, F.least(first + chunk, F.col("n")) - 1))).drop("_c", "n")
 
