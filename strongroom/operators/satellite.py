@@ -260,21 +260,26 @@ def merge_sats(
 ) -> DataFrame:
     """Merge two satellite histories of one parent without losing a version
     (S14): the merged timeline has a row at every change time of either
-    side, each side filled as of that time; equal neighbours are dropped."""
+    side, each side filled as of that time; equal neighbours are dropped.
+    REC_SRC names the source of the side that changed, both joined by '+'
+    where they changed at once and differ."""
     a_cols, b_cols = list(a_cols), list(b_cols)
-    sa = a.select(key, LOAD_DTS, F.struct(*a_cols).alias("_a"), F.lit(None).alias("_b"))
-    sb = b.select(key, LOAD_DTS, F.lit(None).alias("_a"), F.struct(*b_cols).alias("_b"))
+    src, none = F.col(REC_SRC), F.lit(None).cast("string")
+    sa = a.select(key, LOAD_DTS, F.struct(*a_cols).alias("_a"), F.lit(None).alias("_b"), src.alias("_sa"), none.alias("_sb"))
+    sb = b.select(key, LOAD_DTS, F.lit(None).alias("_a"), F.struct(*b_cols).alias("_b"), none.alias("_sa"), src.alias("_sb"))
     sa = sa.withColumn("_b", F.col("_b").cast(sb.schema["_b"].dataType))
     sb = sb.withColumn("_a", F.col("_a").cast(sa.schema["_a"].dataType))
     u = sa.unionByName(sb)
     # Equal times on both sides collapse into one row before filling.
-    u = u.groupBy(key, LOAD_DTS).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    u = u.groupBy(key, LOAD_DTS).agg(*[F.max(c).alias(c) for c in ("_a", "_b", "_sa", "_sb")])
+    both = F.when(F.col("_sa") != F.col("_sb"), F.concat("_sa", F.lit("+"), "_sb"))
+    u = u.withColumn(REC_SRC, F.coalesce(both, "_sa", "_sb"))
     w = Window.partitionBy(key).orderBy(LOAD_DTS).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_a", F.last("_a", ignorenulls=True).over(w)).withColumn(
         "_b", F.last("_b", ignorenulls=True).over(w)
     )
     cols = [F.col(f"_a.{c}").alias(c) for c in a_cols] + [F.col(f"_b.{c}").alias(c) for c in b_cols]
-    m = u.select(key, LOAD_DTS, *cols)
+    m = u.select(key, LOAD_DTS, REC_SRC, *cols)
     m = m.withColumn(HASH_DIFF, hash_diff(*(a_cols + b_cols), algo=algo))
     m = previous_value(m, [key], LOAD_DTS, HASH_DIFF, "_prev")
     return m.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(HASH_DIFF))).drop("_prev")

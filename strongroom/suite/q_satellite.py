@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
 from strongroom.operators.effectivity import detect_deletes, driving_key_effectivity, last_observed, load_effectivity
+from strongroom.operators.hub import hub_rejects
+from strongroom.operators.link import link_rejects
 from strongroom.operators.satellite import (
     as_of,
     as_of_bitemporal,
@@ -17,8 +19,10 @@ from strongroom.operators.satellite import (
     load_multi_active_sets,
     load_sat,
     merge_sats,
+    sat_rejects,
     split_sat,
 )
+from strongroom.operators.specs import LinkSpec
 from strongroom.operators.staging import window_extract
 from strongroom.sources import feeds
 from strongroom.sources.io import cut_lineage
@@ -231,6 +235,8 @@ def q_sat_split(spark, d):
     t AS (SELECT USER_HK, LOAD_DTS FROM a UNION SELECT USER_HK, LOAD_DTS FROM b),
     m AS (SELECT t.USER_HK, t.LOAD_DTS,
             (SELECT a.EVENT_TYPE FROM a WHERE a.USER_HK = t.USER_HK AND a.LOAD_DTS = (SELECT max(LOAD_DTS) FROM a a2 WHERE a2.USER_HK = t.USER_HK AND a2.LOAD_DTS <= t.LOAD_DTS)) AS EVENT_TYPE,
+            coalesce((SELECT a.REC_SRC FROM a WHERE a.USER_HK = t.USER_HK AND a.LOAD_DTS = t.LOAD_DTS),
+                     (SELECT b.REC_SRC FROM b WHERE b.USER_HK = t.USER_HK AND b.LOAD_DTS = t.LOAD_DTS)) AS REC_SRC,
             (SELECT b.VALUE FROM b WHERE b.USER_HK = t.USER_HK AND b.LOAD_DTS = (SELECT max(LOAD_DTS) FROM b b2 WHERE b2.USER_HK = t.USER_HK AND b2.LOAD_DTS <= t.LOAD_DTS)) AS VALUE
           FROM t),
     h AS (SELECT *, {S.hd('EVENT_TYPE', 'VALUE')} AS HASH_DIFF FROM m)
@@ -282,6 +288,55 @@ def q_driving_key(spark, d):
     return _driving(spark, d)
 
 
+# S7 in batches: each batch of the feed meets the rows stored by those before it.
+@register("driving_key_batches", DK_SQL)
+def q_driving_key_batches(spark, d):
+    stg = feeds.stg_user_events(spark, d)
+    stored = None
+    for lo, hi in ((None, "2024-01-11"), ("2024-01-09", "2024-01-21"), ("2024-01-21", None)):
+        batch = stg if lo is None else stg.filter(F.col("LOAD_DTS") >= T(lo))
+        batch = batch if hi is None else batch.filter(F.col("LOAD_DTS") < T(hi))
+        new = driving_key_effectivity(batch, "USER_STATE_HK", ["USER_ID"], ["EVENT_TYPE"], stored=stored)
+        stored = cut_lineage(new if stored is None else stored.unionByName(new))
+    return stored
+
+
+# Rows that loads refuse.  The feed is broken on purpose: errors
+# have a blank user, large values none, and times are cut to the hour, so that
+# events of a user tie.
+ST_BROKEN = f"""SELECT CASE WHEN EVENT_TYPE = 'error' THEN ' ' WHEN VALUE > 190 THEN NULL ELSE USER_ID END AS USER_ID, EVENT_ID,
+    EVENT_TYPE, date_trunc('hour', LOAD_DTS)::TIMESTAMP AS LOAD_DTS, REC_SRC FROM ({S.STG_USER_EVENTS})"""
+
+
+def broken_events(spark, d):
+    user = F.when(F.col("EVENT_TYPE") == "error", " ").when(F.col("VALUE") > 190, None).otherwise(F.col("USER_ID"))
+    hour = F.date_trunc("hour", F.col("LOAD_DTS")).cast("timestamp_ntz")
+    return feeds.stg_user_events(spark, d).select(user.alias("USER_ID"), "EVENT_ID", "EVENT_TYPE", hour.alias("LOAD_DTS"), "REC_SRC")
+
+
+@register(
+    "sat_rejects",
+    f"""WITH f AS (SELECT * REPLACE (nullif(trim(USER_ID), '') AS USER_ID), USER_ID AS raw FROM ({ST_BROKEN}))
+    SELECT raw AS USER_ID, EVENT_ID, EVENT_TYPE, LOAD_DTS, REC_SRC, 'KEY' AS REASON FROM f WHERE USER_ID IS NULL
+    UNION ALL
+    SELECT raw, EVENT_ID, EVENT_TYPE, LOAD_DTS, REC_SRC, 'TIE' FROM f WHERE USER_ID IS NOT NULL AND EXISTS (
+        SELECT 1 FROM f g WHERE g.USER_ID = f.USER_ID AND g.LOAD_DTS = f.LOAD_DTS AND g.EVENT_TYPE <> f.EVENT_TYPE)""",
+)
+def q_sat_rejects(spark, d):
+    return sat_rejects(broken_events(spark, d), model.SAT_USER_STATE)
+
+
+@register("hub_rejects", f"SELECT * FROM ({ST_BROKEN}) WHERE USER_ID IS NULL OR trim(USER_ID) = ''")
+def q_hub_rejects(spark, d):
+    return hub_rejects(broken_events(spark, d), model.HUB_USER)
+
+
+@register("link_rejects", f"SELECT * FROM ({ST_BROKEN}) WHERE nullif(trim(USER_ID), '') IS NULL OR EVENT_ID IS NULL")
+def q_link_rejects(spark, d):
+    spec = LinkSpec("LNK_USER_EVENT", "USER_EVENT_HK", (("USER_HK", ("USER_ID",)), ("EVENT_HK", ("EVENT_ID",))))
+    return link_rejects(broken_events(spark, d), spec)
+
+
 # Load the driving-key rows into a link effectivity satellite, in two
 # overlapping batches; the overlap adds nothing.
 @register(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strongroom.functions.hashing import hash_key
 from strongroom.operators.specs import SNAPSHOT_DTS
 from strongroom.plans.snapshot import build_bridge, build_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
+from strongroom.sources import feeds
 from strongroom.sources.io import cut_lineage
 from strongroom.suite import model
 from strongroom.suite import sqlbits as S
@@ -140,3 +142,33 @@ def q_bridge_sales(spark, d):
         [(model.lnk_order_payment(spark, d), "ORDER_HK", ["PAYMENT_METHOD_HK"])],
         spine,
     )
+
+
+# P6 with effectivity: an order's lines leave the bridge when its last line
+# has been shipped and come back two years later.
+EFF_SQL = f"""SELECT {S.hk('l_orderkey')} AS ORDER_HK, unnest([max(l_shipdate)::TIMESTAMP, max(l_shipdate)::TIMESTAMP + INTERVAL 2 YEAR]) AS LOAD_DTS,
+    unnest([1, 0]) AS IS_DELETED FROM lineitem GROUP BY l_orderkey"""
+
+
+def order_effectivity(spark, d):
+    last = feeds.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").cast("timestamp_ntz").alias("_t"))
+    gone = last.select(hash_key("l_orderkey").alias("ORDER_HK"), F.col("_t").alias("LOAD_DTS"), F.lit(1).alias("IS_DELETED"))
+    back = last.select(
+        hash_key("l_orderkey").alias("ORDER_HK"), (F.col("_t") + F.expr("INTERVAL 2 YEARS")).alias("LOAD_DTS"), F.lit(0).alias("IS_DELETED")
+    )
+    return gone.unionByName(back)
+
+
+@register(
+    "bridge_effective",
+    f"""WITH l AS ({LNK_ORDER_ITEM_SQL}), e AS ({EFF_SQL}),
+    d AS (SELECT unnest(generate_series(TIMESTAMP '{LINK_SPINE[0]}', TIMESTAMP '{LINK_SPINE[1]}', INTERVAL 1 YEAR)) AS SNAPSHOT_DTS)
+    SELECT l.ORDER_ITEM_HK, l.ORDER_HK, d.SNAPSHOT_DTS, 'SYSGEN' AS REC_SRC FROM l JOIN d ON l.LOAD_DTS <= d.SNAPSHOT_DTS
+    LEFT JOIN (SELECT e.ORDER_HK, d.SNAPSHOT_DTS, arg_max(IS_DELETED, LOAD_DTS) AS gone FROM e JOIN d ON e.LOAD_DTS <= d.SNAPSHOT_DTS GROUP BY 1, 2) s
+      ON s.ORDER_HK = l.ORDER_HK AND s.SNAPSHOT_DTS = d.SNAPSHOT_DTS
+    WHERE coalesce(s.gone, 0) = 0""",
+)
+def q_bridge_effective(spark, d):
+    keys = ["ORDER_ITEM_HK", "ORDER_HK"]
+    eff = order_effectivity(spark, d)
+    return build_bridge(model.lnk_order_item(spark, d), keys, [], fixed_spine(*LINK_SPINE), deleted=eff, deleted_key="ORDER_HK")
