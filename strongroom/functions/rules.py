@@ -3,7 +3,9 @@
 Patterns are plain regular expressions that Java and RE2 read alike.
 Fixed values:
   email         [A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}
-  phone         \\+?[0-9][0-9 ()./-]{6,}[0-9]
+  phone         a '+' and 8 or more digits and separators; or a leading 0 and
+                groups of digits; or three groups with blanks or hyphens (no
+                dates, plain numbers or addresses of four numbers)
   E.164 shape   \\+[1-9][0-9]{6,14}
   masks         <EMAIL>, <PHONE>
 """
@@ -14,7 +16,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE_RE = r"\+?[0-9][0-9 ()./-]{6,}[0-9]"
+PHONE_RE = (
+    r"\+[0-9][0-9 ()./-]{6,}[0-9]"
+    r"|\b0[0-9]{1,4}[ -]?[0-9]{3,4}[ -]?[0-9]{2,5}\b"
+    r"|\(?\b[0-9]{2,4}\)?[ -][0-9]{3,4}[ -][0-9]{3,4}\b"
+)
 E164_RE = r"^\+[1-9][0-9]{6,14}$"
 EMAIL_MASK = "<EMAIL>"
 PHONE_MASK = "<PHONE>"

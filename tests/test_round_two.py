@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from strongroom.functions.rules import mask_phones
 from strongroom.operators import profiling as P
 from strongroom.operators.audit import audit_hash_drift
 from strongroom.operators.effectivity import driving_key_effectivity, driving_key_rejects
@@ -148,3 +149,10 @@ def test_stream_loses_no_row(spark, tmp_path):
     assert rows(refused, "EMAIL", "REASON") == [("2", "KEY"), ("3", "TIE"), ("4", "TIE")]
     assert spark.read.parquet(f"{root}/r/hub").count() == 1 == hub_rejects(spark.createDataFrame(first, FEED), HUB).count()
     assert spark.read.parquet(f"{root}/seen").count() == 5  # the late row is kept, the repeated one is not
+
+
+def test_phone_mask_leaves_dates_and_numbers(spark):
+    texts = ["on 2024-01-15 order 123456789", "05/06/2024 05.06.2024", "ip 192.168.100.101", "card 4111111111111111"]
+    phones = ["+1 (555) 123-4567", "0412 345 678", "555-123-4567", "(02) 9123 4567"]
+    df = spark.createDataFrame([(t,) for t in texts + [f"call {p} now" for p in phones]], "t string")
+    assert [r[0] for r in df.select(mask_phones("t")).collect()] == texts + ["call <PHONE> now"] * len(phones)
