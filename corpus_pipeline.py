@@ -68,7 +68,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 #: SQL can't express the stages (hyperdimensional vectors, XXH64, a tokenizer);
-#: tests/llm/test_pipeline.py holds them against brute force.
+#: tests/llm/test_llm_pipeline.py holds them against brute force.
 ORACLE_SQL = None
 
 
