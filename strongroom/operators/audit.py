@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import _join, hash_key, normalise_key
-from strongroom.operators.common import null_safe_differs, previous_value
+from strongroom.operators.common import HOT_KEY_BUCKET, null_safe_differs, previous_value
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC
 
 
@@ -67,9 +67,9 @@ def audit_hash_drift(hub: DataFrame, hk: str, bk: Sequence[str], algo: str = "sh
     return expected.filter(null_safe_differs(F.col(hk), F.col("EXPECTED_HK")))
 
 
-def audit_consecutive_equal(sat: DataFrame, keys: Sequence[str], hot_key_bucket: str | None = None) -> DataFrame:
+def audit_consecutive_equal(sat: DataFrame, keys: Sequence[str], hot_key_bucket: str | None = HOT_KEY_BUCKET) -> DataFrame:
     """Versions whose HASH_DIFF equals the previous version of their key."""
-    p = previous_value(sat, keys, LOAD_DTS, HASH_DIFF, "_prev", hot_key_bucket)
+    p = previous_value(sat, keys, LOAD_DTS, HASH_DIFF, "_prev", hot_key_bucket, tie=[HASH_DIFF])
     return p.filter(F.col("_prev") == F.col(HASH_DIFF)).drop("_prev")
 
 

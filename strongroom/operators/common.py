@@ -34,44 +34,104 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
+#: Time unit into which the history of a key is cut, so that a key with a
+#: third of all rows is spread over many tasks; None keeps a key in one.
+HOT_KEY_BUCKET = "day"
+PART = "_part"
+
+
+def with_parts(df: DataFrame, keys: Sequence[str], order_col: str, bucket: str | None = HOT_KEY_BUCKET) -> DataFrame:
+    """Add ``_part``, a struct of the keys and the time bucket of ``order_col``.
+
+    As one column it compares NULL parts as equal, and the windows, the
+    group-by and the join below share one partitioning by it.
+    """
+    if PART in df.columns:
+        return df
+    cut = [F.date_trunc(bucket, F.col(order_col)).alias("_bucket")] if bucket else []
+    return df.withColumn(PART, F.struct(*[F.col(k) for k in keys], *cut))
+
+
+def _hand_over(df: DataFrame, parts: DataFrame, keys: Sequence[str], summary: Column, across) -> DataFrame:
+    """Add ``_border``: what the other buckets of the key hand to a bucket.
+
+    ``summary`` is one value per bucket (partially aggregated before the
+    shuffle), ``across`` takes it over the key's buckets in time order.
+    """
+    w = Window.partitionBy(*[F.col(PART)[k] for k in keys]).orderBy(F.col(PART)["_bucket"])
+    per = parts.groupBy(PART).agg(summary.alias("_s"))
+    return df.join(per.select(PART, across(F.col("_s"), w).alias("_border")), PART, "left")
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     value: str,
     out: str,
-    bucket: str | None = None,
+    bucket: str | None = HOT_KEY_BUCKET,
     tie: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out`` = the ``value`` of the previous row of the same key by ``order_col``.
 
-    ``bucket=None`` is a plain ``lag`` window partitioned by the key.  With
-    ``bucket`` (a ``date_trunc`` unit such as 'day' or 'hour') the timeline of
-    a key is cut into time buckets, so a hot key is spread over many window
-    partitions: ``lag`` runs inside each (key, bucket); the first row of a
-    bucket takes the last value of the previous non-empty bucket, found by a
-    partially aggregated group-by and a window over buckets only.
+    The timeline of a key is cut into time buckets (a ``date_trunc`` unit), so
+    a hot key is spread over many window partitions: ``lag`` runs inside each
+    (key, bucket); the first row of a bucket takes the last value of the
+    previous non-empty bucket.  ``bucket=None`` is one plain window per key.
     ``tie`` adds columns that order rows sharing one ``order_col`` value.
     """
-    keys = list(keys)
     order = [F.col(order_col)] + [F.col(c) for c in tie]
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.lag(value).over(w))
-    b = "_bucket"
-    tmp = df.withColumn(b, F.date_trunc(bucket, F.col(order_col)))
-    w_in = Window.partitionBy(*keys, b).orderBy(*order)
-    tmp = tmp.withColumn("_prev_in", F.lag(value).over(w_in)).withColumn(
-        "_first_in", F.row_number().over(w_in) == 1
-    )
-    last = tmp.groupBy(*keys, b).agg(
-        F.max(F.struct(*order, F.col(value).alias("_v"))).getField("_v").alias("_last_val")
-    )
-    w_b = Window.partitionBy(*keys).orderBy(F.col(b))
-    last = last.withColumn("_prev_bucket", F.lag("_last_val").over(w_b)).drop("_last_val")
-    tmp = tmp.join(last, keys + [b], "left")
-    res = F.when(F.col("_first_in"), F.col("_prev_bucket")).otherwise(F.col("_prev_in"))
-    return tmp.withColumn(out, res).drop(b, "_prev_in", "_first_in", "_prev_bucket")
+    parts = with_parts(df, keys, order_col, bucket)
+    w = Window.partitionBy(PART).orderBy(*order)
+    res = parts.withColumns({out: F.lag(value).over(w), "_edge": F.row_number().over(w) == 1})
+    if bucket:
+        res = _hand_over(res, parts, keys, F.max_by(value, F.struct(*order)), lambda s, w: F.lag(s).over(w))
+        res = res.withColumn(out, F.when(F.col("_edge"), F.col("_border")).otherwise(F.col(out)))
+    return res.drop(PART, "_edge", "_border")
+
+
+def next_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    value: str,
+    out: str,
+    bucket: str | None = HOT_KEY_BUCKET,
+    tie: Sequence[str] = (),
+) -> DataFrame:
+    """Add ``out`` = the ``value`` of the next row of the same key (see previous_value)."""
+    order = [F.col(order_col)] + [F.col(c) for c in tie]
+    parts = with_parts(df, keys, order_col, bucket)
+    w = Window.partitionBy(PART).orderBy(*order)
+    res = parts.withColumns({out: F.lead(value).over(w), "_edge": F.lead(F.lit(1)).over(w).isNull()})
+    if bucket:
+        res = _hand_over(res, parts, keys, F.min_by(value, F.struct(*order)), lambda s, w: F.lead(s).over(w))
+        res = res.withColumn(out, F.when(F.col("_edge"), F.col("_border")).otherwise(F.col(out)))
+    return res.drop(PART, "_edge", "_border")
+
+
+def carried(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    cols: Sequence[str],
+    bucket: str | None = HOT_KEY_BUCKET,
+) -> DataFrame:
+    """Fill NULLs of ``cols`` with the key's last value that is not NULL (see
+    previous_value); there is one row per key and ``order_col``."""
+    parts = with_parts(df, keys, order_col, bucket)
+    w = Window.partitionBy(PART).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    res = parts.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    if bucket:
+        lasts = F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c) for c in cols])
+
+        def before(s: Column, w) -> Column:
+            earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+            return F.struct(*[F.last(s[c], ignorenulls=True).over(earlier).alias(c) for c in cols])
+
+        res = _hand_over(res, parts, keys, lasts, before)
+        res = res.withColumns({c: F.coalesce(F.col(c), F.col("_border")[c]) for c in cols})
+    return res.drop(PART, "_border")
 
 
 def null_safe_differs(a: Column, b: Column) -> Column:

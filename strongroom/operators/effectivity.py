@@ -12,10 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key
-from strongroom.operators.common import last_per_key
+from strongroom.operators.common import HOT_KEY_BUCKET, last_per_key, next_value, previous_value
 from strongroom.operators.satellite import _load_timeline
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC, SatSpec
 
@@ -40,6 +39,7 @@ def driving_key_effectivity(
     ts: str = LOAD_DTS,
     rec_src: str = REC_SRC,
     stored: DataFrame | None = None,
+    hot_key_bucket: str | None = HOT_KEY_BUCKET,
 ) -> DataFrame:
     """Driving-key effectivity (S7): the rows to append.
 
@@ -62,10 +62,10 @@ def driving_key_effectivity(
     if stored is not None:
         runs = stored.filter(F.col("END_DTS").isNull()).join(base.select(*driving).distinct(), driving, "left_semi")
         base = base.unionByName(runs.select(*driving, *other, F.col("BEGIN_DTS").alias("_t"), F.col(REC_SRC).alias("_src")))
-    w = Window.partitionBy(*driving).orderBy("_t", "_o", "_src")
-    base = base.withColumn("_o", _join([normalise_key(c) for c in other])).withColumn("_prev_o", F.lag("_o").over(w))
+    base = base.withColumn("_o", _join([normalise_key(c) for c in other]))
+    base = previous_value(base, driving, "_t", "_o", "_prev_o", hot_key_bucket, tie=["_o", "_src"])
     starts = base.filter(F.col("_prev_o").isNull() | (F.col("_prev_o") != F.col("_o")))
-    starts = starts.withColumn("_next", F.lead("_t").over(w))
+    starts = next_value(starts, driving, "_t", "_t", "_next", hot_key_bucket, tie=["_o", "_src"])
     keyed = starts.select(
         hash_key(*driving, *other).alias(link_hk),
         hash_key(*driving).alias("DRIVING_HK"),
@@ -104,7 +104,7 @@ def load_effectivity(stg: DataFrame, sat: DataFrame | None, parent_hk: str, algo
     spec = SatSpec("EFF", parent_hk, EFF_COLS)
     staged = stg.select(parent_hk, LOAD_DTS, eff_hash_diff(algo).alias(HASH_DIFF), REC_SRC, *EFF_COLS)
     staged = staged.dropDuplicates([parent_hk, LOAD_DTS, HASH_DIFF])
-    return _load_timeline(staged, sat, spec, None)
+    return _load_timeline(staged, sat, spec, HOT_KEY_BUCKET)
 
 
 def detect_deletes(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strongroom.functions.hashing import hash_diff, hash_key, key_is_valid
-from strongroom.operators.common import last_per_key, previous_value
+from strongroom.operators.common import HOT_KEY_BUCKET, PART, carried, last_per_key, next_value, previous_value, with_parts
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC, SatSpec
 
 
@@ -76,7 +76,7 @@ def load_sat(
     sat: DataFrame | None,
     spec: SatSpec,
     mode: str = "timeline",
-    hot_key_bucket: str | None = None,
+    hot_key_bucket: str | None = HOT_KEY_BUCKET,
 ) -> DataFrame:
     """Rows to append to ``sat`` (S1, S2, S4 per row, S5).
 
@@ -120,7 +120,7 @@ def _load_latest(staged: DataFrame, sat: DataFrame | None, spec: SatSpec) -> Dat
 
 
 def _load_timeline(staged: DataFrame, sat: DataFrame | None, spec: SatSpec, bucket: str | None) -> DataFrame:
-    """Timeline rule in one shuffle by parent key (plus ``hot_key_bucket``).
+    """Timeline rule in one shuffle by parent key and time bucket.
 
     Stored rows of the touched keys (PK and HASH_DIFF only) are found with a
     ``left_semi`` join, which Spark broadcasts when the batch's key list is
@@ -143,8 +143,8 @@ def _load_timeline(staged: DataFrame, sat: DataFrame | None, spec: SatSpec, buck
         touched = staged.select(*keys).distinct()
         hist = sat.select(*pk, HASH_DIFF).join(touched, keys, "left_semi").withColumn("_new", F.lit(False))
         merged = merged.unionByName(hist, allowMissingColumns=True)
-    part = [F.col(k) for k in keys] + ([F.date_trunc(bucket, F.col(LOAD_DTS))] if bucket else [])
-    peers = Window.partitionBy(*part).orderBy(F.col(LOAD_DTS)).rangeBetween(Window.currentRow, Window.currentRow)
+    merged = with_parts(merged, keys, LOAD_DTS, bucket)
+    peers = Window.partitionBy(PART).orderBy(F.col(LOAD_DTS)).rangeBetween(Window.currentRow, Window.currentRow)
     staged_hd = F.when(F.col("_new"), F.col(HASH_DIFF))
     merged = merged.withColumns(
         {
@@ -187,9 +187,8 @@ def load_multi_active_sets(stg: DataFrame, sat: DataFrame | None, spec: SatSpec)
         touched = new_sets.select(hk).distinct()
         hist = stored_sets.join(touched, [hk], "left_semi").withColumn("_new", F.lit(False))
         new_sets = new_sets.unionByName(hist)
-    w = Window.partitionBy(hk).orderBy(LOAD_DTS)
     changed = (
-        new_sets.withColumn("_prev", F.lag("_set_hd").over(w))
+        previous_value(new_sets, [hk], LOAD_DTS, "_set_hd", "_prev")
         .filter(F.col("_new") & (F.col("_prev").isNull() | (F.col("_prev") != F.col("_set_hd"))))
         .select(hk, LOAD_DTS)
     )
@@ -202,10 +201,11 @@ def current(sat: DataFrame, keys: Sequence[str], order: Sequence[str] = (LOAD_DT
     return last_per_key(sat, keys, list(order) + ([HASH_DIFF] if HASH_DIFF in sat.columns else []))
 
 
-def end_dated(sat: DataFrame, keys: Sequence[str], to_col: str = "LOAD_END_DTS") -> DataFrame:
+def end_dated(
+    sat: DataFrame, keys: Sequence[str], to_col: str = "LOAD_END_DTS", hot_key_bucket: str | None = HOT_KEY_BUCKET
+) -> DataFrame:
     """``[LOAD_DTS, LOAD_END_DTS)`` per version, computed at read time."""
-    w = Window.partitionBy(*keys).orderBy(LOAD_DTS)
-    return sat.withColumn(to_col, F.lead(LOAD_DTS).over(w))
+    return next_value(sat, keys, LOAD_DTS, LOAD_DTS, to_col, hot_key_bucket)
 
 
 def as_of(sat: DataFrame, keys: Sequence[str], ts: Column | str) -> DataFrame:
@@ -234,7 +234,7 @@ def split_sat(
     keys: Sequence[str],
     groups: dict[str, Sequence[str]],
     algo: str = "sha256",
-    hot_key_bucket: str | None = None,
+    hot_key_bucket: str | None = HOT_KEY_BUCKET,
 ) -> dict[str, DataFrame]:
     """Split a satellite by column group (S13).  Each part gets its own
     HASH_DIFF and keeps a row only where its own columns change, so the
@@ -250,6 +250,35 @@ def split_sat(
     return out
 
 
+def merge_timelines(
+    sats: Sequence[tuple[DataFrame, Sequence[str]]],
+    key: str,
+    algo: str = "sha256",
+    hot_key_bucket: str | None = HOT_KEY_BUCKET,
+) -> DataFrame:
+    """Merge any number of satellite histories of one parent, each with its
+    columns, without losing a version (S14): the merged timeline has a row at
+    every change time of any side, each side filled as of that time; equal
+    neighbours are dropped.  REC_SRC names the sources of the sides that
+    changed, in the order of the sides, joined by '+' where they differ."""
+    sides = [f"_v{i}" for i in range(len(sats))]
+    u = None
+    for side, (sat, cols) in zip(sides, sats):
+        part = sat.select(key, LOAD_DTS, F.struct(*cols).alias(side), F.col(REC_SRC).alias(f"{side}_src"))
+        u = part if u is None else u.unionByName(part, allowMissingColumns=True)
+    # Equal times of several sides collapse into one row before filling.
+    u = u.groupBy(key, LOAD_DTS).agg(
+        *[F.max(c).alias(c) for c in sides],
+        F.array_join(F.array_distinct(F.array_compact(F.array(*[F.max(f"{c}_src") for c in sides]))), "+").alias(REC_SRC),
+    )
+    u = carried(u, [key], LOAD_DTS, sides, hot_key_bucket)
+    names = [c for _, cols in sats for c in cols]
+    m = u.select(key, LOAD_DTS, REC_SRC, *[F.col(side)[c].alias(c) for side, (_, cols) in zip(sides, sats) for c in cols])
+    m = m.withColumn(HASH_DIFF, hash_diff(*names, algo=algo))
+    m = previous_value(m, [key], LOAD_DTS, HASH_DIFF, "_prev", hot_key_bucket)
+    return m.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(HASH_DIFF))).drop("_prev")
+
+
 def merge_sats(
     a: DataFrame,
     b: DataFrame,
@@ -258,45 +287,25 @@ def merge_sats(
     b_cols: Sequence[str],
     algo: str = "sha256",
 ) -> DataFrame:
-    """Merge two satellite histories of one parent without losing a version
-    (S14): the merged timeline has a row at every change time of either
-    side, each side filled as of that time; equal neighbours are dropped.
-    REC_SRC names the source of the side that changed, both joined by '+'
-    where they changed at once and differ."""
-    a_cols, b_cols = list(a_cols), list(b_cols)
-    src, none = F.col(REC_SRC), F.lit(None).cast("string")
-    sa = a.select(key, LOAD_DTS, F.struct(*a_cols).alias("_a"), F.lit(None).alias("_b"), src.alias("_sa"), none.alias("_sb"))
-    sb = b.select(key, LOAD_DTS, F.lit(None).alias("_a"), F.struct(*b_cols).alias("_b"), none.alias("_sa"), src.alias("_sb"))
-    sa = sa.withColumn("_b", F.col("_b").cast(sb.schema["_b"].dataType))
-    sb = sb.withColumn("_a", F.col("_a").cast(sa.schema["_a"].dataType))
-    u = sa.unionByName(sb)
-    # Equal times on both sides collapse into one row before filling.
-    u = u.groupBy(key, LOAD_DTS).agg(*[F.max(c).alias(c) for c in ("_a", "_b", "_sa", "_sb")])
-    both = F.when(F.col("_sa") != F.col("_sb"), F.concat("_sa", F.lit("+"), "_sb"))
-    u = u.withColumn(REC_SRC, F.coalesce(both, "_sa", "_sb"))
-    w = Window.partitionBy(key).orderBy(LOAD_DTS).rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_a", F.last("_a", ignorenulls=True).over(w)).withColumn(
-        "_b", F.last("_b", ignorenulls=True).over(w)
-    )
-    cols = [F.col(f"_a.{c}").alias(c) for c in a_cols] + [F.col(f"_b.{c}").alias(c) for c in b_cols]
-    m = u.select(key, LOAD_DTS, REC_SRC, *cols)
-    m = m.withColumn(HASH_DIFF, hash_diff(*(a_cols + b_cols), algo=algo))
-    m = previous_value(m, [key], LOAD_DTS, HASH_DIFF, "_prev")
-    return m.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(HASH_DIFF))).drop("_prev")
+    """Merge two satellite histories of one parent (S14, see merge_timelines)."""
+    return merge_timelines([(a, list(a_cols)), (b, list(b_cols))], key, algo)
 
 
-def change_rate(sat: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def change_rate(
+    sat: DataFrame, keys: Sequence[str], cols: Sequence[str], hot_key_bucket: str | None = HOT_KEY_BUCKET
+) -> DataFrame:
     """Versions per column (S15): for each payload column the number of rows
     where it differs from the previous row of its key (the first row of a
     key counts), the number of keys and the changes per key.  All columns are
     measured in one pass with one window and one aggregate."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(LOAD_DTS)
+    rows = sat.select(*keys, LOAD_DTS, F.struct(*cols).alias("_v"))
+    rows = previous_value(rows, keys, LOAD_DTS, "_v", "_prev", hot_key_bucket)  # NULL for the first row of a key
     flags = [
-        F.when(F.lag(F.col(c)).over(w).eqNullSafe(F.col(c)) & (F.row_number().over(w) > 1), 0).otherwise(1).alias(c)
+        F.when(F.col("_prev").isNotNull() & F.col("_prev")[c].eqNullSafe(F.col("_v")[c]), 0).otherwise(1).alias(c)
         for c in cols
     ]
-    per_row = sat.select(*keys, *flags)
+    per_row = rows.select(*keys, *flags)
     agg = per_row.agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_distinct(*keys).alias("_keys"),

@@ -12,9 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from strongroom.operators.satellite import current, merge_sats
+from strongroom.operators.common import next_value
+from strongroom.operators.satellite import current, merge_timelines
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, SNAPSHOT_DTS
 
 
@@ -34,24 +34,22 @@ def dim_current(
 
 
 def dim_history(
-    a: DataFrame,
-    b: DataFrame,
-    key: str,
-    a_cols: Sequence[str],
-    b_cols: Sequence[str],
+    hub: DataFrame,
+    hk: str,
+    bk: Sequence[str],
+    sats: Sequence[tuple[DataFrame, Sequence[str]]],
     key_name: str,
 ) -> DataFrame:
-    """Type 2 dimension (M3) over two satellites: one row per combined
-    version with ``[VALID_FROM, VALID_TO)``; VALID_TO is NULL for the
-    current row."""
-    m = merge_sats(a, b, key, a_cols, b_cols)
-    w = Window.partitionBy(key).orderBy(LOAD_DTS)
-    m = m.withColumn("VALID_TO", F.lead(LOAD_DTS).over(w))
-    return m.select(
-        F.col(key).alias(key_name), F.col(LOAD_DTS).alias("VALID_FROM"), "VALID_TO", *a_cols, *b_cols
-    )
-
-
+    """Type 2 dimension (M3) over a hub and any number of satellites: one row
+    per combined version with ``[VALID_FROM, VALID_TO)``; VALID_TO is NULL for
+    the current row.  A hub key without a version has one row, valid from its
+    own LOAD_DTS, whose attributes are NULL."""
+    names = [c for _, cols in sats for c in cols]
+    m = next_value(merge_timelines(sats, hk), [hk], LOAD_DTS, LOAD_DTS, "VALID_TO")
+    m = m.select(F.col(hk).alias("_k"), F.col(LOAD_DTS).alias("VALID_FROM"), "VALID_TO", *names)
+    keys = hub.select(F.col(hk).alias(key_name), *bk, F.col(LOAD_DTS).alias("_seen"))
+    out = keys.join(m, F.col(key_name) == F.col("_k"), "left")
+    return out.select(key_name, *bk, F.coalesce("VALID_FROM", "_seen").alias("VALID_FROM"), "VALID_TO", *names)
 
 
 def calendar(df_dates: DataFrame, col: str) -> DataFrame:

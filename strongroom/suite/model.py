@@ -1,16 +1,46 @@
 """The e-commerce and web-event vault built from the test tables: entity
-specs and lazily built vault tables (first load into an empty vault)."""
+specs and vault tables (first load into an empty vault).
+
+Each table is written once per application and input folder, under the
+session's shared scratch folder, and read from there by every query that
+needs it, as in a warehouse.  ``table.load(spark, d)`` is the load itself,
+a DataFrame of the rows to append; the load queries return that.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strongroom.operators.hub import load_hub
 from strongroom.operators.link import load_link
 from strongroom.operators.satellite import load_sat
 from strongroom.operators.specs import HubSpec, LinkSpec, SatSpec
 from strongroom.sources import feeds
+from strongroom.sources.io import append, read_or_none, scratch_path
+
+#: Path and schema of the tables of this process, by application, input folder and name.
+_TABLES: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def stored_table(load: Callable[[SparkSession, str], DataFrame], partition_by: list[str] | None = None):
+    """The table that ``load`` fills, written at its first use."""
+
+    def table(spark: SparkSession, d: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, d, load.__name__)
+        if key not in _TABLES or read_or_none(spark, _TABLES[key][0]) is None:
+            path, rows = scratch_path(spark, load.__name__), load(spark, d)
+            append(rows, path, partition_by)
+            _TABLES[key] = path, rows.schema
+        path, schema = _TABLES[key]
+        return spark.read.schema(schema).parquet(path)
+
+    table.load = load
+    return table
+
 
 HUB_CUSTOMER = HubSpec("HUB_CUSTOMER", "CUSTOMER_HK", ("CUSTOMER_NUMBER",))
 HUB_ORDER = HubSpec("HUB_ORDER", "ORDER_HK", ("ORDER_NUMBER",))
@@ -76,55 +106,90 @@ def with_line_total(stg: DataFrame) -> DataFrame:
     return stg.withColumn("LINE_TOTAL", total)
 
 
+# Stage, typed and joined once; the loads read it.
+@stored_table
+def stage_orders(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.stg_orders(spark, d)
+
+
 # Vault tables, first load into an empty vault.
+@stored_table
 def hub_customer(spark: SparkSession, d: str) -> DataFrame:
-    return load_hub(feeds.stg_orders(spark, d), None, HUB_CUSTOMER)
+    return load_hub(stage_orders(spark, d), None, HUB_CUSTOMER)
 
 
+@stored_table
 def hub_order(spark: SparkSession, d: str) -> DataFrame:
-    return load_hub(feeds.stg_orders(spark, d), None, HUB_ORDER)
+    return load_hub(stage_orders(spark, d), None, HUB_ORDER)
 
 
+@stored_table
 def hub_product(spark: SparkSession, d: str) -> DataFrame:
-    return load_hub(feeds.stg_orders(spark, d), None, HUB_PRODUCT)
+    return load_hub(stage_orders(spark, d), None, HUB_PRODUCT)
 
 
+@stored_table
 def hub_user(spark: SparkSession, d: str) -> DataFrame:
     return load_hub(feeds.stg_user_events(spark, d), None, HUB_USER)
 
 
+@stored_table
 def lnk_order_item(spark: SparkSession, d: str) -> DataFrame:
-    return load_link(feeds.stg_orders(spark, d), None, LNK_ORDER_ITEM)
+    return load_link(stage_orders(spark, d), None, LNK_ORDER_ITEM)
 
 
+@stored_table
 def lnk_order_payment(spark: SparkSession, d: str) -> DataFrame:
     return load_link(feeds.stg_payments(spark, d), None, LNK_ORDER_PAYMENT)
 
 
+@stored_table
 def lnk_order_channel(spark: SparkSession, d: str) -> DataFrame:
     return load_link(feeds.stg_channels(spark, d), None, LNK_ORDER_CHANNEL)
 
 
+@stored_table
 def sat_order_item_details(spark: SparkSession, d: str) -> DataFrame:
-    return load_sat(with_line_total(feeds.stg_orders(spark, d)), None, SAT_ORDER_ITEM_DETAILS)
+    return load_sat(with_line_total(stage_orders(spark, d)), None, SAT_ORDER_ITEM_DETAILS)
 
 
+@stored_table
 def sat_product_details(spark: SparkSession, d: str) -> DataFrame:
     return load_sat(feeds.stg_parts(spark, d), None, SAT_PRODUCT_DETAILS)
 
 
+@stored_table
 def sat_customer_profile(spark: SparkSession, d: str) -> DataFrame:
     return load_sat(feeds.stg_customers(spark, d), None, SAT_CUSTOMER_PROFILE)
 
 
+@stored_table
 def sat_customer_address(spark: SparkSession, d: str) -> DataFrame:
     return load_sat(feeds.stg_customer_address(spark, d), None, SAT_CUSTOMER_ADDRESS)
 
 
+@stored_table
 def sat_user_state(spark: SparkSession, d: str) -> DataFrame:
     return load_sat(feeds.stg_user_events(spark, d), None, SAT_USER_STATE)
 
 
+@stored_table
 def sat_user_value(spark: SparkSession, d: str) -> DataFrame:
-    stg = feeds.stg_user_events(spark, d).filter(F.col("EVENT_TYPE") == "purchase")
-    return load_sat(stg, None, SAT_USER_VALUE)
+    return load_sat(feeds.stg_user_events(spark, d), None, SAT_USER_VALUE)
+
+
+@stored_table
+def sat_user_activity(spark: SparkSession, d: str) -> DataFrame:
+    return load_sat(feeds.stg_user_events(spark, d), None, SAT_USER_ACTIVITY)
+
+
+TABLES = (
+    stage_orders, hub_customer, hub_order, hub_product, hub_user, lnk_order_item, lnk_order_payment, lnk_order_channel,
+    sat_order_item_details, sat_product_details, sat_customer_profile, sat_customer_address, sat_user_state, sat_user_value, sat_user_activity,
+)
+
+
+def fill(spark: SparkSession, d: str) -> None:
+    """Load every table that isn't stored yet."""
+    for table in TABLES:
+        table(spark, d)

@@ -33,7 +33,7 @@ from strongroom.suite.registry import register
 ST_STATE = f"SELECT {S.hk('USER_ID')} AS USER_HK, LOAD_DTS, {S.hd('EVENT_TYPE')} AS HASH_DIFF, REC_SRC, EVENT_TYPE FROM ({S.STG_USER_EVENTS})"
 SAT_STATE_SQL = S.timeline_sql(ST_STATE, "USER_HK")
 ST_VALUE = f"""SELECT {S.hk('USER_ID')} AS USER_HK, LOAD_DTS, {S.hd('VALUE')} AS HASH_DIFF, REC_SRC, VALUE
-    FROM ({S.STG_USER_EVENTS}) WHERE EVENT_TYPE = 'purchase'"""
+    FROM ({S.STG_USER_EVENTS})"""
 SAT_VALUE_SQL = S.timeline_sql(ST_VALUE, "USER_HK")
 ST_ACTIVITY = f"""SELECT {S.hk('USER_ID')} AS USER_HK, LOAD_DTS, {S.hd('EVENT_TYPE', 'VALUE', 'PROPS')} AS HASH_DIFF, REC_SRC,
     EVENT_TYPE, VALUE, PROPS FROM ({S.STG_USER_EVENTS})"""
@@ -67,7 +67,7 @@ def q_sat_latest_mode(spark, d):
 # S2 (+G5): timeline load, one shot: 8,016 versions of 10,000 events at sf0.01.
 @register("sat_user_state", SAT_STATE_SQL)
 def q_sat_user_state(spark, d):
-    return model.sat_user_state(spark, d)
+    return model.sat_user_state.load(spark, d)
 
 
 # S2 replay: batch 1, overlapping batch 2, then batch 1 again -> one-shot result.
@@ -146,7 +146,7 @@ ST_DETAILS = f"""SELECT {S.hk('ORDER_NUMBER', 'PRODUCT_CODE', 'CUSTOMER_NUMBER')
 
 @register("sat_order_item", S.timeline_sql(ST_DETAILS, "ORDER_ITEM_HK, LINE_SSQN"))
 def q_sat_order_item(spark, d):
-    return model.sat_order_item_details(spark, d)
+    return model.sat_order_item_details.load(spark, d)
 
 
 # S1/S2 on a hub of orders: order header satellite.
@@ -204,10 +204,6 @@ def q_sat_bitemporal(spark, d):
 
 
 # Split the wide activity satellite by rate of change.
-def _sat_activity(spark, d):
-    return load_sat(feeds.stg_user_events(spark, d), None, model.SAT_USER_ACTIVITY)
-
-
 def _split_sql(name: str, cols: list[str]) -> str:
     return f"""SELECT '{name}' AS SPLIT_NAME, USER_HK, LOAD_DTS, HASH_DIFF FROM (
         SELECT *, lag(HASH_DIFF) OVER (PARTITION BY USER_HK ORDER BY LOAD_DTS) AS _p FROM (
@@ -220,7 +216,7 @@ def _split_sql(name: str, cols: list[str]) -> str:
     _split_sql("STATE", ["EVENT_TYPE"]) + " UNION ALL " + _split_sql("DETAIL", ["VALUE", "PROPS"]),
 )
 def q_sat_split(spark, d):
-    parts = split_sat(_sat_activity(spark, d), ["USER_HK"], {"STATE": ["EVENT_TYPE"], "DETAIL": ["VALUE", "PROPS"]})
+    parts = split_sat(model.sat_user_activity(spark, d), ["USER_HK"], {"STATE": ["EVENT_TYPE"], "DETAIL": ["VALUE", "PROPS"]})
     out = None
     for name, df in parts.items():
         df = df.select(F.lit(name).alias("SPLIT_NAME"), "USER_HK", "LOAD_DTS", "HASH_DIFF")

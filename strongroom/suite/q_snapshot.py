@@ -44,6 +44,14 @@ def pit_user(spark, d, spine=None, since=None):
     return build_pit(model.hub_user(spark, d), "USER_HK", sats, spine or user_spine(spark, d), since=since)
 
 
+def _pit_user_daily(spark, d):
+    return pit_user(spark, d)
+
+
+#: The stored PIT, one folder per snapshot; reads prune the others.
+stored_pit_user = model.stored_table(_pit_user_daily, [SNAPSHOT_DTS])
+
+
 @register("pit_user", PIT_USER_SQL)
 def q_pit_user(spark, d):
     return pit_user(spark, d)
@@ -97,7 +105,7 @@ def q_pit_read(spark, d):
         "SAT_STATE_LOAD_DTS": (model.sat_user_state(spark, d), ["EVENT_TYPE"]),
         "SAT_VALUE_LOAD_DTS": (model.sat_user_value(spark, d), ["VALUE"]),
     }
-    return pit_read(pit_user(spark, d), "USER_HK", sats, READ_AT, how="inner")
+    return pit_read(stored_pit_user(spark, d), "USER_HK", sats, READ_AT, how="inner")
 
 
 # M4: user dimension at one snapshot through the PIT; keys without a
@@ -119,7 +127,7 @@ def q_dim_at(spark, d):
         "SAT_STATE_LOAD_DTS": (model.sat_user_state(spark, d), ["EVENT_TYPE"]),
         "SAT_VALUE_LOAD_DTS": (model.sat_user_value(spark, d), ["VALUE"]),
     }
-    r = pit_read(pit_user(spark, d), "USER_HK", sats, DIM_AT, how="left")
+    r = pit_read(stored_pit_user(spark, d), "USER_HK", sats, DIM_AT, how="left")
     hub = model.hub_user(spark, d).select("USER_HK", "USER_ID")
     return r.join(hub, "USER_HK").select(SNAPSHOT_DTS, F.col("USER_HK").alias("USER_KEY"), "USER_ID", "EVENT_TYPE", "VALUE")
 

@@ -19,17 +19,17 @@ HUB_CUSTOMER_SQL = S.hub_sql(S.STG_ORDERS, "CUSTOMER_HK", "CUSTOMER_NUMBER")
 
 @register("hub_customer", HUB_CUSTOMER_SQL)
 def q_hub_customer(spark, d):
-    return model.hub_customer(spark, d)
+    return model.hub_customer.load(spark, d)
 
 
 @register("hub_order", S.hub_sql(S.STG_ORDERS, "ORDER_HK", "ORDER_NUMBER"))
 def q_hub_order(spark, d):
-    return model.hub_order(spark, d)
+    return model.hub_order.load(spark, d)
 
 
 @register("hub_product", S.hub_sql(S.STG_ORDERS, "PRODUCT_HK", "PRODUCT_CODE"))
 def q_hub_product(spark, d):
-    return model.hub_product(spark, d)
+    return model.hub_product.load(spark, d)
 
 
 # H1 rerun: batch 1 = orders before 1998, batch 2 = every order (a re-delivery
@@ -93,7 +93,7 @@ LNK_ORDER_ITEM_SQL = S.link_sql(
 
 @register("link_order_item", LNK_ORDER_ITEM_SQL)
 def q_link_order_item(spark, d):
-    return model.lnk_order_item(spark, d)
+    return model.lnk_order_item.load(spark, d)
 
 
 @register(
@@ -101,7 +101,7 @@ def q_link_order_item(spark, d):
     S.link_sql(S.STG_PAYMENTS, "ORDER_PAYMENT_HK", [("ORDER_HK", "ORDER_NUMBER"), ("PAYMENT_METHOD_HK", "PAYMENT_METHOD_CODE")]),
 )
 def q_link_order_payment(spark, d):
-    return model.lnk_order_payment(spark, d)
+    return model.lnk_order_payment.load(spark, d)
 
 
 # Link rerun from a second source: the same combinations from another feed
