@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
-from strongroom.functions.rules import email_is_valid, phone_e164  # noqa: F401  (re-exported soft rules)
+from strongroom.functions.rules import EMAIL_RE, PHONE_RE, email_is_valid, phone_e164
 
 # Fixed values of the value tiers (lifetime value thresholds).
 GOLD_LTV = 5_000_000
@@ -42,3 +42,19 @@ def business_sat(customer: DataFrame, orders: DataFrame) -> DataFrame:
         (F.col("c_acctbal") < 0).alias("IN_DEBT"),
         F.col("c_name").rlike(r"^Customer#[0-9]{9}$").alias("NAME_VALID"),
     )
+
+
+def contact_sat(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """BSAT_CONTACT: every e-mail address and phone number of a text, as rows
+    (id, KIND, SSQN from 1, RAW, VALUE, IS_VALID).  VALUE is the address in
+    small letters or the number in E.164; a number without that shape has a
+    NULL value and is not valid.  NULL texts have no rows."""
+    def mentions(kind: str, pattern: str) -> DataFrame:
+        found = F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("_k", "RAW")
+        rows = df.select(id_col, found)
+        value = F.lower("RAW") if kind == "EMAIL" else phone_e164("RAW")
+        valid = email_is_valid("RAW") if kind == "EMAIL" else value.isNotNull()
+        return rows.select(id_col, F.lit(kind).alias("KIND"), (F.col("_k") + 1).alias("SSQN"), "RAW",
+                           value.alias("VALUE"), valid.alias("IS_VALID"))
+
+    return mentions("EMAIL", EMAIL_RE).unionByName(mentions("PHONE", PHONE_RE))

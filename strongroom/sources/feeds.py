@@ -54,6 +54,25 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stg_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of order lines, with the ship date as an unhashed column."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
+    )
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner").select(
+        F.col("o_custkey").cast("string").alias("CUSTOMER_NUMBER"),
+        F.col("o_orderkey").cast("string").alias("ORDER_NUMBER"),
+        F.col("l_partkey").cast("string").alias("PRODUCT_CODE"),
+        F.concat_ws("|", F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string")).alias("LINE_SSQN"),
+        F.col("l_returnflag").alias("RETURN_FLAG"),
+        F.col("l_linestatus").alias("LINE_STATUS"),
+        F.col("l_shipdate").alias("SHIP_DATE"),
+        F.col("o_orderdate").alias("LOAD_DTS"),
+        F.concat(F.lit("S"), (F.col("l_suppkey") % 3).cast("string")).alias("REC_SRC"),
+    )
+
+
 def stg_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(

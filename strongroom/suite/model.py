@@ -72,6 +72,14 @@ SAT_ORDER_ITEM_DETAILS = SatSpec(
     parent_bk=("ORDER_NUMBER", "PRODUCT_CODE", "CUSTOMER_NUMBER"),
     ssqn="LINE_SSQN",
 )
+SAT_ORDER_STATUS = SatSpec(
+    "SAT_ORDER_STATUS",
+    "ORDER_ITEM_HK",
+    ("RETURN_FLAG", "LINE_STATUS"),
+    parent_bk=("ORDER_NUMBER", "PRODUCT_CODE", "CUSTOMER_NUMBER"),
+    ssqn="LINE_SSQN",
+    extra=("SHIP_DATE",),
+)
 SAT_PRODUCT_DETAILS = SatSpec(
     "SAT_PRODUCT_DETAILS",
     "PRODUCT_HK",

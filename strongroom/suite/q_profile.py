@@ -106,6 +106,15 @@ def q_profile_columns_approx(spark, d):
     return P.profile_columns(t(spark, d, "lineitem"), exact=False)
 
 
+# The sketches against the exact counts: within three relative deviations (5 percent each).
+@register("profile_columns_approx_error", "SELECT column_name, true AS within_bounds FROM (DESCRIBE lineitem)")
+def q_profile_columns_approx_error(spark, d):
+    table = t(spark, d, "lineitem")
+    exact = P.profile_columns(table, exact=True).select("column_name", F.col("distinct_vals").alias("_exact"))
+    found = P.profile_columns(table, exact=False).join(exact, "column_name")
+    return found.select("column_name", (F.abs(F.col("distinct_vals") - F.col("_exact")) <= 0.15 * F.col("_exact")).alias("within_bounds"))
+
+
 @register(
     "profile_cardinality",
     """SELECT count(DISTINCT o_orderpriority) AS distinct_vals, count(*) AS total_rows,

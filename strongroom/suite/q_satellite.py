@@ -149,6 +149,23 @@ def q_sat_order_item(spark, d):
     return model.sat_order_item_details.load(spark, d)
 
 
+# Status of order lines; the ship date is stored but not hashed, so it
+# makes no version of its own.
+@register(
+    "sat_order_status",
+    S.timeline_sql(
+        f"""SELECT {S.hk('o.o_orderkey', 'l.l_partkey', 'o.o_custkey')} AS ORDER_ITEM_HK,
+            CAST(l.l_suppkey AS VARCHAR) || '|' || CAST(l.l_linenumber AS VARCHAR) AS LINE_SSQN, o.o_orderdate AS LOAD_DTS,
+            {S.hd('l.l_returnflag', 'l.l_linestatus')} AS HASH_DIFF, 'S' || CAST(l.l_suppkey % 3 AS VARCHAR) AS REC_SRC,
+            l.l_returnflag AS RETURN_FLAG, l.l_linestatus AS LINE_STATUS, l.l_shipdate AS SHIP_DATE
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
+        "ORDER_ITEM_HK, LINE_SSQN",
+    ),
+)
+def q_sat_order_status(spark, d):
+    return load_sat(feeds.stg_order_status(spark, d), None, model.SAT_ORDER_STATUS)
+
+
 # S1/S2 on a hub of orders: order header satellite.
 @register(
     "sat_order_header",

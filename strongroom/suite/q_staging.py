@@ -99,6 +99,40 @@ def q_sample(spark, d):
     return sample(feeds.table(spark, d, "lineitem"), 1.0, seed=7)
 
 
+# The sample against what can be said of any: its size lies within six
+# standard deviations of 1 percent, and every row of it is one of the table.
+@register("sample_bounds", "SELECT count(*) AS TOTAL_ROWS, true AS SIZE_IN_BOUNDS, CAST(0 AS BIGINT) AS FOREIGN_ROWS FROM lineitem")
+def q_sample_bounds(spark, d):
+    table = feeds.table(spark, d, "lineitem")
+    drawn = sample(table, 1.0, seed=7)
+    total, size = table.select(F.count(F.lit(1))).scalar(), drawn.select(F.count(F.lit(1))).scalar()
+    foreign = drawn.exceptAll(table).agg(F.count(F.lit(1)).alias("FOREIGN_ROWS"))
+    return foreign.select(
+        total.alias("TOTAL_ROWS"),
+        (F.abs(size - total * 0.01) <= 6 * F.sqrt(total * 0.01 * 0.99)).alias("SIZE_IN_BOUNDS"),
+        "FOREIGN_ROWS",
+    )
+
+
+# E-mail addresses and phone numbers of the documents, validated.
+@register(
+    "bsat_contact",
+    f"""WITH e AS (SELECT doc_id, unnest(range(1, len(m) + 1)) AS k, unnest(m) AS RAW FROM (
+            SELECT doc_id, regexp_extract_all(text, '{rules.EMAIL_RE}') AS m FROM documents)),
+    p AS (SELECT doc_id, unnest(range(1, len(m) + 1)) AS k, unnest(m) AS RAW FROM (
+            SELECT doc_id, regexp_extract_all(text, '{rules.PHONE_RE}') AS m FROM documents)),
+    n AS (SELECT *, regexp_replace(RAW, '[^0-9+]', '', 'g') AS digits FROM p),
+    s AS (SELECT *, CASE WHEN starts_with(digits, '+') THEN digits ELSE '+61' || regexp_replace(digits, '^0', '') END AS shaped FROM n),
+    v AS (SELECT *, CASE WHEN regexp_full_match(shaped, '[+][1-9][0-9]{{6,14}}') THEN shaped END AS VALUE FROM s)
+    SELECT doc_id, 'EMAIL' AS KIND, CAST(k AS INTEGER) AS SSQN, RAW, lower(RAW) AS VALUE, true AS IS_VALID FROM e
+    UNION ALL SELECT doc_id, 'PHONE', CAST(k AS INTEGER), RAW, VALUE, VALUE IS NOT NULL FROM v""",
+)
+def q_bsat_contact(spark, d):
+    from strongroom.operators.business import contact_sat
+
+    return contact_sat(feeds.table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 # Business satellite: lifetime value, order count, value tier, debt
 # flag and name validity per customer (soft rules after the vault).
 @register(

@@ -262,17 +262,20 @@ def q_link_coarse(spark, d):
     "bhub_customer",
     f"""WITH sal AS ({SAL_SQL}),
     m AS (SELECT * FROM sal QUALIFY row_number() OVER (PARTITION BY SYNONYM_CUSTOMER_HK ORDER BY LOAD_DTS, MASTER_CUSTOMER_HK) = 1),
-    f AS (SELECT {S.hk('CUSTOMER_NAME')} AS SYN_HK, LOAD_DTS, REC_SRC FROM ({CRM_BY_NAME_SQL})),
-    r AS (SELECT coalesce(m.MASTER_CUSTOMER_HK, f.SYN_HK) AS CUSTOMER_HK, f.LOAD_DTS, f.REC_SRC FROM f LEFT JOIN m ON f.SYN_HK = m.SYNONYM_CUSTOMER_HK)
-    SELECT CUSTOMER_HK, LOAD_DTS, REC_SRC FROM r
-    QUALIFY row_number() OVER (PARTITION BY CUSTOMER_HK ORDER BY LOAD_DTS, REC_SRC) = 1""",
+    f AS (SELECT {S.hk('CUSTOMER_NAME')} AS SYN_HK, CUSTOMER_NAME, LOAD_DTS, REC_SRC FROM ({CRM_BY_NAME_SQL})),
+    n AS (SELECT {S.hk('c_custkey')} AS K, CAST(c_custkey AS VARCHAR) AS CUSTOMER_NUMBER FROM customer),
+    r AS (SELECT coalesce(m.MASTER_CUSTOMER_HK, f.SYN_HK) AS CUSTOMER_HK, coalesce(n.CUSTOMER_NUMBER, f.CUSTOMER_NAME) AS CUSTOMER_NUMBER,
+                 f.LOAD_DTS, f.REC_SRC FROM f LEFT JOIN m ON f.SYN_HK = m.SYNONYM_CUSTOMER_HK LEFT JOIN n ON n.K = m.MASTER_CUSTOMER_HK)
+    SELECT CUSTOMER_HK, CUSTOMER_NUMBER, LOAD_DTS, REC_SRC FROM r
+    QUALIFY row_number() OVER (PARTITION BY CUSTOMER_HK ORDER BY LOAD_DTS, REC_SRC, CUSTOMER_NUMBER) = 1""",
 )
 def q_bhub_customer(spark, d):
-    f = crm_orders_by_name(spark, d).select(hash_key("CUSTOMER_NAME").alias("CUSTOMER_HK"), "LOAD_DTS", "REC_SRC")
+    f = crm_orders_by_name(spark, d).select(hash_key("CUSTOMER_NAME").alias("CUSTOMER_HK"), "CUSTOMER_NAME", "LOAD_DTS", "REC_SRC")
     r = resolve_same_as(f, sal_customer(spark, d), "CUSTOMER_HK", "SYNONYM_CUSTOMER_HK", "MASTER_CUSTOMER_HK")
-    from strongroom.operators.common import first_per_key
-
-    return first_per_key(r, ["CUSTOMER_HK"], ["LOAD_DTS", "REC_SRC"])
+    # The business key of a resolved customer is its number; a name without a master stays its own key.
+    numbers = feeds.stg_customers(spark, d).select(hash_key("CUSTOMER_NUMBER").alias("CUSTOMER_HK"), "CUSTOMER_NUMBER")
+    r = r.join(numbers, "CUSTOMER_HK", "left").select(F.coalesce("CUSTOMER_NUMBER", "CUSTOMER_NAME").alias("CUSTOMER_NUMBER"), "LOAD_DTS", "REC_SRC")
+    return load_hub(r, None, model.HUB_CUSTOMER)
 
 
 # Business link: order enriched with the customer's nation (a derived relation).

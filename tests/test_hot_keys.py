@@ -85,3 +85,26 @@ def test_fact_and_pit_read_stored_tables(spark):
     assert "lineitem.parquet" not in fact and "orders.parquet" not in fact
     read = plan_of(E.queries()["pit_read"](spark, d))
     assert "events.parquet" not in read and "PartitionFilters: [isnotnull(SNAPSHOT_DTS" in read
+
+
+def test_audits_are_silent_on_a_healthy_vault(spark):
+    from strongroom.operators import audit as A
+    from strongroom.suite import model
+
+    d = "/root/testdata/sf0.001"
+    hub, link = model.hub_order(spark, d), model.lnk_order_item(spark, d)
+    sat, details = model.sat_user_state(spark, d), model.sat_order_item_details(spark, d)
+    for found in (
+        A.audit_key_one_to_one(hub, "ORDER_HK", ["ORDER_NUMBER"]),
+        A.audit_unique(hub, ["ORDER_HK"]),
+        A.audit_unique(link, ["ORDER_ITEM_HK"]),
+        A.audit_unique(sat, ["USER_HK", "LOAD_DTS"]),
+        A.audit_unique(details, ["ORDER_ITEM_HK", "LINE_SSQN", "LOAD_DTS"]),
+        A.audit_missing_parent(link, "ORDER_HK", hub, "ORDER_HK"),
+        A.audit_missing_parent(sat, "USER_HK", model.hub_user(spark, d), "USER_HK"),
+        A.audit_hash_drift(hub, "ORDER_HK", ["ORDER_NUMBER"]),
+        A.audit_consecutive_equal(sat, ["USER_HK"]),
+        A.audit_insert_only(hub, hub),
+        A.audit_audit_columns(details),
+    ):
+        assert found.isEmpty()

@@ -12,7 +12,7 @@ SF = os.environ.get("STRONGROOM_TEST_SF", "/root/testdata/sf0.001")
 NAMES = sorted(E.queries())
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 # Queries whose result is every lineitem column (a row sample, a profile of all columns).
-ALL_COLUMNS = {"sample", "profile_columns_approx"}
+ALL_COLUMNS = {"sample", "sample_bounds", "profile_columns_approx", "profile_columns_approx_error"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
