@@ -48,12 +48,14 @@ class Index:
             last.append(ends + d * n)
             low.append(values[starts])
             high.append(values[ends - 1])
-        self.rows = np.concatenate(rows)
-        dims_of = np.repeat(np.arange(dims, dtype=np.int32), n)
+        self.rows = np.concatenate(rows).astype(np.int64)
+        dims_of = np.repeat(np.arange(dims), n)
         self.values = x[self.rows, dims_of].astype(np.float64)  # whole numbers, exact as doubles
-        self.cells = self.rows * np.int32(dims) + dims_of if n * dims < 2**31 else self.rows.astype(np.int64) * dims + dims_of
+        self.cells = dims_of * n + self.rows
         self.dim, self.first, self.last = np.concatenate(dim), np.concatenate(first), np.concatenate(last)
         self.low, self.high = np.concatenate(low), np.concatenate(high)
+        self.segments = np.bincount(self.dim, minlength=dims)  # of each dimension, in order of value
+        self.begin = np.cumsum(self.segments) - self.segments
         self.least, self.most = x.min(axis=0), x.max(axis=0)
 
     def search(self, q, k: int, known: float = float("-inf"), rounds: int = 4, enough: float = 0.5):
@@ -72,23 +74,27 @@ class Index:
         floor = np.where(q >= 0, q * self.least, q * self.most)  # of a dimension's contributions
         impact = np.where(w >= 0, w * self.high, w * self.low) - floor[self.dim]
         order = np.argsort(-impact, kind="stable")
-        dim, impact, first, size = self.dim[order], impact[order], self.first[order], (self.last - self.first)[order]
+        dim, impact, size = self.dim[order], impact[order], (self.last - self.first)[order]
         done = np.cumsum(size)
         cuts = np.unique(np.searchsorted(done, done[-1] * np.arange(1, rounds + 1) / rounds) + 1)
-        score, seen, at = np.zeros(n), np.zeros((n, dims), dtype=np.float32), 0
+        score, seen, at = np.zeros(n), np.zeros((dims, n), dtype=np.float32), 0
+        taken = np.zeros(dims, dtype=np.int64)
         for cut in cuts:  # rounds of about equal postings, in descending impact
-            lengths = size[at:cut]
-            postings = np.arange(lengths.sum()) + np.repeat(first[at:cut] - np.cumsum(lengths) + lengths, lengths)
-            weight = np.repeat(q[dim[at:cut]].astype(np.float64), lengths)
-            score += np.bincount(self.rows[postings], weights=weight * self.values[postings], minlength=n)
-            seen.ravel()[self.cells[postings]] = 1
+            # A dimension's impacts fall from one end of its values, so a round's segments of it lie side by side.
+            more = np.bincount(dim[at:cut], minlength=dims)
+            low = self.begin + np.where(q > 0, self.segments - taken - more, taken)
+            taken += more
+            runs = [(d, slice(self.first[low[d]], self.last[low[d] + more[d] - 1])) for d in np.flatnonzero(more)]
+            weights = np.concatenate([self.values[run] * q[d] for d, run in runs])
+            score += np.bincount(np.concatenate([self.rows[run] for _, run in runs]), weights=weights, minlength=n)
+            seen.ravel()[np.concatenate([self.cells[run] for _, run in runs])] = 1
             at = cut
             left = np.zeros(dims)  # the most that a dimension can still bring: its next segment's, the last one written here
             left[dim[at:][::-1]] = impact[at:][::-1]
-            lost = seen @ np.stack([floor, floor + left], axis=1).astype(np.float32)
+            lost = np.stack([floor, floor + left]).astype(np.float32) @ seen
             slack = 1 + 1e-5 * (np.abs(floor).sum() + left.sum())  # more than single precision can lose
-            bar = max(np.partition(score - lost[:, 0], n - k)[n - k] - slack, known - floor.sum())
-            possible = np.flatnonzero(score + (left.sum() + slack) - lost[:, 1] >= bar)
+            bar = max(np.partition(score - lost[0], n - k)[n - k] - slack, known - floor.sum())
+            possible = np.flatnonzero(score + (left.sum() + slack) - lost[1] >= bar)
             if len(possible) <= max(4 * k, n * enough):
                 break
         return possible, self.x[possible] @ q
