@@ -64,9 +64,9 @@ def profile_columns(df: DataFrame, exact: bool = True, skip: Sequence[str] = ())
     """NULL % and distinct count of every column in one pass.
 
     One aggregate computes populated and distinct counts of all columns
-    (exact distincts are planned by Spark as one Expand with a map-side
-    de-duplication, so the shuffle carries distinct values, not rows x
-    columns; ``exact=False`` uses HyperLogLog sketches instead), then
+    (exact distincts are planned by Spark as one Expand, a row per column, with
+    a map-side de-duplication; for key-like columns that shuffles about rows x
+    columns, so use ``exact=False``, HyperLogLog sketches, there), then
     ``stack`` turns the single wide row into one row per column.  Columns
     whose values can't be compared (map, variant) have a NULL distinct count.
     """
