@@ -8,9 +8,11 @@ the partition before.  Pairs are verified by their cosine in double precision,
 and the verified pairs of all passes are united into components.  A window
 hands on a spanning forest of its pairs, not the pairs.
 
-The links of a vector all lie in its component, so they are counted there,
-block against block, which also finds the links that no window met.  Equal
-vectors of a label are one node with a count, so copies never meet.
+Windows may miss pairs, so all vectors of a label are then compared exactly,
+block against block.  That counts the links of each vector and unites the
+components that the windows left apart.  It costs the square of a label's
+size, whatever the windows found.  Equal vectors of a label are one node with
+a count, so copies never meet.
 """
 
 from __future__ import annotations
@@ -161,56 +163,104 @@ def border_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return rows.groupBy("border").applyInPandas(run, T.StructType([T.StructField("a", vid), T.StructField("b", vid)]))
 
 
-def count_links(members: DataFrame, width: int, threshold: float, block: int = 128) -> DataFrame:
-    """(node, n): how many other vectors of its component each node links with, its own copies aside.
+def near_rows(a, b, threshold: float, chunk: int = 256):
+    """(first row, matrix) for chunks of rows of ``a``: whose cosine with which rows of ``b`` is at least the threshold.
 
-    A component is cut into blocks of about ``block`` nodes; each pair of
-    blocks is one small group of rows, so a large component is spread out.
+    Single precision decides but near the threshold, by more than its error
+    bound; there the cosine is computed in double precision.
     """
-    sizes = stored(members.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    rows = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    import numpy as np
+
+    big = lambda x: np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    a, b = big(a), big(b)
+    na, nb = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
+    fa, fb = (a / na[:, None]).astype(np.float32), (b / nb[:, None]).astype(np.float32).T
+    slack = (a.shape[1] + 4) * 1.2e-7
+    for k in range(0, len(a), chunk):
+        rough = fa[k : k + chunk] @ fb
+        near = rough >= threshold + slack
+        i, j = np.nonzero((rough >= threshold - slack) & ~near)
+        for c in range(0, len(i), 1 << 15):
+            x, y = i[c : c + (1 << 15)], j[c : c + (1 << 15)]
+            near[x, y] = (a[k + x] * b[y]).sum(axis=1) / na[k + x] / nb[y] >= threshold
+        yield k, near
+
+
+def every_link(nodes: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
+    """All pairs of a label, block against block: rows (node, other, n).
+
+    With ``other`` null: with how many other vectors of the pair of blocks the
+    node links, its own copies aside.  Else a link between components that the
+    windows left apart, both by name.
+
+    A label is cut into blocks of about ``block`` nodes, from 24 blocks on of
+    up to eight times as many, as a node is sent once for each block; each
+    pair of blocks is one small group of rows, so a large label is spread out.
+    """
+    sizes = stored(nodes.groupBy("label").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    few, many = F.ceil(F.col("size") / block), F.ceil(F.col("size") / (8 * block))
+    rows = nodes.join(sizes, "label").withColumn("blocks", F.greatest(F.least(few, F.lit(24)), many).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = rows.select("component", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("counted"), "node", "copies", "v")
-    right = rows.select("component", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("counted"), "node", "copies", "v")
-    # By range, so that the many small groups of a large component are dealt out evenly.
-    n = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pairs = left.unionByName(right).repartitionByRange(n, "component", "i", "j").sortWithinPartitions("component", "i", "j")
-    schema = T.StructType([T.StructField("node", members.schema["node"].dataType), T.StructField("n", T.LongType())])
+    pairs = rows.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "copies", "v")
+    # By range, so that the many small groups of a large label are dealt out evenly.
+    n = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = pairs.repartitionByRange(n, "label", "i", "j").sortWithinPartitions("label", "i", "j")
+    name = nodes.schema["node"].dataType
+    schema = T.StructType([T.StructField("node", name), T.StructField("other", name), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
-
-        def counted(table):
-            keys = list(zip(*[table[c].to_pylist() for c in ("component", "i", "j")]))
-            start = 0
-            for end in range(1, len(keys) + 1):
-                if end == len(keys) or keys[end] != keys[start]:
-                    part, start = table.slice(start, end - start), end
-                    is_left = part["counted"].combine_chunks().to_numpy(zero_copy_only=False)
-                    m, ids = matrix(part["v"].combine_chunks(), width), part["node"].to_numpy()
-                    near = (cosines(m[is_left], m[~is_left]) >= threshold) & (ids[is_left][:, None] != ids[~is_left][None, :])
-                    n = near @ part["copies"].to_numpy()[~is_left]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[is_left]), pa.array(n.astype(np.int64))], names=["node", "n"])
+        import pyarrow.compute as pc
+
+        def compared(table):
+            own, first, second = (table[c].to_numpy() for c in ("own", "i", "j"))
+            m, copies = matrix(table["v"].combine_chunks(), width), table["copies"].to_numpy()
+            names = table["component"].combine_chunks().dictionary_encode()
+            comp, total = names.indices.to_numpy().astype(np.int64), len(names.dictionary)
+            left = np.flatnonzero(own == first)
+            right = left if first[0] == second[0] else np.flatnonzero(own == second)
+            counts, links = np.zeros(len(m), np.int64), []
+            for k, near in near_rows(m[left], m[right], threshold):
+                rows = left[k : k + len(near)]
+                if right is left:
+                    near[np.arange(len(near)), np.arange(k, k + len(near))] = False
+                else:
+                    counts[right] += copies[rows] @ near
+                counts[rows] += near @ copies[right]
+                x, y = np.nonzero(near & (comp[rows][:, None] != comp[right][None, :]))
+                apart = np.unique(comp[rows][x] * total + comp[right][y])
+                links += forest(total, apart // total, apart % total)
+            yield pa.RecordBatch.from_arrays([table["node"].combine_chunks(), pa.nulls(len(m), pa.string()), pa.array(counts)], names=schema.names)
+            if links:
+                links = sorted(set(links))
+                ends = [names.dictionary.take(pa.array([link[e] for link in links])) for e in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ends, pa.nulls(len(links), pa.int64())], names=schema.names)
+
+        def starts(table):
+            """Where groups start, but the first."""
+            new = np.zeros(table.num_rows - 1, bool)
+            for c in ("label", "i", "j"):
+                column = table[c].combine_chunks()
+                new |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            return (np.flatnonzero(new) + 1).tolist()
 
         held = None
         for batch in batches:
             if batch.num_rows:
                 held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-                last = tuple(held[c][-1].as_py() for c in ("component", "i", "j"))
-                cut = held.num_rows  # all but the last group is whole
-                while cut and tuple(held[c][cut - 1].as_py() for c in ("component", "i", "j")) == last:
-                    cut -= 1
-                yield from counted(held.slice(0, cut))
-                held = held.slice(cut)
+                cuts = [0, *starts(held)]  # all but the last group is whole
+                for x, y in zip(cuts, cuts[1:]):
+                    yield from compared(held.slice(x, y - x))
+                held = held.slice(cuts[-1])
         if held is not None:
-            yield from counted(held)
+            yield from compared(held)
 
-    return pairs.mapInArrow(run, schema).groupBy("node").agg(F.sum("n").alias("n"))
+    return pairs.mapInArrow(run, schema)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98,
-                    passes: int = 12, bits: int = 48, window: int = 128, seed: int = 5) -> DataFrame:
+                    passes: int = 12, bits: int = 48, window: int = 128, seed: int = 5, block: int = 1024) -> DataFrame:
     """Per vector: the id column, ``n_links``, ``component_id`` and ``kept``.
 
     Vectors link if their labels are equal and their cosine is at least
@@ -235,9 +285,15 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         both = stored(window_links(in_order, width, threshold, window), "windows")
         pairs = both.where("border is null").select("a", "b").unionByName(border_links(both.where("border is not null"), width, threshold))
         groups = stored(components(pairs, "a", "b"), "groups")
-        members = stored(some.join(groups, "node").select("node", "component", "copies", "least", "v"), "members")
+        some = some.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        members = stored(some.select("node", "label", "component", "copies", "least", "v"), "members")
+        exact = stored(every_link(members.select("node", "label", "component", "copies", "v"), width, threshold, block), "links")
+        # What the windows left apart: components whose vectors link.
+        united = stored(components(exact.where("other is not null"), "node", "other"), "united")
+        members = members.join(united.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
+        members = members.select("node", F.coalesce("whole", "component").alias("component"), "least")
         least = stored(members.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-        links = count_links(members.select("node", "component", "copies", "v"), width, threshold)
+        links = exact.where("other is null").groupBy("node").agg(F.sum("n").alias("n"))
         named = members.select("node", "component").join(least, "component").join(links, "node", "left")
         found.append(named.select("node", "component_id", F.coalesce("n", F.lit(0)).alias("n")))
     linked = nodes

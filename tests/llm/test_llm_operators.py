@@ -79,6 +79,21 @@ def test_embedding_links_of_a_crowd(spark):
     assert sorted([(r.vec_id, r.n_links, r.component_id) for r in got], key=str) == brute_links(rows, 0.98)
 
 
+def test_embedding_links_that_no_window_meets(spark):
+    """Lone pairs of a dense label that isn't centred, with windows far too small for it."""
+    from strongroom.llm.embedding_links import near_duplicates
+
+    rnd = random.Random(9)
+    rows = [(i, [3.0 + rnd.gauss(0, 1) for _ in range(16)], 7) for i in range(400)]
+    rows += [(400 + i, [x + rnd.gauss(0, 0.3) for x in rows[i][1]], 7) for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute_links(rows, 0.98)
+    assert sum(n > 0 for _, n, _ in want) > 100
+    for block in (1024, 50):
+        got = near_duplicates(df, window=1, passes=1, block=block).collect()
+        assert sorted([(r.vec_id, r.n_links, r.component_id) for r in got], key=str) == want
+
+
 # -- search -------------------------------------------------------------------
 
 
