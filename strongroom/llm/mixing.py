@@ -7,7 +7,8 @@ length.  A source's target is its weight's share of all words, at most
 shards; every shard's counts by source are a multinomial draw, made so that
 the counts of all shards together come to the targets.  A source's slots take
 its blocks through a pseudorandom permutation of the block numbers (a new one
-for each pass over the source), joined by block number.
+for each pass over the source).  The slots are stored; what each document gives
+is added up from them, joined by source and block.
 
 Permutations are swap-or-not shuffles, rounds of x -> (key - x) mod n taken or
 not by a bit that both ends share, so they need neither a sort nor a table
@@ -108,26 +109,32 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     plan = plan.withColumn("rest", words - F.col("passes") * F.col("source_size"))
     plan = stored(plan, "targets")
 
-    # The partial pass: the first blocks of its permutation, the last of them cut.
-    part = numbered(plan.withColumn("n", F.ceil(F.col("rest") / block_words).cast("long")).select("source", "blocks", "number", "passes", "rest", "n"))
-    part = part.select("source", permuted(F.col("k"), F.col("blocks"), F.pmod(F.col("number") * 4 + F.col("passes"), F.lit(1 << 20)), seed, rounds).alias("block"),
-                       F.least(F.lit(block_words), F.col("rest") - F.col("k") * block_words).alias("length"))
+    # The draw: what documents give is what its slots say, added up for each block.
+    dealt = stored(slots(plan, block_words, shard_slots, rounds, seed), "slots")
+    last = F.col("pass") == F.col("of")
+    part = dealt.join(plan.select(F.col("source").alias("_s"), F.col("passes").alias("of")), F.col("source").eqNullSafe(F.col("_s")))
+    part = part.groupBy("source", "block").agg(F.sum(F.when(last, 0).otherwise(1)).alias("whole"), F.sum(F.when(last, F.col("length"))).alias("length"))
 
     spots = running_offset(rows.select("row", "id", "source", "size", "h"), "source", "size", [F.col("id"), F.col("h"), F.col("size")], rows.count(), "at")
     each = spots.where("size > 0").select("row", "source", "at", "size", F.explode(F.sequence(F.floor(F.col("at") / block_words).cast("long"), F.floor((F.col("at") + F.col("size") - 1) / block_words).cast("long"))).alias("block"))
     same = (each["source"].eqNullSafe(part["source"])) & (each["block"] == part["block"])
     low = F.greatest(F.col("at"), each["block"] * block_words) - F.col("at")
     high = F.least(F.col("at") + F.col("size"), each["block"] * block_words + F.col("length")) - F.col("at")
+    high = F.when(F.col("length").isNotNull(), high)
+    end = F.least(F.col("at") + F.col("size"), (each["block"] + 1) * block_words) - F.col("at")
     # Exploded rows are many more than Spark's estimate, so neither side may be broadcast.
-    hit = each.hint("merge").join(part.hint("merge"), same).select("row", low.alias("low"), high.alias("high")).where("low < high")
-    ranges = hit.groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("some"), F.array_sort(F.collect_list(F.struct("low", "high"))).alias("ranges"))
+    hit = each.hint("merge").join(part.hint("merge"), same, "left").select("row", F.coalesce("whole", F.lit(0)).alias("whole"), low.alias("low"), high.alias("high"), end.alias("end"))
+    some = F.greatest(F.coalesce(F.col("high") - F.col("low"), F.lit(0)), F.lit(0))
+    ranges = hit.groupBy("row").agg(F.min("whole").alias("drawn"), F.sum(F.col("whole") * (F.col("end") - F.col("low")) + some).alias("some"),
+                                    F.array_sort(F.collect_list(F.when(some > 0, F.struct("low", "high")))).alias("ranges"))
+    ranges = ranges.withColumn("ranges", F.when(F.size("ranges") > 0, F.col("ranges")))
     # Targets have one row for each source; sizes of sources decide whether Spark sends them to every task.
-    known = plan.select(F.col("source").alias("_s"), "source_size", "target", "passes")
+    known = plan.select(F.col("source").alias("_s"), "source_size", "target", F.col("passes").alias("most"))
     docs = rows.join(known, F.col("source").eqNullSafe(F.col("_s")), "left").join(ranges, "row", "left")
     documents = docs.select(
-        F.col("id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in keep], "size", "source_size", "target", "passes", "ranges",
-        (F.col("passes") * F.col("size") + F.coalesce("some", F.lit(0))).cast("long").alias("taken"))
-    return documents, slots(plan, block_words, shard_slots, rounds, seed)
+        F.col("id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in keep], "size", "source_size", "target", F.coalesce("drawn", "most").alias("passes"), "ranges",
+        F.coalesce("some", F.lit(0)).cast("long").alias("taken"))
+    return documents, dealt
 
 
 def numbered(rows: DataFrame, chunk: int = 4096) -> DataFrame:

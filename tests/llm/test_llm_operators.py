@@ -338,6 +338,20 @@ def test_mixing(spark):
     assert mix(df.limit(0))[0].count() == 0
 
 
+def test_mixing_takes_what_the_slots_say(spark, monkeypatch):
+    from strongroom.llm import mixing
+
+    rnd = random.Random(7)
+    df = docs(spark, [(i, " ".join(f"w{i}_{k}" for k in range(rnd.randint(1, 60))), "en", rnd.choice(["a", "a", "a", "b", None])) for i in range(80)])
+    drawn = mixing.slots
+    sizes = lambda mixed: (sum(r.taken for r in mixed[0].collect()), sum(r.length for r in mixed[1].collect()))
+    taken, dealt = sizes(mixing.mix(df, block_words=16))
+    assert taken == dealt > 0
+    monkeypatch.setattr(mixing, "slots", lambda *a: drawn(*a).where("slot % 3 > 0"))
+    fewer, left = sizes(mixing.mix(df, block_words=16))
+    assert fewer == left < dealt
+
+
 # -- packing ------------------------------------------------------------------
 
 
