@@ -447,3 +447,21 @@ def test_extraction_cases(spark):
             assert r.text == list(cases.values())[r.page_id], r
         assert r.n_chars == len(r.text)
     assert extract(df.limit(0)).count() == 0
+
+
+def test_extraction_drops_boilerplate_of_flat_pages_and_overrules_words():
+    from strongroom.llm.html_text import main_text
+
+    told = [f"Paragraph {k} of the article has quite a few words in it, as they do when someone writes a text." for k in range(5)]
+    body = "".join(f"<p>{t}</p>" for t in told[:3]) + "<p>Short one.</p>" + "".join(f"<p>{t}</p>" for t in told[3:])
+    want = "\n\n".join(["Title", *told[:3], "Short one.", *told[3:]])
+    menu = "<ul><li><a href=/>Home</a><li><a href=/a>About us</a><li><a href=/c>Contact</a></ul><div>We use cookies</div>"
+    links = "<h3>More</h3><ul><li><a href=/1>One more page of this site</a><li><a href=/2>Two more pages</a></ul><div>Copyright us</div>"
+    flat = f"{menu}<h1>Title</h1>{body}{links}"
+    for page in (f"<html><body>{flat}</body></html>", f"<body><div>{flat}</div></body>", f"<body><form id=aspnetForm>{flat}</form></body>", f"<div class='page search related'>{flat}</div>",
+                 f"<html><head><title>T</title><meta charset=utf8><body>{flat}", f"<head><title>T</title><h1>Title</h1>{body}"):
+        assert main_text(page) == want, page
+    widgets = "".join(f"<div class='elementor-widget elementor-widget-text'><p>{t}</p></div>" for t in told)
+    assert main_text(f"<body><div>{menu}{widgets}</div></body>") == "\n\n".join(told)
+    article = f"<article><h1>Title</h1>{body}<ul><li>Plain item</ul><div><a href=/x>Read this too</a></div></article>"
+    assert main_text(f"<body>{menu}{article}{links}") == want + "\n\nPlain item"
