@@ -212,7 +212,7 @@ def overruled(raw: list, sigma: float, most: float, least_words: int = 25) -> fr
 def main_text(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
     parser = Lines()
     last = html.rfind("<")
-    if last > html.rfind(">") and not re.search(r"</?(script|style)\b[^<]*$", html[:last], re.I):
+    if last > html.rfind(">") and re.match("<[A-Za-z/!?]", html[last:]) and not re.search(r"</?(script|style)\b[^<]*$", html[:last], re.I):
         html = html[:last]  # a tag that the page's end cut off
     parser.feed(html)
     parser.close()

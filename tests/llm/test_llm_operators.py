@@ -465,3 +465,13 @@ def test_extraction_drops_boilerplate_of_flat_pages_and_overrules_words():
     assert main_text(f"<body><div>{menu}{widgets}</div></body>") == "\n\n".join(told)
     article = f"<article><h1>Title</h1>{body}<ul><li>Plain item</ul><div><a href=/x>Read this too</a></div></article>"
     assert main_text(f"<body>{menu}{article}{links}") == want + "\n\nPlain item"
+
+
+def test_extraction_keeps_text_after_a_sign_that_starts_no_tag():
+    from strongroom.llm.html_text import main_text
+
+    rest = "then the rest of the page " * 20
+    for sign in ("< b", "<3", "<= b", "<"):
+        assert main_text(f"<p>if a {sign} {rest}") == f"if a {sign} {rest}".strip()
+    assert main_text("<p>some text</p><a hr") == main_text("<p>some text</p></p") == main_text("<p>some text</p><!-- x") == "some text"
+    assert main_text("<p>a <") == "a <"
