@@ -67,9 +67,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence families of the paragraphs of every document."""
-    from strongroom.llm.licences import scan, train
+    from strongroom.llm.licences import NOTICES, scan_paragraphs, train
 
-    return scan(table(spark, sf_dir, "documents"), train())
+    return scan_paragraphs(table(spark, sf_dir, "documents"), train(NOTICES))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
