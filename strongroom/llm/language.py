@@ -102,18 +102,16 @@ def batched(batches: Iterator, rows: int = 64):
             yield batch.slice(k, rows)
 
 
-def learn(df: DataFrame, text_col: str, lang_col: str, dim: int = 1024, seed: int = 7, max_train_rows: int = 20_000):
+def learn(df: DataFrame, text_col: str, lang_col: str, dim: int = 1024, seed: int = 7):
     """Language names and their unit prototypes, learned from rows with text and language.
 
-    The rows are a sample by the hash of text and language of about
-    ``max_train_rows``; their bundles are added up on the executors, and one
-    vector for each language comes to the driver.
+    All rows count, so a language of few rows is known too; their bundles are
+    added up on the executors, and one vector for each language comes to the
+    driver.
     """
     import numpy as np
 
     rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    share = min(1.0, max_train_rows / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches):
         import pyarrow as pa

@@ -249,6 +249,14 @@ def test_language(spark):
     assert identify(df.limit(0), learn(df, "text", "lang")).count() == 0
 
 
+def test_languages_of_one_row_among_many(spark):
+    from strongroom.llm.language import learn
+
+    many = spark.range(30_000).select(F.concat(F.lit("the cat and the hat "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(f"le chat {chr(97 + k)}{chr(98 + k)}{chr(99 + k)}", f"x{k:02}") for k in range(20)], "text string, lang string")
+    assert learn(many.unionByName(few), "text", "lang")[0] == ["en", *[f"x{k:02}" for k in range(20)]]
+
+
 def test_language_vectors():
     """Chunks of a long text lose no n-gram, and a text's vector is its n-grams' sum."""
     import numpy as np
