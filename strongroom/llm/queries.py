@@ -104,6 +104,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the first four components."""
+    from strongroom.llm.whitening import whiten
+
+    out = whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256)
+    return out.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds from forty seeds."""
+    from strongroom.llm.centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), width=64, k=40, rounds=5, scale=256, seed="2").drop("centroid")
+
+
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; a source is a host."""
+    from strongroom.llm.host_rules import judge
+
+    return judge(table(spark, sf_dir, "documents")).drop("n_lines")
+
+
 QUERIES = {
     "op1_embedding_links": op1_embedding_links,
     "op2_language_id": op2_language_id,
@@ -115,8 +137,40 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_host_rules": op13_host_rules,
 }
 
+
+def rounds_sql(rounds: int, k: int = 40, width: int = 64) -> str:
+    """Centroid clustering with every distance computed anew in each round."""
+    nearest = """SELECT vec_id, x, cluster, distance FROM (
+            SELECT v.vec_id, v.x, c.cluster, list_sum(list_transform(list_zip(v.x, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance,
+                   row_number() OVER (PARTITION BY v.vec_id ORDER BY distance, c.cluster) AS place
+            FROM vectors v CROSS JOIN c{r} c) WHERE place = 1"""
+    update = f"""SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{{r}} c LEFT JOIN (
+            SELECT cluster, list(mean ORDER BY i) AS c FROM (
+                SELECT cluster, i, ((sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+                FROM a{{r}}, range(1, {width + 1}) AS places(i) GROUP BY cluster, i) GROUP BY cluster) m USING (cluster)"""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(r=r)})")
+        if r < rounds:
+            steps.append(f"c{r + 1} AS MATERIALIZED ({update.format(r=r)})")
+    return f"""
+        WITH vectors AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        c0 AS MATERIALIZED (
+            SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS cluster, x AS c
+            FROM vectors ORDER BY sha256('2:' || vec_id) LIMIT {k}),
+        {", ".join(steps)}
+        SELECT a.vec_id, a.cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+               (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (cluster)"""
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op1_embedding_links": """
@@ -189,4 +243,41 @@ ORACLES: dict[str, str] = {
                    vec_id, score
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op12_centroid_clusters": rounds_sql(5),
+    "op13_host_rules": r"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source FROM documents),
+        words AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+        windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+                    FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+        repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
+        covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM repeated, range(3) AS places(k) GROUP BY r),
+        lines AS (SELECT r, line FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+        dups AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r),
+        counts AS (
+            SELECT d.r, d.doc_id,
+                   nullif(regexp_replace(lower(trim(coalesce(nullif(regexp_extract(source, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1), ''), source))), '^www\.', ''), '') AS host,
+                   len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+                   coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+            FROM docs d JOIN words USING (r) LEFT JOIN covered USING (r) LEFT JOIN dups USING (r)),
+        failures AS (
+            SELECT host, rule, count(*)::DOUBLE AS n, sum(failed::INTEGER)::DOUBLE AS f FROM (
+                SELECT host, unnest(['repeats', 'symbols', 'lines', 'length']) AS rule,
+                       unnest([100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words, n_dup_lines > 5 AND 5 * n_dup_lines > n_lines,
+                               word_chars < 3 * n_words OR word_chars > 12 * n_words]) AS failed
+                FROM counts WHERE host IS NOT NULL) GROUP BY host, rule),
+        sums AS (
+            SELECT rule, sum(n) AS docs, sum(f) / sum(n) AS p, count(*) - 1 AS more, sum(n * n) / sum(n) AS squares, sum(f * f / n) AS spread
+            FROM failures GROUP BY rule),
+        overlap AS (SELECT rule, p, greatest((1 - rho) / rho, 10) AS strength FROM (
+            SELECT rule, p, CASE WHEN p * (1 - p) * (docs - squares - more) > 0
+                THEN least(greatest((spread - docs * p * p - p * (1 - p) * more) / (p * (1 - p) * (docs - squares - more)), 1e-6), 1 - 1e-6) ELSE 1e-6 END AS rho
+            FROM sums)),
+        bad AS (
+            SELECT DISTINCT host FROM failures JOIN overlap USING (rule)
+            WHERE (f + p * strength) / (n + strength) > 0.8)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, bad.host IS NOT NULL AS host_failed,
+               NOT base_failed AND bad.host IS NULL AS kept
+        FROM counts LEFT JOIN bad USING (host)""",
 }
