@@ -43,8 +43,7 @@ PART = "_part"
 def with_parts(df: DataFrame, keys: Sequence[str], order_col: str, bucket: str | None = HOT_KEY_BUCKET) -> DataFrame:
     """Add ``_part``, a struct of the keys and the time bucket of ``order_col``.
 
-    As one column it compares NULL parts as equal, and the windows, the
-    group-by and the join below share one partitioning by it.
+    As one column it is the partitioning of all windows inside the buckets.
     """
     if PART in df.columns:
         return df
@@ -52,15 +51,28 @@ def with_parts(df: DataFrame, keys: Sequence[str], order_col: str, bucket: str |
     return df.withColumn(PART, F.struct(*[F.col(k) for k in keys], *cut))
 
 
-def _hand_over(df: DataFrame, parts: DataFrame, keys: Sequence[str], summary: Column, across) -> DataFrame:
-    """Add ``_border``: what the other buckets of the key hand to a bucket.
+def _flags(parts: DataFrame, order: Sequence[Column], values: dict[str, Column], w, taker: str) -> DataFrame:
+    """Add ``values`` and whether a row is ``_first`` and ``_last`` of its bucket.
 
-    ``summary`` is one value per bucket (partially aggregated before the
-    shuffle), ``across`` takes it over the key's buckets in time order.
-    """
-    w = Window.partitionBy(*[F.col(PART)[k] for k in keys]).orderBy(F.col(PART)["_bucket"])
-    per = parts.groupBy(PART).agg(summary.alias("_s"))
-    return df.join(per.select(PART, across(F.col("_s"), w).alias("_border")), PART, "left")
+    Rows that tie in the order are the ``taker`` together, so that two
+    evaluations of the same rows never disagree on where a row goes."""
+    last = F.lead(F.lit(1)).over(w).isNull()
+    if taker == "_last":
+        place = F.struct(*order)
+        last = place.eqNullSafe(F.last(place).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return parts.withColumns(values | {"_first": F.rank().over(w) == 1, "_last": last})
+
+
+def _across(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], taker: str, fill: dict) -> DataFrame:
+    """Let the ``taker`` rows ('_first' or '_last') of each bucket see the
+    other buckets of their key.
+
+    Only the first and last rows of the buckets go into a window per key, two
+    per bucket however many rows it has; the others stay where they are.  Both
+    parts read one exchange, which Spark reuses, so the input is read once."""
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
+    edges = rows.filter(F.col("_first") | F.col("_last")).withColumns({c: f(w) for c, f in fill.items()}).filter(F.col(taker))
+    return rows.filter(~F.col(taker)).unionByName(edges)
 
 
 def previous_value(
@@ -83,11 +95,10 @@ def previous_value(
     order = [F.col(order_col)] + [F.col(c) for c in tie]
     parts = with_parts(df, keys, order_col, bucket)
     w = Window.partitionBy(PART).orderBy(*order)
-    res = parts.withColumns({out: F.lag(value).over(w), "_edge": F.row_number().over(w) == 1})
-    if bucket:
-        res = _hand_over(res, parts, keys, F.max_by(value, F.struct(*order)), lambda s, w: F.lag(s).over(w))
-        res = res.withColumn(out, F.when(F.col("_edge"), F.col("_border")).otherwise(F.col(out)))
-    return res.drop(PART, "_edge", "_border")
+    if not bucket:
+        return parts.withColumn(out, F.lag(value).over(w)).drop(PART)
+    res = _flags(parts, order, {out: F.lag(value).over(w)}, w, "_first")
+    return _across(res, keys, order, "_first", {out: lambda w: F.lag(value).over(w)}).drop(PART, "_first", "_last")
 
 
 def next_value(
@@ -103,11 +114,10 @@ def next_value(
     order = [F.col(order_col)] + [F.col(c) for c in tie]
     parts = with_parts(df, keys, order_col, bucket)
     w = Window.partitionBy(PART).orderBy(*order)
-    res = parts.withColumns({out: F.lead(value).over(w), "_edge": F.lead(F.lit(1)).over(w).isNull()})
-    if bucket:
-        res = _hand_over(res, parts, keys, F.min_by(value, F.struct(*order)), lambda s, w: F.lead(s).over(w))
-        res = res.withColumn(out, F.when(F.col("_edge"), F.col("_border")).otherwise(F.col(out)))
-    return res.drop(PART, "_edge", "_border")
+    if not bucket:
+        return parts.withColumn(out, F.lead(value).over(w)).drop(PART)
+    res = _flags(parts, order, {out: F.lead(value).over(w)}, w, "_last")
+    return _across(res, keys, order, "_last", {out: lambda w: F.lead(value).over(w)}).drop(PART, "_first", "_last")
 
 
 def carried(
@@ -118,20 +128,23 @@ def carried(
     bucket: str | None = HOT_KEY_BUCKET,
 ) -> DataFrame:
     """Fill NULLs of ``cols`` with the key's last value that is not NULL (see
-    previous_value); there is one row per key and ``order_col``."""
+    previous_value); there is one row per key and ``order_col``.
+
+    Filled inside the buckets, then the buckets' first rows across them, and
+    once more inside, which hands what a first row took to the rows after it."""
+
+    def filled(w) -> dict[str, Column]:
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        return {c: F.last(c, ignorenulls=True).over(so_far) for c in cols}
+
     parts = with_parts(df, keys, order_col, bucket)
-    w = Window.partitionBy(PART).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    res = parts.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    if bucket:
-        lasts = F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c) for c in cols])
-
-        def before(s: Column, w) -> Column:
-            earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-            return F.struct(*[F.last(s[c], ignorenulls=True).over(earlier).alias(c) for c in cols])
-
-        res = _hand_over(res, parts, keys, lasts, before)
-        res = res.withColumns({c: F.coalesce(F.col(c), F.col("_border")[c]) for c in cols})
-    return res.drop(PART, "_border")
+    w = Window.partitionBy(PART).orderBy(order_col)
+    if not bucket:
+        return parts.withColumns(filled(w)).drop(PART)
+    order = [F.col(order_col)]
+    res = _flags(parts, order, filled(w), w, "_first")
+    fill = {c: lambda w, c=c: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in cols}
+    return _across(res, keys, order, "_first", fill).withColumns(filled(w)).drop(PART, "_first", "_last")
 
 
 def null_safe_differs(a: Column, b: Column) -> Column:

@@ -29,3 +29,18 @@ def test_plan_shape(spark, name):
     for m in re.finditer(r"ReadSchema: struct<([^>]*)>", plan):
         fields = m.group(1).split(",")
         assert not ({"l_orderkey:bigint", "l_tax:double", "l_returnflag:string"} <= set(fields)), f"{name}: full lineitem scan"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+@pytest.mark.parametrize(
+    "name,scans,exchanges",
+    [("sat_user_state", 1, 2), ("sat_end_dated", 1, 2), ("audit_consecutive_equal", 1, 2), ("sat_split", 2, 4), ("driving_key", 1, 4), ("sat_merge", 2, 6)],
+)
+def test_histories_are_read_once(spark, name, scans, exchanges):
+    """Both parts of a history cut into buckets read one reused exchange (scans: stored tables or files)."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = E.queries()[name](own, SF)._jdf.queryExecution().executedPlan().toString()
+    made = len(re.findall(r"- Exchange hash", plan))
+    assert (len(re.findall("FileScan", plan)), made) == (scans, exchanges), plan
