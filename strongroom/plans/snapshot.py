@@ -20,6 +20,7 @@ hot key has one row per snapshot at most.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strongroom.operators.sat_store import SatStore
 from strongroom.operators.specs import LOAD_DTS, REC_SRC, SNAPSHOT_DTS
 
 # Fixed value: PIT and bridge rows are system generated.
@@ -103,15 +105,21 @@ def _tod(c: Column) -> Column:
     return F.date_format(c, "HH:mm:ss.SSSSSS")
 
 
-def spine_from_hub(hub: DataFrame, end: str, step: str = "1 day", at: str = "00:00:00") -> Spine:
-    """Snapshots from the day of the hub's first load to ``end``.
+def spine_from_hub(hub: DataFrame, end: str | Column, step: str = "1 day", at: str = "00:00:00") -> Spine:
+    """Snapshots from the day of the hub's first load to ``end``, a time or
+    a Column (say ``day_after`` of a feed).
 
     ``at`` is the time of day shared by build and query (decision D8).  The
     start is a scalar subquery, evaluated by Spark, not collected.
     """
     first_day = hub.select(F.min(F.col(LOAD_DTS)).cast("date").alias("d")).scalar()
     start = F.to_timestamp_ntz(F.concat(first_day.cast("string"), F.lit(" " + at)))
-    return Spine(start, F.lit(end).cast("timestamp_ntz"), step)
+    return Spine(start, (F.lit(end) if isinstance(end, str) else end).cast("timestamp_ntz"), step)
+
+
+def day_after(feed: DataFrame, ts: str = LOAD_DTS) -> Column:
+    """The midnight after the feed's last row, as a scalar subquery."""
+    return F.date_add(feed.select(F.max(ts).cast("date")).scalar(), 1)
 
 
 def fixed_spine(start: str, end: str, step: str = "1 day") -> Spine:
@@ -138,15 +146,25 @@ def build_pit(
     ``sats`` maps the output column name to a satellite (key, LOAD_DTS...).
     ``known_keys_only`` starts each key at its first load (D9); keys first
     loaded after the last snapshot have no rows.  ``since`` builds only
-    snapshots after it (P3, incremental), none when there is no later one;
-    earlier versions still seed the first new snapshot.
+    snapshots after it, none when there is no later one, from all versions
+    (``extend_pit`` reads the new ones only).
     """
     start = F.lit(0).cast("long")
     if since is not None:  # a NULL watermark (nothing stored) starts at 0
         start = F.greatest(start, spine.index(since + F.expr("INTERVAL 1 MICROSECOND")))
+    return _pit_rows(_seeds(hub, key, list(sats), spine, start, known_keys_only), key, sats, spine, start)
+
+
+def _seeds(hub: DataFrame, key: str, names: Sequence[str], spine: Spine, start: Column, known_keys_only: bool) -> DataFrame:
+    """One row per hub key at the number where its snapshots start, no version known."""
+    none = F.lit(None).cast("timestamp_ntz")
+    at = F.greatest(start, spine.index(F.col(LOAD_DTS))) if known_keys_only else start
+    return hub.select(key, at.alias("_k"), F.lit(True).alias("_seed"), *[none.alias(n) for n in names])
+
+
+def _pit_rows(u: DataFrame, key: str, sats: dict[str, DataFrame], spine: Spine, start: Column) -> DataFrame:
+    """Seed rows and versions reduced per key and number, carried forward and stretched."""
     names, none = list(sats), F.lit(None).cast("timestamp_ntz")
-    seed = F.greatest(start, spine.index(F.col(LOAD_DTS))) if known_keys_only else start
-    u = hub.select(key, seed.alias("_k"), F.lit(True).alias("_seed"), *[none.alias(n) for n in names])
     for n, sat in sats.items():
         cols = [F.col(LOAD_DTS).alias(n) if m == n else none.alias(m) for m in names]
         k = F.greatest(start, spine.index(F.col(LOAD_DTS)))
@@ -164,6 +182,42 @@ def build_pit(
     return u.select(SNAPSHOT_DTS, key, *names, F.lit(SYSGEN).alias(REC_SRC))
 
 
+def extend_pit(
+    pit: DataFrame,
+    hub: DataFrame,
+    key: str,
+    sats: dict[str, DataFrame | SatStore],
+    spine: Spine,
+    known_keys_only: bool = False,
+    late_days: int = 0,
+) -> DataFrame:
+    """The rows of the snapshots after the last stored one.
+
+    The stored PIT's last snapshot is carried forward and the satellites'
+    versions after it come on top, so the history before is not read: the PIT is
+    read in one snapshot (a partition filter where it is stored by
+    SNAPSHOT_DTS), and a satellite stored by load date in the partitions since.
+    Stored snapshots are never changed.  ``late_days``: versions may have
+    been stored after the last snapshot was built though they are up to that many days
+    older; they are in force in the new snapshots then.  Hub keys that
+    the PIT lacks start with the first new snapshot; as a key's hub row is loaded
+    no later than its versions, they have no older ones.  An empty PIT is built whole.
+
+    The result equals ``build_pit(since=last stored snapshot)``.
+    """
+    last = pit.agg(F.max(SNAPSHOT_DTS)).first()[0]  # one value
+    read = lambda s, since: (s.read(since) if isinstance(s, SatStore) else s)
+    if last is None:
+        return build_pit(hub, key, {n: read(s, None) for n, s in sats.items()}, spine, known_keys_only)
+    known, names = F.lit(last), list(sats)
+    start = F.greatest(F.lit(0).cast("long"), spine.index(known + F.expr("INTERVAL 1 MICROSECOND")))
+    since = last - dt.timedelta(days=late_days)
+    new = {n: read(s, since.date()).filter(F.col(LOAD_DTS) > F.lit(since)) for n, s in sats.items()}
+    carried = pit.filter(F.col(SNAPSHOT_DTS) == known).select(key, start.alias("_k"), F.lit(None).cast("boolean").alias("_seed"), *names)
+    seeds = _seeds(hub, key, names, spine, start, known_keys_only)
+    return _pit_rows(seeds.unionByName(carried), key, new, spine, start)
+
+
 def pit_read(
     pit: DataFrame,
     key: str,
@@ -185,12 +239,32 @@ def pit_read(
     return out
 
 
+def valid_stretches(deleted: DataFrame, key: str, spine: Spine) -> DataFrame:
+    """(``_dk``, ``_a``, ``_b``): the stretches of snapshot numbers in which a
+    key of an effectivity table is there; one that is empty (``_b < _a``) for
+    a key that is gone from the start.
+
+    ``deleted`` has the key, LOAD_DTS and, if it has one, IS_DELETED; without it
+    every row is a deletion.  A snapshot sees the latest state up to it."""
+    flag = F.col("IS_DELETED") if "IS_DELETED" in deleted.columns else F.lit(1)
+    d = deleted.select(F.col(key).alias("_dk"), F.col(LOAD_DTS).alias("_t"), flag.cast("int").alias("_gone"))
+    d = d.filter(F.col("_t") <= spine.end).withColumn("_from", spine.index(F.col("_t")))
+    d = d.groupBy("_dk", "_from").agg(F.max(F.struct("_t", "_gone")).getField("_gone").alias("_gone"))
+    w = Window.partitionBy("_dk").orderBy("_from")  # at most one row per snapshot
+    until = F.coalesce(F.lead("_from").over(w), spine.last() + 1) - 1
+    d = d.withColumns({"_until": until, "_start": F.lag("_from").over(w).isNull()})
+    stretch = lambda lo, hi: F.struct(lo.cast("long").alias("_a"), hi.cast("long").alias("_b"))
+    before = F.when(F.col("_start"), stretch(F.lit(0), F.col("_from") - 1))
+    there = F.when(F.col("_gone") == 0, stretch(F.col("_from"), F.col("_until")))
+    return d.select("_dk", F.inline(F.array_compact(F.array(before, there))))
+
+
 def build_bridge(
     base_link: DataFrame,
     base_keys: Sequence[str],
     joins: Sequence[tuple[DataFrame, str, Sequence[str]]],
     spine: Spine,
-    deleted: DataFrame | None = None,
+    deleted: DataFrame | Sequence[tuple[DataFrame, str]] | None = None,
     deleted_key: str | None = None,
 ) -> DataFrame:
     """Hub and link keys pre-joined per snapshot.
@@ -201,10 +275,11 @@ def build_bridge(
     numbers (before its first load, a key has a stretch of NULLs) and only
     the joined rows are stretched to snapshots, so no shuffle carries them.
 
-    ``deleted`` (key, LOAD_DTS and, if it has one, IS_DELETED) is the
-    effectivity of the relations: one is left out of the snapshots at which
-    the latest state says deleted, and returns with a later IS_DELETED = 0.
-    Without that column every row is a deletion.
+    ``deleted`` holds the effectivity of the relations, as one table with its
+    ``deleted_key`` or as several (table, key): one is left out of the snapshots
+    at which the latest state of any of its keys says deleted, and returns with a
+    later IS_DELETED = 0.  Rows are cut to the stretches in which the keys are
+    there (``valid_stretches``), before they are stretched to snapshots.
     """
     last = spine.last()
     rows = base_link.filter(F.col(LOAD_DTS) <= spine.end).select(
@@ -222,13 +297,14 @@ def build_bridge(
         rows = rows.withColumns({"_lo": F.greatest("_lo", "_l"), "_hi": F.least("_hi", "_h")}).drop("_on", "_l", "_h")
         rows = rows.filter(F.col("_lo") <= F.col("_hi"))
     names = rows.drop("_lo", "_hi").columns
+    if isinstance(deleted, DataFrame):
+        if deleted_key is None:
+            raise ValueError("an effectivity table needs its deleted_key")
+        deleted = [(deleted, deleted_key)]
+    for table, on in deleted or ():
+        there = valid_stretches(table, on, spine)
+        rows = rows.join(there, rows[on] == there["_dk"], "left")
+        rows = rows.withColumns({"_lo": F.greatest("_lo", "_a"), "_hi": F.least("_hi", "_b")}).drop("_dk", "_a", "_b")
+        rows = rows.filter(F.col("_lo") <= F.col("_hi"))
     rows = spine.stretch(rows, F.col("_lo"), F.col("_hi"))
-    if deleted is not None and deleted_key is not None:
-        flag = F.col("IS_DELETED") if "IS_DELETED" in deleted.columns else F.lit(1)
-        d = deleted.select(F.col(deleted_key).alias("_dk"), F.col(LOAD_DTS).alias("_t"), flag.cast("int").alias("_gone"))
-        d = d.filter(F.col("_t") <= spine.end).withColumn("_from", spine.index(F.col("_t")))
-        d = d.groupBy("_dk", "_from").agg(F.max(F.struct("_t", "_gone")).getField("_gone").alias("_gone"))
-        d = d.withColumn("_to", F.lead("_from").over(Window.partitionBy("_dk").orderBy("_from"))).filter("_gone = 1")
-        gone = (rows[deleted_key] == d["_dk"]) & (rows["_k"] >= d["_from"]) & (d["_to"].isNull() | (rows["_k"] < d["_to"]))
-        rows = rows.join(d, gone, "left_anti")
     return rows.select(*names, SNAPSHOT_DTS, F.lit(SYSGEN).alias(REC_SRC))

@@ -10,6 +10,7 @@ setting is read from the session and only set here when it is unset
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -45,16 +46,44 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     w.parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and its file system, whatever store it lies in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder was written to its end (Spark leaves ``_SUCCESS`` there)."""
+    folder, fs = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(folder)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``, none where it does not exist."""
+    folder, fs = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()) if fs.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table folder that nothing reads any more."""
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     On a cluster this is ``spark.checkpoint.dir``.  Where it is unset, a folder
-    in the session's warehouse is set, which all executors share as well.
+    in the session's warehouse is set; on a cluster whose warehouse is a folder
+    of the driver's machine, which executors don't share, that is an error.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+        if not named and not sc.master.startswith("local") and re.match(r"(file:)?/", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or f"{warehouse}/_checkpoints")
     return sc.getCheckpointDir()
 
 

@@ -16,12 +16,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strongroom.operators.hub import hub_rejects, load_hub
 from strongroom.operators.link import link_rejects, load_link
+from strongroom.operators.sat_store import SatStore
 from strongroom.operators.satellite import load_sat, sat_rejects
 from strongroom.operators.specs import HubSpec, LinkSpec, SatSpec
 from strongroom.sources.io import append, overwrite, read_or_none
@@ -29,12 +30,21 @@ from strongroom.sources.io import append, overwrite, read_or_none
 
 @dataclass
 class VaultTarget:
-    """Where one entity lives, how it is loaded, and where refused rows go."""
+    """Where one entity lives, where refused rows go, and how it is loaded.
+
+    A satellite in timeline mode is stored by load date (``SatStore``), so
+    that a micro-batch reads only the partitions from its first day on."""
 
     spec: HubSpec | LinkSpec | SatSpec
     path: str
+    rejects: str
     mode: str = "timeline"
-    rejects: str | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        """The stored rows; None before the first load."""
+        if isinstance(self.spec, SatSpec) and self.mode == "timeline":
+            return SatStore(spark, self.path, self.spec).read()
+        return read_or_none(spark, self.path)
 
 
 def vault_batch_loader(targets: Sequence[VaultTarget]) -> Callable[[DataFrame, int], None]:
@@ -49,16 +59,19 @@ def vault_batch_loader(targets: Sequence[VaultTarget]) -> Callable[[DataFrame, i
         spark = batch.sparkSession
         batch = batch.persist()  # read once, for all targets
         for t in ordered:
-            stored = read_or_none(spark, t.path)
             if isinstance(t.spec, HubSpec):
-                new, refused = load_hub(batch, stored, t.spec), hub_rejects
+                append(load_hub(batch, t.read(spark), t.spec), t.path)
+                refused = hub_rejects
             elif isinstance(t.spec, LinkSpec):
-                new, refused = load_link(batch, stored, t.spec), link_rejects
+                append(load_link(batch, t.read(spark), t.spec), t.path)
+                refused = link_rejects
             else:
-                new, refused = load_sat(batch, stored, t.spec, mode=t.mode), sat_rejects
-            append(new, t.path)
-            if t.rejects:
-                overwrite(refused(batch, t.spec), f"{t.rejects}/BATCH_ID={batch_id}")
+                if t.mode == "timeline":
+                    SatStore(spark, t.path, t.spec).load(batch)
+                else:
+                    append(load_sat(batch, t.read(spark), t.spec, mode=t.mode), t.path)
+                refused = sat_rejects
+            overwrite(refused(batch, t.spec), f"{t.rejects}/BATCH_ID={batch_id}")
         batch.unpersist()
 
     return run

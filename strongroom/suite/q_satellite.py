@@ -10,6 +10,7 @@ from strongroom.functions.hashing import hash_key
 from strongroom.operators.effectivity import detect_deletes, driving_key_effectivity, last_observed, load_effectivity
 from strongroom.operators.hub import hub_rejects
 from strongroom.operators.link import link_rejects
+from strongroom.operators.sat_store import SatStore
 from strongroom.operators.satellite import (
     as_of,
     as_of_bitemporal,
@@ -25,7 +26,7 @@ from strongroom.operators.satellite import (
 from strongroom.operators.specs import LinkSpec
 from strongroom.operators.staging import window_extract
 from strongroom.sources import feeds
-from strongroom.sources.io import cut_lineage
+from strongroom.sources.io import cut_lineage, scratch_path
 from strongroom.suite import model
 from strongroom.suite import sqlbits as S
 from strongroom.suite.registry import register
@@ -70,6 +71,10 @@ def q_sat_user_state(spark, d):
     return model.sat_user_state.load(spark, d)
 
 
+def user_state_store(spark) -> SatStore:
+    return SatStore(spark, scratch_path(spark, "sat_user_state_store"), model.SAT_USER_STATE)
+
+
 # S2 replay: batch 1, overlapping batch 2, then batch 1 again -> one-shot result.
 @register("sat_replay", SAT_STATE_SQL)
 def q_sat_replay(spark, d):
@@ -81,6 +86,7 @@ def q_sat_replay(spark, d):
     return sat.unionByName(load_sat(b1, sat, model.SAT_USER_STATE))
 
 
+# The satellite stored by load date, so a load reads from its first day on.
 # G8 + S2: daily re-extract of a rolling 96-hour window; unchanged rows add
 # nothing, so overlapping windows equal the one-shot load.
 @register("sat_window", SAT_STATE_SQL)
@@ -89,12 +95,46 @@ def q_sat_window(spark, d):
     # The history up to 9 days before the feed's end in one load, then an extract every 3 days until past the end.
     end = stg.agg(F.max("LOAD_DTS").cast("date")).first()[0] or dt.date(1970, 1, 1)
     days = [end + dt.timedelta(days=k) for k in (-8, -5, -2, 1)]
-    history = stg.filter(F.col("LOAD_DTS") < F.lit(days[0] - dt.timedelta(days=2)).cast("timestamp_ntz"))
-    sat = cut_lineage(load_sat(history, None, model.SAT_USER_STATE))
+    store = user_state_store(spark)
+    store.load(stg.filter(F.col("LOAD_DTS") < F.lit(days[0] - dt.timedelta(days=2)).cast("timestamp_ntz")))
     for as_of_day in days:
-        batch = window_extract(stg, "LOAD_DTS", as_of_day.isoformat(), hours=96)
-        sat = cut_lineage(sat.unionByName(load_sat(batch, sat, model.SAT_USER_STATE)))
-    return sat
+        store.load(window_extract(stg, "LOAD_DTS", as_of_day.isoformat(), hours=96))
+    return store.read()
+
+
+def batch_sql(stored: str, batch: str) -> str:
+    """The satellite after a timeline load of ``batch``: stored rows stay, a new row is kept where its predecessor differs."""
+    return f"""
+        SELECT * EXCLUDE (is_new, p) FROM (
+            SELECT *, lag(HASH_DIFF) OVER (PARTITION BY USER_HK ORDER BY LOAD_DTS) AS p FROM (
+                SELECT *, false AS is_new FROM ({stored})
+                UNION ALL SELECT *, true FROM ({batch}) b WHERE NOT EXISTS (
+                    SELECT 1 FROM ({stored}) s WHERE s.USER_HK = b.USER_HK AND s.LOAD_DTS = b.LOAD_DTS)))
+        WHERE NOT is_new OR p IS NULL OR p <> HASH_DIFF"""
+
+
+# S2 with a late batch: three days of the middle come after the end; each late row is
+# compared with the versions around it, the stored ones stay.  Then the last days come again:
+# a row that equalled its predecessor may now follow a late version and differ from it.
+LATE = "LOAD_DTS >= TIMESTAMP '2024-01-08' AND LOAD_DTS < TIMESTAMP '2024-01-11'"
+
+
+@register(
+    "sat_late",
+    f"""WITH st AS MATERIALIZED ({ST_STATE}),
+    on_time AS MATERIALIZED ({S.timeline_sql(f"SELECT * FROM st WHERE NOT ({LATE})", "USER_HK")}),
+    late AS MATERIALIZED ({batch_sql("SELECT * FROM on_time", f"SELECT * FROM st WHERE {LATE}")})
+    {batch_sql("SELECT * FROM late", "SELECT * FROM st WHERE LOAD_DTS >= TIMESTAMP '2024-01-18'")}""",
+)
+def q_sat_late(spark, d):
+    stg = feeds.stg_user_events(spark, d)
+    t = F.col("LOAD_DTS")
+    late = (t >= T("2024-01-08")) & (t < T("2024-01-11"))
+    store = user_state_store(spark)
+    store.load(stg.filter((t < T("2024-01-13")) & ~late))
+    for part in ((t >= T("2024-01-12")) & (t < T("2024-01-20")), t >= T("2024-01-18"), late, t >= T("2024-01-18")):
+        store.load(stg.filter(part))
+    return store.read()
 
 
 # S3: current row per key.

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
+from strongroom.operators.sat_store import SatStore
 from strongroom.operators.specs import SNAPSHOT_DTS
-from strongroom.plans.snapshot import build_bridge, build_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
+from strongroom.plans.snapshot import Spine, build_bridge, build_pit, day_after, extend_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
 from strongroom.sources import feeds
-from strongroom.sources.io import cut_lineage
+from strongroom.sources.io import append, scratch_path
 from strongroom.suite import model
 from strongroom.suite import sqlbits as S
 from strongroom.suite.q_satellite import SAT_STATE_SQL, SAT_VALUE_SQL, ST_DETAILS
@@ -16,13 +17,13 @@ from strongroom.suite.q_vault import LNK_ORDER_ITEM_SQL
 from strongroom.suite.registry import register
 
 HUB_USER_SQL = S.hub_sql(S.STG_USER_EVENTS, "USER_HK", "USER_ID")
-END = "2024-01-31 00:00:00"
+#: Snapshots end at the midnight after the feed's last event.
 SPINE_SQL = f"""SELECT unnest(generate_series(CAST((SELECT min(LOAD_DTS) FROM ({HUB_USER_SQL})) AS DATE)::TIMESTAMP,
-    TIMESTAMP '{END}', INTERVAL 1 DAY)) AS SNAPSHOT_DTS"""
+    CAST((SELECT max(LOAD_DTS) FROM ({S.STG_USER_EVENTS})) AS DATE)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS SNAPSHOT_DTS"""
 
 
 def user_spine(spark, d):
-    return spine_from_hub(model.hub_user(spark, d), END, "1 day")
+    return spine_from_hub(model.hub_user(spark, d), day_after(feeds.stg_user_events(spark, d)), "1 day")
 
 
 @register("spine", SPINE_SQL)
@@ -57,16 +58,25 @@ def q_pit_user(spark, d):
     return pit_user(spark, d)
 
 
-# The stored PIT holds snapshots up to Jan 15; the incremental build adds
-# only later snapshots (watermark = stored maximum), seeded by older versions.
+# Satellites stored by load date and a PIT stored by snapshot, both up to Jan 15;
+# then the rest is loaded and the PIT extended: the last stored snapshot is carried
+# forward, and only later load dates are read.
 @register("pit_incremental", PIT_USER_SQL)
 def q_pit_incremental(spark, d):
-    first = user_spine(spark, d)
-    from strongroom.plans.snapshot import Spine
-
-    stored = cut_lineage(pit_user(spark, d, Spine(first.start, F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), "1 day")))
-    watermark = stored.select(F.max(SNAPSHOT_DTS)).scalar()
-    return stored.unionByName(pit_user(spark, d, first, since=watermark))
+    stg, hub, spine = feeds.stg_user_events(spark, d), model.hub_user(spark, d), user_spine(spark, d)
+    until = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    specs = {"SAT_STATE_LOAD_DTS": model.SAT_USER_STATE, "SAT_VALUE_LOAD_DTS": model.SAT_USER_VALUE}
+    stores = {n: SatStore(spark, scratch_path(spark, spec.name), spec) for n, spec in specs.items()}
+    for store in stores.values():
+        store.load(stg.filter(F.col("LOAD_DTS") <= until))
+    path = scratch_path(spark, "pit_user")
+    first = Spine(spine.start, F.least(until, spine.end), spine.step)
+    pit = build_pit(hub, "USER_HK", {n: s.read() for n, s in stores.items()}, first)
+    append(pit, path, [SNAPSHOT_DTS])
+    for store in stores.values():
+        store.load(stg.filter(F.col("LOAD_DTS") > until))
+    stored = spark.read.schema(pit.schema).parquet(path)
+    return stored.unionByName(extend_pit(stored, hub, "USER_HK", stores, spine))
 
 
 # PIT on a link, yearly snapshots.
@@ -180,3 +190,24 @@ def q_bridge_effective(spark, d):
     keys = ["ORDER_ITEM_HK", "ORDER_HK"]
     eff = order_effectivity(spark, d)
     return build_bridge(model.lnk_order_item(spark, d), keys, [], fixed_spine(*LINK_SPINE), deleted=eff, deleted_key="ORDER_HK")
+
+
+# P6 with two effectivity tables: besides, a product is gone for good after its last shipment.
+PART_EFF_SQL = f"SELECT {S.hk('l_partkey')} AS PRODUCT_HK, max(l_shipdate)::TIMESTAMP AS LOAD_DTS FROM lineitem GROUP BY l_partkey"
+
+
+@register(
+    "bridge_two_effectivities",
+    f"""WITH l AS ({LNK_ORDER_ITEM_SQL}), e AS ({EFF_SQL}), g AS ({PART_EFF_SQL}),
+    d AS (SELECT unnest(generate_series(TIMESTAMP '{LINK_SPINE[0]}', TIMESTAMP '{LINK_SPINE[1]}', INTERVAL 1 YEAR)) AS SNAPSHOT_DTS)
+    SELECT l.ORDER_ITEM_HK, l.ORDER_HK, l.PRODUCT_HK, d.SNAPSHOT_DTS, 'SYSGEN' AS REC_SRC FROM l JOIN d ON l.LOAD_DTS <= d.SNAPSHOT_DTS
+    LEFT JOIN (SELECT e.ORDER_HK, d.SNAPSHOT_DTS, arg_max(IS_DELETED, LOAD_DTS) AS gone FROM e JOIN d ON e.LOAD_DTS <= d.SNAPSHOT_DTS GROUP BY 1, 2) s
+      ON s.ORDER_HK = l.ORDER_HK AND s.SNAPSHOT_DTS = d.SNAPSHOT_DTS
+    WHERE coalesce(s.gone, 0) = 0
+      AND NOT EXISTS (SELECT 1 FROM g WHERE g.PRODUCT_HK = l.PRODUCT_HK AND g.LOAD_DTS <= d.SNAPSHOT_DTS)""",
+)
+def q_bridge_two_effectivities(spark, d):
+    parts = feeds.table(spark, d, "lineitem").groupBy("l_partkey").agg(F.max("l_shipdate").cast("timestamp_ntz").alias("LOAD_DTS"))
+    parts = parts.select(hash_key("l_partkey").alias("PRODUCT_HK"), "LOAD_DTS")
+    gone = [(order_effectivity(spark, d), "ORDER_HK"), (parts, "PRODUCT_HK")]
+    return build_bridge(model.lnk_order_item(spark, d), ["ORDER_ITEM_HK", "ORDER_HK", "PRODUCT_HK"], [], fixed_spine(*LINK_SPINE), deleted=gone)

@@ -42,11 +42,11 @@ def q_stream_load(spark, d):
     hub_path, sat_path = scratch_path(spark, "hub_user"), scratch_path(spark, "sat_user_state")
     refused, checkpoint = scratch_path(spark, "rejects"), scratch_path(spark, "ckpt_stream_load")
     targets = [
-        VaultTarget(model.HUB_USER, hub_path, rejects=f"{refused}/hub"),
-        VaultTarget(model.SAT_USER_STATE, sat_path, rejects=f"{refused}/sat"),
+        VaultTarget(model.HUB_USER, hub_path, f"{refused}/hub"),
+        VaultTarget(model.SAT_USER_STATE, sat_path, f"{refused}/sat"),
     ]
     delivered(spark, feeds.stg_user_events(spark, d), lambda src: stream_load(src, targets, checkpoint))
-    return spark.read.parquet(sat_path)
+    return targets[1].read(spark)
 
 
 @register(

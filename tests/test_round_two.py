@@ -144,7 +144,7 @@ def test_stream_loses_no_row(spark, tmp_path):
         src = spark.readStream.schema(FEED).parquet(f"{root}/in/*")
         stream_load(src, targets, f"{root}/c1").awaitTermination()
         src.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/c2").trigger(availableNow=True).start().awaitTermination()
-    assert rows(spark.read.parquet(f"{root}/sat"), "EMAIL") == [("0",), ("1",)]
+    assert rows(targets[1].read(spark), "EMAIL") == [("0",), ("1",)]
     refused = spark.read.parquet(f"{root}/r/sat")
     assert rows(refused, "EMAIL", "REASON") == [("2", "KEY"), ("3", "TIE"), ("4", "TIE")]
     assert spark.read.parquet(f"{root}/r/hub").count() == 1 == hub_rejects(spark.createDataFrame(first, FEED), HUB).count()
