@@ -148,3 +148,19 @@ def last_observed(history: DataFrame, hk: str, ts: str = LOAD_DTS) -> DataFrame:
         F.max(ts).alias("LAST_SEEN_DTS"),
         F.count(F.lit(1)).alias("OBSERVATIONS"),
     )
+
+
+def observed_effectivity(history: DataFrame, hk: str, eff: DataFrame | None = None, ts: str = LOAD_DTS, rec_src: str = "SYSGEN") -> DataFrame:
+    """Last observations as effectivity rows that ``load_effectivity`` takes (S9):
+    one row per key of the batch, BEGIN_DTS its first and END_DTS its last
+    observation, loaded at that last one.  ``eff`` holds the rows of earlier
+    batches: an earlier begin or later end stays, so the current version of a key
+    says when it was first and last seen.  Keys and times that are NULL say nothing."""
+    seen = history.filter(F.col(hk).isNotNull() & F.col(ts).isNotNull()).groupBy(hk).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
+    if eff is not None:
+        known = eff.join(seen.select(hk), hk, "left_semi").groupBy(hk).agg(F.min("BEGIN_DTS").alias("_ka"), F.max("END_DTS").alias("_kb"))
+        seen = seen.join(known, hk, "left").withColumns({"_a": F.least("_a", "_ka"), "_b": F.greatest("_b", "_kb")})
+    return seen.select(
+        hk, F.col("_b").alias(LOAD_DTS), F.col("_a").alias("BEGIN_DTS"), F.col("_b").alias("END_DTS"),
+        F.lit(0).alias("IS_DELETED"), F.lit(rec_src).alias(REC_SRC),
+    )

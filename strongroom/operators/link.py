@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key
 from strongroom.operators.common import first_per_key
 from strongroom.operators.specs import LOAD_DTS, REC_SRC, LinkSpec
+from strongroom.sources.io import cut_lineage
 
 
 def link_candidates(stg: DataFrame | Sequence[DataFrame], spec: LinkSpec) -> DataFrame:
@@ -93,24 +94,76 @@ def load_link_literal(stg: DataFrame, link: DataFrame | None, spec: LinkSpec) ->
     return cand
 
 
-def resolve_same_as(df: DataFrame, sal: DataFrame, key: str, synonym: str, master: str) -> DataFrame:
-    """Replace a synonym hash key by its master key (L4); unknown keys stay.
+def same_as_masters(sal: DataFrame, synonym: str, master: str) -> DataFrame:
+    """One row per synonym of a same-as link with its last master (L4):
+    ``synonym``, ``master`` and whether the chain ends in a ``CYCLE``.
 
-    The same-as link is reduced to one master per synonym first (smallest
-    LOAD_DTS), so the join can never multiply rows.
+    A chain a -> b -> c gives c for both.  By pointer jumping: each round
+    replaces a synonym's master by that one's master, so a chain of n links
+    takes about log2(n) rounds of one join.  A synonym with several masters takes
+    the first loaded one.  A chain that runs into a cycle has no last master; its
+    synonyms all get the smallest key of the cycle.  Links of a key with
+    itself say nothing and are left out.
     """
-    m = first_per_key(sal.select(synonym, master, LOAD_DTS), [synonym], [LOAD_DTS, master])
-    m = m.select(F.col(synonym).alias("_syn"), F.col(master).alias("_master"))
+    one = first_per_key(sal.select(synonym, master, LOAD_DTS).filter(F.col(synonym).isNotNull() & F.col(master).isNotNull()),
+                        [synonym], [LOAD_DTS, master]).filter(F.col(synonym) != F.col(master))
+    state = cut_lineage(one.select(F.col(synonym).alias("_s"), F.col(master).alias("_m"), F.col(master).alias("_least")))
+    n, reach = state.count(), 1
+    step = lambda: state.alias("a").join(state.alias("b"), F.col("a._m") == F.col("b._s"), "left")
+    # _m is ``reach`` links on, _least the smallest key on the way.
+    while reach <= 2 * n and not step().filter(F.col("b._s").isNotNull()).isEmpty():
+        state = cut_lineage(step().select("a._s", F.coalesce("b._m", "a._m").alias("_m"), F.least("a._least", "b._least").alias("_least")))
+        reach *= 2
+    # Whoever still points at a synonym points into a cycle, all of which that one has passed.
+    cycle = F.col("b._s").isNotNull()
+    return step().select(F.col("a._s").alias(synonym), F.when(cycle, F.col("b._least")).otherwise(F.col("a._m")).alias(master), cycle.alias("CYCLE"))
+
+
+def resolve_same_as(df: DataFrame, sal: DataFrame, key: str, synonym: str, master: str) -> DataFrame:
+    """Replace a synonym hash key by its last master key (L4, see
+    ``same_as_masters``); unknown keys stay.  There is one master per synonym,
+    so the join can never multiply rows."""
+    m = same_as_masters(sal, synonym, master).select(F.col(synonym).alias("_syn"), F.col(master).alias("_master"))
     out = df.join(m, df[key] == m["_syn"], "left")
     return out.withColumn(key, F.coalesce(F.col("_master"), F.col(key))).drop("_syn", "_master")
 
 
+def ancestors(link: DataFrame, child: str, parent: str) -> DataFrame:
+    """Closure of a hierarchical link (L2): every (``child``, ``parent``) pair
+    of a key and one above it, with the ``DEPTH`` of the shortest way.
+
+    Found by doubling: the pairs at exactly the greatest depth known are joined
+    with all pairs, so n levels take about log2(n) rounds.  Children may have
+    several parents.  A key that is its own ancestor stands in a cycle
+    (``hierarchy_cycles``); the closure ends all the same.
+    """
+    edges = link.select(F.col(child).alias("_c"), F.col(parent).alias("_a")).filter("_c IS NOT NULL AND _a IS NOT NULL").distinct()
+    pairs, depth = cut_lineage(edges.withColumn("_d", F.lit(1).cast("long"))), 1
+    while True:
+        near = pairs.select(F.col("_c").alias("_nc"), F.col("_a").alias("_na"), F.col("_d").alias("_nd"))
+        more = pairs.filter(F.col("_d") == depth).join(near, F.col("_a") == F.col("_nc"))
+        more = more.groupBy("_c", "_na").agg(F.min(F.col("_d") + F.col("_nd")).alias("_nd"))
+        known = pairs.select(F.col("_c").alias("_kc"), F.col("_a").alias("_ka"))
+        more = more.join(known, (F.col("_c") == F.col("_kc")) & (F.col("_na") == F.col("_ka")), "left_anti")
+        more = more.select("_c", F.col("_na").alias("_a"), F.col("_nd").alias("_d"))
+        more = cut_lineage(more)
+        if more.isEmpty():
+            break
+        pairs, depth = cut_lineage(pairs.unionByName(more)), 2 * depth
+    return pairs.select(F.col("_c").alias(child), F.col("_a").alias(parent), F.col("_d").alias("DEPTH"))
+
+
+def hierarchy_cycles(closure: DataFrame, child: str, parent: str) -> DataFrame:
+    """Keys that are above themselves, from the result of ``ancestors``."""
+    return closure.filter(F.col(child) == F.col(parent))
+
+
 def exploration_link(df: DataFrame, hk: str, keys: Sequence[str], algo: str = "sha256") -> DataFrame:
-    """Disposable relation (L6): distinct key combinations of any query result.
-    ``keys`` are hash-key columns; the link key hashes them in order."""
+    """Disposable relation (L6): key combinations of any query result, first
+    seen and first source kept, as in every link.  ``keys`` are hash-key
+    columns; the link key hashes them in order."""
     keys = list(keys)
-    base = df.select(*keys).filter(key_is_valid(*keys)).distinct()
-    return base.select(hash_key(*keys, algo=algo).alias(hk), *keys)
+    return coarsen(df.filter(key_is_valid(*keys) & F.col(LOAD_DTS).isNotNull()), hk, keys, algo)
 
 
 def coarsen(link: DataFrame, hk: str, keys: Sequence[str], algo: str = "sha256") -> DataFrame:

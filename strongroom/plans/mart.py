@@ -136,15 +136,22 @@ def fact(
     ``optional_links`` = (link, join key, column, output name).  The hub and
     the optional links join on the same key, so Spark shuffles the link once
     by that key and reuses the partitioning across the three joins; the
-    satellite joins on the link key.
+    satellite joins on the link key.  ``link_cols`` are further columns of the
+    link; the keys it is joined by are taken in any case.
     """
-    out = link.select(link_hk, *link_cols, LOAD_DTS)
+    if link_hk not in sat_keys:
+        raise ValueError(f"the satellite's keys {list(sat_keys)} lack the link key {link_hk!r}")
+    wanted = [link_hk, hub_hk, *[on for _, on, _, _ in optional_links], *link_cols, LOAD_DTS]
+    missing = [c for c in wanted if c not in link.columns]
+    if missing:
+        raise ValueError(f"the link has no {missing}")
+    out = link.select(*dict.fromkeys(wanted))
     out = out.join(hub.select(hub_hk, *hub_cols), hub_hk, "inner")
     for olink, on, col, name in optional_links:
         out = out.join(olink.select(on, F.col(col).alias(name)), on, "left")
     cur = current(sat.select(*sat_keys, LOAD_DTS, HASH_DIFF, *measures), sat_keys)
     cur = cur.select(*sat_keys, *measures)
-    out = out.join(cur, [k for k in sat_keys if k == link_hk], "left")
+    out = out.join(cur, link_hk, "left")
     return out.filter(F.col(required).isNotNull())
 
 

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -99,13 +100,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame, path: str, mode: str = "overwrite", key: list[str] | None = None) -> DataFrame:
+def same_key(left: str, right: str, cols: Sequence[str]) -> Column:
+    """Join condition of two aliased frames on ``cols``, where NULL equals NULL."""
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
+    return same
+
+
+def materialise(df: DataFrame, path: str, mode: str = "overwrite", key: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
     """Write a view as a table and return the table.
 
     ``mode='overwrite'`` rebuilds it.  ``mode='incremental'`` appends only rows
-    whose ``key`` is not in the table yet (an anti join on the key columns),
-    for insert-only views.  ``mode='refresh'`` also replaces the rows of keys
-    that ``df`` holds, for Type 1 tables; rows of other keys stay.
+    whose ``key`` is not in the table yet, for insert-only views.
+    ``mode='refresh'`` also replaces the rows of keys that ``df`` holds, for
+    Type 1 tables; rows of other keys stay (see ``refresh``).  NULL is a key
+    value like others.
     """
     spark = df.sparkSession
     if mode == "overwrite":
@@ -113,20 +123,69 @@ def materialise(df: DataFrame, path: str, mode: str = "overwrite", key: list[str
     elif mode in ("incremental", "refresh"):
         if not key:
             raise ValueError(f"{mode} materialisation needs key columns")
+        if mode == "refresh":
+            return refresh(df, path, list(key), buckets)
         stored = read_or_none(spark, path)
-        if stored is None:
-            append(df, path)
-        elif mode == "incremental":
-            append(df.join(stored.select(*key), key, "left_anti"), path)
-        else:
-            rest = stored.join(df.select(*key), key, "left_anti")
-            # The table can't be overwritten while it is read.
-            overwrite(cut_lineage(df.unionByName(rest)), path)
+        new = df if stored is None else df.alias("n").join(stored.select(*key).alias("s"), same_key("n", "s", key), "left_anti")
+        append(new, path)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return spark.read.parquet(path)
 
 
+def refresh(df: DataFrame, path: str, key: Sequence[str], buckets: int = 64) -> DataFrame:
+    """Replace the rows of the keys in ``df`` in a table stored in ``buckets``
+    folders by the hash of the key, and return the table.
+
+    A count and two order-free checksums of a key's rows tell whether the key
+    changed; only buckets with a changed key are written (dynamic partition
+    overwrite), the files of the others stay.  The new buckets are first written
+    beside the table to their end; a run that fails before that has changed
+    nothing, and one that fails later is brought to its end by the next
+    (``finish_refresh``).  So no failure loses rows.
+    """
+    spark, column = df.sparkSession, f"_BUCKET_OF_{buckets}"
+    finish_refresh(spark, path)
+    view = df.withColumn(column, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+    stored = read_or_none(spark, path)
+    new = view
+    if stored is not None:
+        if column not in stored.columns:
+            raise ValueError(f"{path} is not a table refreshed in {buckets} buckets")
+
+        def prints(rows: DataFrame, name: str) -> DataFrame:
+            hashes = [F.xxhash64(*df.columns), F.xxhash64(F.lit(1), *df.columns)]
+            out = rows.groupBy(*key, column).agg(
+                F.count(F.lit(1)).alias("_n"), F.bit_xor(hashes[0]).alias("_x"), F.sum(hashes[1].cast("decimal(38,0)")).alias("_s"))
+            return out.alias(name)
+
+        a, b = prints(view, "a"), prints(stored, "b")
+        equal = same_key("a", "b", [*key, column, "_n", "_x", "_s"])
+        # At most one row per bucket comes.
+        touched = [r[0] for r in a.join(b, equal, "left_anti").select(column).distinct().collect()]
+        if not touched:
+            return stored.drop(column)
+        new, old = view.filter(F.col(column).isin(touched)), stored.filter(F.col(column).isin(touched))
+        new = new.unionByName(old.alias("s").join(new.select(*key).alias("n"), same_key("s", "n", key), "left_anti"))
+    overwrite(new.hint("rebalance", column), _pending(path), [column])
+    finish_refresh(spark, path)
+    return spark.read.parquet(path).drop(column)
+
+
+def _pending(path: str) -> str:
+    return path.rstrip("/") + "__pending"
+
+
+def finish_refresh(spark: SparkSession, path: str) -> None:
+    """Put the buckets of a finished ``__pending`` folder into the table; the same again after a failure half way."""
+    pending = _pending(path)
+    if written(spark, pending):
+        rows = spark.read.parquet(pending)
+        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w.partitionBy(next(c for c in rows.columns if c.startswith("_BUCKET_OF_"))).parquet(path)
+        remove(spark, pending)
+
+
 def row_count_meta(spark: SparkSession, path: str) -> DataFrame:
     """Row count from Parquet footers, without a data scan (Q1.2).
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
-from strongroom.operators.effectivity import detect_deletes, driving_key_effectivity, last_observed, load_effectivity
+from strongroom.operators.effectivity import detect_deletes, driving_key_effectivity, last_observed, load_effectivity, observed_effectivity
 from strongroom.operators.hub import hub_rejects
 from strongroom.operators.link import link_rejects
 from strongroom.operators.sat_store import SatStore
@@ -436,3 +436,23 @@ def q_deletes(spark, d):
 def q_last_observed(spark, d):
     e = feeds.stg_user_events(spark, d).select(hash_key("USER_ID").alias("USER_HK"), "LOAD_DTS")
     return last_observed(e, "USER_HK")
+
+
+# S9 through S6: observations of two overlapping batches as effectivity rows; a user's current row says when it was first and last seen.
+SEEN_SQL = f"SELECT {S.hk('USER_ID')} AS USER_HK, LOAD_DTS AS T FROM ({S.STG_USER_EVENTS})"
+
+
+@register(
+    "observed_effectivity",
+    f"""WITH seen AS ({SEEN_SQL}),
+    v AS (SELECT USER_HK, min(T) AS BEGIN_DTS, max(T) AS END_DTS FROM seen WHERE T < TIMESTAMP '2024-01-16' GROUP BY USER_HK
+          UNION SELECT USER_HK, min(T), max(T) FROM seen GROUP BY USER_HK HAVING max(T) >= TIMESTAMP '2024-01-12')
+    SELECT USER_HK, END_DTS AS LOAD_DTS,
+        sha256(strftime(BEGIN_DTS, '%Y-%m-%d %H:%M:%S.%f') || '|' || strftime(END_DTS, '%Y-%m-%d %H:%M:%S.%f') || '|0') AS HASH_DIFF,
+        'SYSGEN' AS REC_SRC, BEGIN_DTS, END_DTS, 0 AS IS_DELETED FROM v""",
+)
+def q_observed_effectivity(spark, d):
+    e = feeds.stg_user_events(spark, d).select(hash_key("USER_ID").alias("USER_HK"), "LOAD_DTS")
+    b1, b2 = e.filter(F.col("LOAD_DTS") < T("2024-01-16")), e.filter(F.col("LOAD_DTS") >= T("2024-01-12"))
+    eff = cut_lineage(load_effectivity(observed_effectivity(b1, "USER_HK"), None, "USER_HK"))
+    return eff.unionByName(load_effectivity(observed_effectivity(b2, "USER_HK", eff), eff, "USER_HK"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
 from strongroom.operators.hub import load_hub
-from strongroom.operators.link import coarsen, exploration_link, load_link, load_nh_link, resolve_same_as
+from strongroom.operators.link import ancestors, coarsen, exploration_link, load_link, load_nh_link, resolve_same_as, same_as_masters
 from strongroom.operators.specs import HubSpec, LinkSpec
 from strongroom.sources import feeds
 from strongroom.suite import model
@@ -208,12 +208,13 @@ def q_nhlink_event(spark, d):
 # Exploration link: which customers bought from which suppliers.
 @register(
     "elink",
-    f"""SELECT DISTINCT {S.hk('CUSTOMER_HK', 'SUPPLIER_HK')} AS CUSTOMER_SUPPLIER_HK, CUSTOMER_HK, SUPPLIER_HK FROM (
-        SELECT {S.hk('CUSTOMER_NUMBER')} AS CUSTOMER_HK, {S.hk('SUPPLIER_NUMBER')} AS SUPPLIER_HK FROM ({S.STG_ORDERS}))""",
+    f"""SELECT {S.hk('CUSTOMER_HK', 'SUPPLIER_HK')} AS CUSTOMER_SUPPLIER_HK, CUSTOMER_HK, SUPPLIER_HK, LOAD_DTS, REC_SRC FROM (
+        SELECT {S.hk('CUSTOMER_NUMBER')} AS CUSTOMER_HK, {S.hk('SUPPLIER_NUMBER')} AS SUPPLIER_HK, LOAD_DTS, REC_SRC FROM ({S.STG_ORDERS}))
+    QUALIFY row_number() OVER (PARTITION BY CUSTOMER_HK, SUPPLIER_HK ORDER BY LOAD_DTS, REC_SRC) = 1""",
 )
 def q_elink(spark, d):
     stg = feeds.stg_orders(spark, d).select(
-        hash_key("CUSTOMER_NUMBER").alias("CUSTOMER_HK"), hash_key("SUPPLIER_NUMBER").alias("SUPPLIER_HK")
+        hash_key("CUSTOMER_NUMBER").alias("CUSTOMER_HK"), hash_key("SUPPLIER_NUMBER").alias("SUPPLIER_HK"), "LOAD_DTS", "REC_SRC"
     )
     return exploration_link(stg, "CUSTOMER_SUPPLIER_HK", ["CUSTOMER_HK", "SUPPLIER_HK"])
 
@@ -297,3 +298,44 @@ def q_blink_order_nation(spark, d):
     o = feeds.stg_orders(spark, d).select("ORDER_NUMBER", "CUSTOMER_NUMBER", "LOAD_DTS", "REC_SRC")
     a = feeds.stg_customer_address(spark, d).select("CUSTOMER_NUMBER", "NATION_NAME")
     return load_link(o.join(a, "CUSTOMER_NUMBER"), None, BLNK_ORDER_NATION)
+
+
+# L4 over chains: customers merged again and again (a number into its third part, except those
+# divisible by 4), and three customers merged in a circle.
+MERGES_SQL = """SELECT c_custkey AS s, CASE WHEN c_custkey <= 3 THEN c_custkey % 3 + 1 ELSE c_custkey // 3 END AS m
+    FROM customer WHERE c_custkey <= 3 OR c_custkey % 4 <> 0"""
+
+
+@register(
+    "sal_chain",
+    f"""WITH RECURSIVE merges AS ({MERGES_SQL}),
+    walk AS (SELECT s, m AS place, 1 AS n FROM merges UNION ALL SELECT walk.s, merges.m, n + 1 FROM walk JOIN merges ON walk.place = merges.s WHERE n < 60),
+    ends AS (SELECT s, max(n) = 60 AS looped, arg_max(place, n) AS ending FROM walk GROUP BY s)
+    SELECT {S.hk('e.s')} AS SYNONYM_CUSTOMER_HK, e.looped AS CYCLE,
+           CASE WHEN e.looped THEN (SELECT min({S.hk('w.place')}) FROM walk w WHERE w.s = e.s AND w.n > 50) ELSE {S.hk('e.ending')} END AS MASTER_CUSTOMER_HK
+    FROM ends e""",
+)
+def q_sal_chain(spark, d):
+    c = F.col("c_custkey")
+    into = F.when(c <= 3, c % 3 + 1).otherwise(F.floor(c / 3))
+    feed = feeds.table(spark, d, "customer").filter((c <= 3) | (c % 4 != 0)).select(
+        c.cast("string").alias("FULL_NAME"), into.cast("long").cast("string").alias("CUSTOMER_NUMBER"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("LOAD_DTS"), F.lit("MDM").alias("REC_SRC"))
+    sal = load_link(feed, None, SAL_CUSTOMER_MASTER)
+    return same_as_masters(sal, "SYNONYM_CUSTOMER_HK", "MASTER_CUSTOMER_HK")
+
+
+# L2 closure: parts as a tree of four children each (five to seven levels), all pairs of a part and one above it.
+@register(
+    "hlink_ancestors",
+    f"""WITH RECURSIVE up AS (
+        SELECT p_partkey AS c, (p_partkey - 2) // 4 + 1 AS a, 1::BIGINT AS n FROM part WHERE p_partkey > 1
+        UNION ALL SELECT c, (a - 2) // 4 + 1, n + 1 FROM up WHERE a > 1)
+    SELECT {S.hk('c')} AS CHILD_PRODUCT_HK, {S.hk('a')} AS PARENT_PRODUCT_HK, n AS DEPTH FROM up""",
+)
+def q_hlink_ancestors(spark, d):
+    p = F.col("p_partkey")
+    feed = feeds.table(spark, d, "part").filter(p > 1).select(
+        p.cast("string").alias("PRODUCT_CODE"), (F.floor((p - 2) / 4) + 1).cast("string").alias("PARENT_PRODUCT_CODE"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("LOAD_DTS"), F.lit("PIM").alias("REC_SRC"))
+    return ancestors(load_link(feed, None, HLNK_PRODUCT_BUNDLE), "CHILD_PRODUCT_HK", "PARENT_PRODUCT_HK")
