@@ -17,6 +17,7 @@ from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid,
 from strongroom.operators.common import HOT_KEY_BUCKET, last_per_key, next_value, previous_value
 from strongroom.operators.satellite import _load_timeline
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC, SatSpec
+from strongroom.sources.io import cut_lineage
 
 # Fixed value: timestamp text used inside effectivity hash diffs.
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -54,7 +55,8 @@ def driving_key_effectivity(
     earlier one opened, and any split into batches in time order gives the
     one-shot rows.  Rows with a NULL or blank key part are left out
     (``driving_key_rejects``).  Relations at one time follow each other in the
-    order of their key text, then of their source.
+    order of their key text, then of their source.  Batches must come in time
+    order; where late relations may come, use ``driving_key_changes``.
     """
     driving, other = list(driving), list(other)
     base = df.filter(key_is_valid(*driving, *other) & F.col(ts).isNotNull())
@@ -164,3 +166,79 @@ def observed_effectivity(history: DataFrame, hk: str, eff: DataFrame | None = No
         hk, F.col("_b").alias(LOAD_DTS), F.col("_a").alias("BEGIN_DTS"), F.col("_b").alias("END_DTS"),
         F.lit(0).alias("IS_DELETED"), F.lit(rec_src).alias(REC_SRC),
     )
+
+
+def _runs(base: DataFrame, driving: Sequence[str], bucket: str | None) -> DataFrame:
+    """Runs of rows with driving columns, ``_t``, ``_o`` and ``_src``: the first row of each, with the next run's begin ``_next``."""
+    base = previous_value(base, driving, "_t", "_o", "_prev_o", bucket, tie=["_o", "_src"])
+    starts = base.filter(F.col("_prev_o").isNull() | (F.col("_prev_o") != F.col("_o"))).drop("_prev_o")
+    return next_value(starts, driving, "_t", "_t", "_next", bucket, tie=["_o", "_src"])
+
+
+def driving_key_changes(
+    df: DataFrame,
+    link_hk: str,
+    driving: Sequence[str],
+    other: Sequence[str],
+    load_dts: str,
+    history: DataFrame | None = None,
+    stored: DataFrame | None = None,
+    ts: str = LOAD_DTS,
+    rec_src: str = REC_SRC,
+    hot_key_bucket: str | None = HOT_KEY_BUCKET,
+) -> DataFrame:
+    """Driving-key effectivity on two time axes (S7, S12): the rows to append
+    for a batch loaded at ``load_dts``, whatever the times of its relations.
+
+    A run (link key, BEGIN_DTS, END_DTS) is stored with the load time at which
+    it became known.  A late relation that splits, shortens or joins stored runs
+    supersedes them: a run with another end is stored again, and a run that
+    no longer begins there gets IS_DELETED = 1, both at this load time.  So the
+    state as known at any load time (``runs_as_known``) is what one batch of all
+    rows received by then would give.
+
+    ``history`` holds the relation rows of earlier batches (a run does not say
+    when it was observed again), ``stored`` the rows made of them.  Of a touched
+    driving key only the rows since the run before the batch's first row
+    are read and compared.  Rows with a NULL or blank key part are left out.
+    """
+    driving, other = list(driving), list(other)
+    if (history is None) != (stored is None):
+        raise ValueError("history and stored belong together")
+
+    def rows(source: DataFrame) -> DataFrame:
+        source = source.filter(key_is_valid(*driving, *other) & F.col(ts).isNotNull())
+        source = source.select(*driving, *other, F.col(ts).alias("_t"), F.col(rec_src).alias("_src"))
+        return source.withColumn("_o", _join([normalise_key(c) for c in other]))
+
+    place = F.struct("_t", "_o")
+    base, state = rows(df), None
+    if stored is not None:
+        known = runs_as_known(stored, link_hk).withColumn("_o", _join([normalise_key(c) for c in other]))
+        first = base.groupBy(*driving).agg(F.min(place).alias("_first"))
+        known = known.select(link_hk, *driving, *other, F.col("BEGIN_DTS").alias("_t"), "_o", F.col("END_DTS").alias("_end"), F.col(REC_SRC).alias("_src"))
+        near = known.join(first, driving).filter(place <= F.col("_first")).groupBy(*driving).agg(F.max(place).alias("_from"))
+        bound = cut_lineage(first.join(near, driving, "left").select(*driving, "_from"))
+        since = F.col("_from").isNull() | (place >= F.col("_from"))
+        base = base.unionByName(rows(history).join(bound, driving).filter(since).drop("_from"))
+        state = known.join(bound, driving).filter(since).drop("_from")
+    runs = _runs(base, driving, hot_key_bucket).withColumn(link_hk, hash_key(*driving, *other))
+    runs = runs.select(link_hk, *driving, *other, "_t", F.col("_next").alias("_end"), "_src", F.lit(0).alias("IS_DELETED"))
+    if state is not None:
+        old = state.select(F.col(link_hk).alias("_hk"), F.col("_t").alias("_ot"), F.col("_end").alias("_oe"))
+        both = runs.join(old, (F.col(link_hk) == F.col("_hk")) & (F.col("_t") == F.col("_ot")), "left")
+        changed = both.filter(F.col("_hk").isNull() | ~F.col("_end").eqNullSafe(F.col("_oe"))).drop("_hk", "_ot", "_oe")
+        kept = runs.select(F.col(link_hk).alias("_hk"), F.col("_t").alias("_ot"))
+        gone = state.join(kept, (F.col(link_hk) == F.col("_hk")) & (F.col("_t") == F.col("_ot")), "left_anti")
+        runs = changed.unionByName(gone.drop("_o").withColumn("IS_DELETED", F.lit(1)))
+    return runs.select(
+        link_hk, hash_key(*driving).alias("DRIVING_HK"), *driving, *other, F.lit(load_dts).cast("timestamp_ntz").alias(LOAD_DTS),
+        F.col("_t").alias("BEGIN_DTS"), F.col("_end").alias("END_DTS"), "IS_DELETED", F.col("_src").alias(REC_SRC),
+    )
+
+
+def runs_as_known(stored: DataFrame, link_hk: str, load_ts: str | None = None) -> DataFrame:
+    """The runs of ``driving_key_changes`` as known at a load time (now, if none is given)."""
+    if load_ts is not None:
+        stored = stored.filter(F.col(LOAD_DTS) <= F.lit(load_ts).cast("timestamp_ntz"))
+    return last_per_key(stored, [link_hk, "BEGIN_DTS"], [LOAD_DTS]).filter(F.col("IS_DELETED") == 0)

@@ -218,6 +218,52 @@ def extend_pit(
     return _pit_rows(seeds.unionByName(carried), key, new, spine, start)
 
 
+def build_bitemporal_pit(
+    hub: DataFrame, key: str, sat: DataFrame, known: Spine, applied: Spine, applied_col: str = "APPLIED_DTS"
+) -> DataFrame:
+    """PIT on two time axes (S12, P2): one row per key, load snapshot and
+    applied snapshot with the version in force, as ``as_of_bitemporal`` gives it:
+    of the versions loaded by the one and applied by the other the latest
+    applied, then the latest loaded; NULL when there is none.
+
+    A dominance sweep instead of a lookup per cell of the grid.  The versions
+    are reduced to one per key and cell; along the load axis a version is
+    stretched only until one that beats it in its applied column; then a
+    running maximum along the applied axis carries the best one on.  So no
+    step makes more rows than the result has, and all windows share one
+    shuffle by key, whose rows are bounded by the grid, whatever the history.
+    """
+    none = F.lit(None).cast("timestamp_ntz")
+    best = F.struct(F.col(applied_col).alias("a"), F.col(LOAD_DTS).alias("l"))
+    v = sat.filter((F.col(LOAD_DTS) <= known.end) & (F.col(applied_col) <= applied.end))
+    cells = v.select(key, known.index(F.col(LOAD_DTS)).alias("_i"), applied.index(F.col(applied_col)).alias("_j"), best.alias("_v"))
+    # A cell without a version where every key's rows start.
+    nothing = F.struct(none.alias("a"), none.alias("l"))
+    zero = F.lit(0).cast("long")
+    seeds = hub.select(key, zero.alias("_i"), zero.alias("_j"), nothing.alias("_v"), F.lit(True).alias("_seed"))
+    cells = cells.withColumn("_seed", F.lit(False)).unionByName(seeds).repartition(key)
+    cells = cells.groupBy(key, "_i", "_j").agg(F.max("_v").alias("_v"), F.max("_seed").alias("_seed"))
+    # Along the load axis: keep what beats everything loaded before in its column.
+    up = Window.partitionBy(key, "_j").orderBy("_i")
+    earlier = up.rowsBetween(Window.unboundedPreceding, -1)
+    seeded = F.col("_seed") | F.coalesce(F.max("_seed").over(earlier), F.lit(False))
+    cells = cells.withColumns({"_before": F.max("_v").over(earlier), "_seed": seeded})
+    cells = cells.filter(F.col("_before").isNull() | (F.col("_v") > F.col("_before"))).drop("_before")
+    cells = cells.withColumn("_until", F.coalesce(F.lead("_i").over(up) - 1, known.last())).withColumn("_until", F.least("_until", known.last()))
+    lines = cells.filter("_i <= _until").withColumn("_i", F.explode(F.sequence("_i", "_until"))).drop("_until")
+    # Along the applied axis: the best so far, and until where nothing else comes.
+    on = Window.partitionBy(key, "_i").orderBy("_j")
+    so_far = on.rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.select(
+        key, "_i", "_j", F.max("_v").over(so_far).alias("_v"), F.max("_seed").over(so_far).alias("_on"),
+        F.least(F.coalesce(F.lead("_j").over(on) - 1, applied.last()), applied.last()).alias("_to"),
+    )
+    out = applied.stretch(lines.filter("_on"), F.col("_j"), F.col("_to"))
+    return out.select(
+        known.at(F.col("_i")).alias("KNOWN_DTS"), SNAPSHOT_DTS, key, F.col("_v.a").alias(applied_col), F.col("_v.l").alias(LOAD_DTS), F.lit(SYSGEN).alias(REC_SRC)
+    )
+
+
 def pit_read(
     pit: DataFrame,
     key: str,

@@ -33,7 +33,8 @@ def stored_table(load: Callable[[SparkSession, str], DataFrame], partition_by: l
         key = (spark.sparkContext.applicationId, d, load.__name__)
         if key not in _TABLES or read_or_none(spark, _TABLES[key][0]) is None:
             path, rows = scratch_path(spark, load.__name__), load(spark, d)
-            append(rows, path, partition_by)
+            # Few files per folder, and a big folder in several.
+            append(rows.hint("rebalance", *partition_by) if partition_by else rows, path, partition_by)
             _TABLES[key] = path, rows.schema
         path, schema = _TABLES[key]
         return spark.read.schema(schema).parquet(path)

@@ -7,7 +7,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
-from strongroom.operators.effectivity import detect_deletes, driving_key_effectivity, last_observed, load_effectivity, observed_effectivity
+from strongroom.operators.effectivity import (
+    detect_deletes,
+    driving_key_changes,
+    driving_key_effectivity,
+    last_observed,
+    load_effectivity,
+    observed_effectivity,
+    runs_as_known,
+)
 from strongroom.operators.hub import hub_rejects
 from strongroom.operators.link import link_rejects
 from strongroom.operators.sat_store import SatStore
@@ -354,6 +362,40 @@ def q_driving_key_batches(spark, d):
     return stored
 
 
+# S7 with late relations, on two time axes: the third batch brings days that lie before the
+# second's.  The runs as known at each load time equal those of all rows received by then at once.
+ARRIVALS = (
+    ("2024-02-01 00:00:00", f"LOAD_DTS < TIMESTAMP '2024-01-15' AND NOT ({LATE})"),
+    ("2024-02-02 00:00:00", "LOAD_DTS >= TIMESTAMP '2024-01-13'"),
+    ("2024-02-03 00:00:00", LATE),
+)
+
+
+def _known_runs_sql(k: int) -> str:
+    received = " OR ".join(f"({cond})" for _, cond in ARRIVALS[: k + 1])
+    return f"""SELECT TIMESTAMP '{ARRIVALS[k][0]}' AS KNOWN_DTS, {S.hk('USER_ID', 'EVENT_TYPE')} AS USER_STATE_HK, _t AS BEGIN_DTS,
+            lead(_t) OVER (PARTITION BY USER_ID ORDER BY _t) AS END_DTS, USER_ID, EVENT_TYPE, REC_SRC
+        FROM (SELECT USER_ID, EVENT_TYPE, LOAD_DTS AS _t, REC_SRC, lag(EVENT_TYPE) OVER (PARTITION BY USER_ID ORDER BY LOAD_DTS) AS _p
+              FROM ({S.STG_USER_EVENTS}) WHERE {received}) WHERE _p IS NULL OR _p <> EVENT_TYPE"""
+
+
+@register("driving_key_late", " UNION ALL ".join(f"SELECT * FROM ({_known_runs_sql(k)})" for k in range(len(ARRIVALS))))
+def q_driving_key_late(spark, d):
+    stg = feeds.stg_user_events(spark, d)
+    history = stored = None
+    for load_dts, cond in ARRIVALS:
+        batch = stg.filter(F.expr(cond.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")))
+        new = driving_key_changes(batch, "USER_STATE_HK", ["USER_ID"], ["EVENT_TYPE"], load_dts, history, stored)
+        stored = cut_lineage(new if stored is None else stored.unionByName(new))
+        history = batch if history is None else history.unionByName(batch)
+    out = None
+    for load_dts, _ in ARRIVALS:
+        runs = runs_as_known(stored, "USER_STATE_HK", load_dts).select(
+            T(load_dts).alias("KNOWN_DTS"), "USER_STATE_HK", "BEGIN_DTS", "END_DTS", "USER_ID", "EVENT_TYPE", "REC_SRC")
+        out = runs if out is None else out.unionByName(runs)
+    return out
+
+
 # Rows that loads refuse.  The feed is broken on purpose: errors
 # have a blank user, large values none, and times are cut to the hour, so that
 # events of a user tie.

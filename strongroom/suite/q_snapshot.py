@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strongroom.functions.hashing import hash_key
 from strongroom.operators.sat_store import SatStore
 from strongroom.operators.specs import SNAPSHOT_DTS
-from strongroom.plans.snapshot import Spine, build_bridge, build_pit, day_after, extend_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
+from strongroom.plans.snapshot import Spine, build_bitemporal_pit, build_bridge, build_pit, day_after, extend_pit, fixed_spine, pit_read, spine_frame, spine_from_hub
 from strongroom.sources import feeds
 from strongroom.sources.io import append, scratch_path
 from strongroom.suite import model
@@ -211,3 +211,32 @@ def q_bridge_two_effectivities(spark, d):
     parts = parts.select(hash_key("l_partkey").alias("PRODUCT_HK"), "LOAD_DTS")
     gone = [(order_effectivity(spark, d), "ORDER_HK"), (parts, "PRODUCT_HK")]
     return build_bridge(model.lnk_order_item(spark, d), ["ORDER_ITEM_HK", "ORDER_HK", "PRODUCT_HK"], [], fixed_spine(*LINK_SPINE), deleted=gone)
+
+
+# PIT on two time axes.  Events are loaded at the midnight after them, every
+# seventh a week late; ten load snapshots of three days by the daily applied ones.
+LATE_EVENTS_SQL = f"""SELECT {S.hk('USER_ID')} AS USER_HK, LOAD_DTS AS APPLIED_DTS, date_trunc('day', LOAD_DTS)
+    + CASE WHEN CAST(EVENT_ID AS BIGINT) % 7 = 0 THEN INTERVAL 8 DAY ELSE INTERVAL 1 DAY END AS LOAD_DTS FROM ({S.STG_USER_EVENTS})"""
+KNOWN = ("2024-01-04 00:00:00", "2024-01-31 00:00:00", "3 days")
+APPLIED = ("2024-01-02 12:00:00", "2024-01-30 12:00:00", "2 days")
+
+
+def _axis_sql(spine: tuple[str, str, str]) -> str:
+    return f"unnest(generate_series(TIMESTAMP '{spine[0]}', TIMESTAMP '{spine[1]}', INTERVAL {spine[2].upper()}))"
+
+
+@register(
+    "pit_bitemporal",
+    f"""WITH h AS ({HUB_USER_SQL}), s AS ({LATE_EVENTS_SQL}), l AS (SELECT {_axis_sql(KNOWN)} AS KNOWN_DTS), a AS (SELECT {_axis_sql(APPLIED)} AS SNAPSHOT_DTS),
+    best AS (SELECT s.USER_HK, l.KNOWN_DTS, a.SNAPSHOT_DTS, max(struct_pack(a := s.APPLIED_DTS, l := s.LOAD_DTS)) AS v
+             FROM s JOIN l ON s.LOAD_DTS <= l.KNOWN_DTS JOIN a ON s.APPLIED_DTS <= a.SNAPSHOT_DTS GROUP BY ALL)
+    SELECT l.KNOWN_DTS, a.SNAPSHOT_DTS, h.USER_HK, best.v.a AS APPLIED_DTS, best.v.l AS LOAD_DTS, 'SYSGEN' AS REC_SRC
+    FROM h CROSS JOIN l CROSS JOIN a LEFT JOIN best USING (USER_HK, KNOWN_DTS, SNAPSHOT_DTS)""",
+)
+def q_pit_bitemporal(spark, d):
+    e = feeds.stg_user_events(spark, d)
+    days = F.when(F.col("EVENT_ID").cast("bigint") % 7 == 0, 8).otherwise(1)
+    sat = e.select(
+        hash_key("USER_ID").alias("USER_HK"), F.col("LOAD_DTS").alias("APPLIED_DTS"),
+        F.date_add(F.to_date("LOAD_DTS"), days).cast("timestamp_ntz").alias("LOAD_DTS"))
+    return build_bitemporal_pit(model.hub_user(spark, d), "USER_HK", sat, fixed_spine(*KNOWN), fixed_spine(*APPLIED))
