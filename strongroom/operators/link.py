@@ -44,8 +44,20 @@ def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec
     is one row per link key even where a part holds the delimiter, and the
     shuffle carries short keys instead of one 64-character hash per hub;
     the link key and the hub keys are hashed once per surviving row.
+
+    Feeds that all hold the link key and the hub keys already (stage L2,
+    ``stage_hashed``) are grouped on the link key and nothing is hashed.
     """
     parts = spec.key_parts()
+    hashes = [spec.hk, *[hk for hk, _ in spec.refs]]
+    staged = [stg] if isinstance(stg, DataFrame) else list(stg)
+    if all(c in f.columns for f in staged for c in hashes):
+        cand = None
+        for f in staged:
+            c = f.filter(key_is_valid(*parts)).select(*hashes, LOAD_DTS, REC_SRC, *spec.payload)
+            cand = c if cand is None else cand.unionByName(c)
+        new = first_per_key(cand, [spec.hk], [LOAD_DTS, REC_SRC, *hashes[1:]])
+        return new if link is None else new.join(link.select(spec.hk), spec.hk, "left_anti")
     norm = [f"_n{i}" for i in range(len(parts))]
     feeds = [stg] if isinstance(stg, DataFrame) else list(stg)
     cand = None

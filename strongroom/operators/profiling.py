@@ -208,12 +208,12 @@ def reconcile_counts(a: DataFrame, b: DataFrame, a_name: str = "system_a", b_nam
 
 
 def reconcile_keys(a: DataFrame, b: DataFrame, k: str, b_k: str | None = None) -> DataFrame:  # Q11.2
-    """Keys of A missing in B and the reverse (EXCEPT DISTINCT both ways)."""
-    ka = a.select(F.col(k).alias("key"))
-    kb = b.select(F.col(b_k or k).alias("key"))
-    ab = ka.subtract(kb).withColumn("side", F.lit("A_NOT_B"))
-    ba = kb.subtract(ka).withColumn("side", F.lit("B_NOT_A"))
-    return ab.unionByName(ba)
+    """Keys of A missing in B and the reverse (EXCEPT DISTINCT both ways): one
+    partially aggregated group-by over the keys of both sides.  Two tables that
+    should be equal are compared by ``checksums.reconcile_rows``."""
+    side = lambda df, c, in_a: df.select(F.col(c).alias("key"), F.lit(in_a).alias("_a"), F.lit(not in_a).alias("_b"))
+    both = side(a, k, True).unionByName(side(b, b_k or k, False)).groupBy("key").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    return both.filter(F.col("_a") != F.col("_b")).select("key", F.when(F.col("_a"), "A_NOT_B").otherwise("B_NOT_A").alias("side"))
 
 
 def dictionary(df: DataFrame, c: str) -> DataFrame:  # Q12.1

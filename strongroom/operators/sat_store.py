@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from strongroom.operators.common import last_per_key
 from strongroom.operators.satellite import load_sat, parent_is_valid
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, SatSpec
-from strongroom.sources.io import append, overwrite, read_or_none, remove, subfolders, written
+from strongroom.sources.io import append, counted, overwrite, read_or_none, remove, subfolders, written
 
 LOAD_DATE, AS_OF = "LOAD_DATE", "AS_OF"
 
@@ -98,15 +98,15 @@ class SatStore:
         """Rows that a load of ``stg``, whose first valid row is of day ``first``, would append."""
         return load_sat(stg, self.boundary(first), self.spec)
 
-    def load(self, stg: DataFrame) -> None:
-        """Timeline load of a batch, appended by load date.  The batch may
-        overlap earlier ones, be one of them again, or bring late rows; a load
-        that is tried again adds only what is missing."""
+    def load(self, stg: DataFrame) -> int:
+        """Timeline load of a batch, appended by load date; the number of rows
+        appended.  The batch may overlap earlier ones, be one of them again, or
+        bring late rows; a load that is tried again adds only what is missing."""
         first = stg.filter(parent_is_valid(self.spec)).agg(F.min(LOAD_DTS).cast("date")).first()[0]
         if first is None:
-            return
+            return 0
         self.forget(first)
         self.roll(first)
         rows = self.new_rows(stg, first).withColumn(LOAD_DATE, F.col(LOAD_DTS).cast("date"))
         # Rebalanced by date: few files per date, and a date with most rows is split.
-        append(rows.hint("rebalance", LOAD_DATE), f"{self.path}/history", [LOAD_DATE])
+        return counted(rows.hint("rebalance", LOAD_DATE), lambda df: append(df, f"{self.path}/history", [LOAD_DATE]))

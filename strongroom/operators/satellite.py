@@ -31,19 +31,19 @@ def stage_sat(stg: DataFrame, spec: SatSpec) -> DataFrame:
     """Staged satellite rows: parent key, [SSQN], LOAD_DTS, HASH_DIFF, REC_SRC, payload.
 
     Rows whose parent key is NULL or blank are left out, as in the hub load;
-    ``sat_rejects`` returns them."""
-    if spec.parent_bk:
+    ``sat_rejects`` returns them.  A parent key or hash diff (``<name>_HD``)
+    that the feed holds already (stage L2, ``stage_hashed``) is taken as it is."""
+    if spec.parent_bk and spec.parent_hk not in stg.columns:
         hk = hash_key(*spec.parent_bk, algo=spec.algo).alias(spec.parent_hk)
     else:
         hk = F.col(spec.parent_hk)
     cols: list[Column] = [hk]
     if spec.ssqn:
         cols.append(F.col(spec.ssqn))
-    cols += [
-        F.col(LOAD_DTS),
-        hash_diff(*spec.diff_cols(), algo=spec.algo, strict=spec.strict_hashdiff).alias(HASH_DIFF),
-        F.col(REC_SRC),
-    ]
+    diff = hash_diff(*spec.diff_cols(), algo=spec.algo, strict=spec.strict_hashdiff)
+    if f"{spec.name}_HD" in stg.columns:
+        diff = F.col(f"{spec.name}_HD")
+    cols += [F.col(LOAD_DTS), diff.alias(HASH_DIFF), F.col(REC_SRC)]
     cols += [F.col(p) for p in spec.payload]
     cols += [F.col(p) for p in spec.extra]
     return stg.filter(parent_is_valid(spec)).select(*cols)

@@ -25,7 +25,7 @@ from strongroom.operators.link import link_rejects, load_link
 from strongroom.operators.sat_store import SatStore
 from strongroom.operators.satellite import load_sat, sat_rejects
 from strongroom.operators.specs import HubSpec, LinkSpec, SatSpec
-from strongroom.sources.io import append, overwrite, read_or_none
+from strongroom.sources.io import append, counted, overwrite, read_or_none
 
 
 @dataclass
@@ -47,31 +47,43 @@ class VaultTarget:
         return read_or_none(spark, self.path)
 
 
-def vault_batch_loader(targets: Sequence[VaultTarget]) -> Callable[[DataFrame, int], None]:
+#: One row of the accounts: every delivered row is refused, loaded, or absorbed
+#: as a repetition (an equal key, or a version equal to the one before).
+ACCOUNT = "TARGET string, DELIVERED long, REFUSED long, LOADED long, ABSORBED long"
+
+
+def vault_batch_loader(targets: Sequence[VaultTarget], accounts: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function loading hubs, then links, then satellites.
 
     The refused rows of a batch and target are written to a folder of their
-    own, ``<rejects>/BATCH_ID=<n>``, which a retry overwrites."""
+    own, ``<rejects>/BATCH_ID=<n>``, which a retry overwrites.  With
+    ``accounts`` a batch's row counts per target go to ``<accounts>/BATCH_ID=<n>``;
+    the writing jobs count them, so they cost no further pass.  (A
+    micro-batch tried again loads only what is missing, and accounts the rest as absorbed.)
+    """
     order = {HubSpec: 0, LinkSpec: 1, SatSpec: 2}
     ordered = sorted(targets, key=lambda t: order[type(t.spec)])
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def load(batch: DataFrame, t: VaultTarget) -> int:
         spark = batch.sparkSession
+        if isinstance(t.spec, SatSpec) and t.mode == "timeline":
+            return SatStore(spark, t.path, t.spec).load(batch)
+        if isinstance(t.spec, SatSpec):
+            new = load_sat(batch, t.read(spark), t.spec, mode=t.mode)
+        else:
+            new = (load_hub if isinstance(t.spec, HubSpec) else load_link)(batch, t.read(spark), t.spec)
+        return counted(new, lambda df: append(df, t.path))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        refuse = {HubSpec: hub_rejects, LinkSpec: link_rejects, SatSpec: sat_rejects}
         batch = batch.persist()  # read once, for all targets
+        delivered, rows = batch.count(), []  # fills the cache
         for t in ordered:
-            if isinstance(t.spec, HubSpec):
-                append(load_hub(batch, t.read(spark), t.spec), t.path)
-                refused = hub_rejects
-            elif isinstance(t.spec, LinkSpec):
-                append(load_link(batch, t.read(spark), t.spec), t.path)
-                refused = link_rejects
-            else:
-                if t.mode == "timeline":
-                    SatStore(spark, t.path, t.spec).load(batch)
-                else:
-                    append(load_sat(batch, t.read(spark), t.spec, mode=t.mode), t.path)
-                refused = sat_rejects
-            overwrite(refused(batch, t.spec), f"{t.rejects}/BATCH_ID={batch_id}")
+            loaded = load(batch, t)
+            refused = counted(refuse[type(t.spec)](batch, t.spec), lambda df: overwrite(df, f"{t.rejects}/BATCH_ID={batch_id}"))
+            rows.append((t.spec.name, delivered, refused, loaded, delivered - refused - loaded))
+        if accounts:
+            overwrite(batch.sparkSession.createDataFrame(rows, ACCOUNT), f"{accounts}/BATCH_ID={batch_id}")
         batch.unpersist()
 
     return run
@@ -82,9 +94,10 @@ def stream_load(
     targets: Sequence[VaultTarget],
     checkpoint: str,
     available_now: bool = True,
+    accounts: str | None = None,
 ) -> StreamingQuery:
     """Start a micro-batch vault load of ``stream`` into ``targets``."""
-    w = stream.writeStream.foreachBatch(vault_batch_loader(targets)).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(vault_batch_loader(targets, accounts)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 

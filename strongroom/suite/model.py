@@ -19,6 +19,7 @@ from strongroom.operators.hub import load_hub
 from strongroom.operators.link import load_link
 from strongroom.operators.satellite import load_sat
 from strongroom.operators.specs import HubSpec, LinkSpec, SatSpec
+from strongroom.operators.staging import stage_hashed
 from strongroom.sources import feeds
 from strongroom.sources.io import append, read_or_none, scratch_path
 
@@ -121,6 +122,14 @@ def stage_orders(spark: SparkSession, d: str) -> DataFrame:
     return feeds.stg_orders(spark, d)
 
 
+# Stage L2: the order feed with its hash keys and hash diffs.
+@stored_table
+def stage_orders_hashed(spark: SparkSession, d: str) -> DataFrame:
+    return stage_hashed(
+        with_line_total(stage_orders(spark, d)), hubs=[HUB_CUSTOMER, HUB_ORDER, HUB_PRODUCT], links=[LNK_ORDER_ITEM], sats=[SAT_ORDER_ITEM_DETAILS]
+    )
+
+
 # Vault tables, first load into an empty vault.
 @stored_table
 def hub_customer(spark: SparkSession, d: str) -> DataFrame:

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strongroom.operators import profiling as P
+from strongroom.operators.checksums import reconcile_rows
+from strongroom.operators.sketches import block_estimates, block_sample, profile_sketches, sketch_columns
 from strongroom.sources import feeds
-from strongroom.sources.io import row_count_meta
+from strongroom.sources.io import append, row_count_meta, scratch_path
 from strongroom.suite.registry import register
 
 AS_OF_FRESH = "2002-01-01"
@@ -314,3 +316,52 @@ def q_verdicts(spark, d):
     f = f.unionByName(finding("documents->labels", "orphan_rows", P.orphans(docs, labels, "doc_id"), "orphan_rows"))
     exp = spark.createDataFrame(EXPECTATIONS, "check string, metric string, op string, expected bigint")
     return P.verdicts(f, exp)
+
+
+# Q11.2 row by row: orders against a copy with some missing, some added and some changed.
+@register(
+    "profile_reconcile_rows",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'A_NOT_B' WHEN o_orderkey % 97 = 0 THEN 'B_NOT_A' ELSE 'DIFFERENT' END AS side
+    FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 97 = 0 OR o_orderkey % 89 = 0""",
+)
+def q_reconcile_rows(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    k = F.col("o_orderkey")
+    a = o.filter((k % 97 != 0) | (k % 101 == 0))
+    price = F.when((k % 89 == 0) & (k % 97 != 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return reconcile_rows(a, o.filter(k % 101 != 0).withColumn("o_totalprice", price), ["o_orderkey"])
+
+
+# Q3.2 from sketches: made per day as the events come, stored by day; the profile of a range of
+# days reads the sketches only.  Exact counts, estimates within six relative deviations.
+@register(
+    "profile_sketched",
+    """SELECT column_name, total_rows, populated, nulls, true AS within_bounds FROM (
+        SELECT unnest(['event_id', 'user_id', 'event_type', 'value']) AS column_name, count(*) AS total_rows,
+               unnest([count(event_id), count(user_id), count(event_type), count(value)]) AS populated,
+               unnest([count(*) - count(event_id), count(*) - count(user_id), count(*) - count(event_type), count(*) - count(value)]) AS nulls
+        FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21')""",
+)
+def q_profile_sketched(spark, d):
+    cols = ["event_id", "user_id", "event_type", "value"]
+    events = t(spark, d, "events").select(F.col("ts").cast("date").alias("DAY"), *cols)
+    path = scratch_path(spark, "event_sketches")
+    append(sketch_columns(events, "DAY", cols), path, ["DAY"])
+    days = F.col("DAY").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date"))
+    found = profile_sketches(spark.read.parquet(path).filter(days))
+    exact = P.profile_columns(events.filter(days).select(*cols)).select("column_name", F.col("distinct_vals").alias("_exact"))
+    near = F.abs(F.col("distinct_vals") - F.col("_exact")) <= 6 * 1.04 / 64 * F.col("_exact") + 1
+    return found.join(exact, "column_name").select("column_name", "total_rows", "populated", "nulls", near.alias("within_bounds"))
+
+
+# G10 by blocks: a quarter of the files of a table, totals with their error; the true totals lie within five of it.
+@register("sample_blocks", "SELECT unnest(['ROWS', 'QUANTITY']) AS MEASURE, true AS WITHIN_BOUNDS, true AS FEWER_FILES")
+def q_sample_blocks(spark, d):
+    path = scratch_path(spark, "lineitem_blocks")
+    append(t(spark, d, "lineitem").select("l_orderkey", "l_quantity").repartition(40, "l_orderkey"), path)
+    drawn, chosen, blocks = block_sample(spark, path, 25.0, seed=7)
+    found = block_estimates(drawn, chosen, blocks, {"ROWS": F.lit(1), "QUANTITY": F.col("l_quantity")})
+    true = t(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("ROWS"), F.sum("l_quantity").alias("QUANTITY"))
+    true = true.select(F.inline(F.array(*[F.struct(F.lit(n).alias("MEASURE"), F.col(n).cast("double").alias("_true")) for n in ("ROWS", "QUANTITY")])))
+    near = F.abs(F.col("ESTIMATE") - F.col("_true")) <= 5 * F.col("STD_ERROR")
+    return found.join(true, "MEASURE").select("MEASURE", near.alias("WITHIN_BOUNDS"), F.lit(chosen < blocks).alias("FEWER_FILES"))

@@ -396,6 +396,12 @@ def q_driving_key_late(spark, d):
     return out
 
 
+# The link satellite from the stored stage L2, which holds its parent key and hash diff.
+@register("sat_prehashed", S.timeline_sql(ST_DETAILS, "ORDER_ITEM_HK, LINE_SSQN"))
+def q_sat_prehashed(spark, d):
+    return load_sat(model.stage_orders_hashed(spark, d), None, model.SAT_ORDER_ITEM_DETAILS)
+
+
 # Rows that loads refuse.  The feed is broken on purpose: errors
 # have a blank user, large values none, and times are cut to the hour, so that
 # events of a user tie.

@@ -339,3 +339,14 @@ def q_hlink_ancestors(spark, d):
         p.cast("string").alias("PRODUCT_CODE"), (F.floor((p - 2) / 4) + 1).cast("string").alias("PARENT_PRODUCT_CODE"),
         F.lit("2024-01-01").cast("timestamp_ntz").alias("LOAD_DTS"), F.lit("PIM").alias("REC_SRC"))
     return ancestors(load_link(feed, None, HLNK_PRODUCT_BUNDLE), "CHILD_PRODUCT_HK", "PARENT_PRODUCT_HK")
+
+
+# Loads from the stored stage L2 take its hashes.
+@register("hub_prehashed", S.hub_sql(S.STG_ORDERS, "CUSTOMER_HK", "CUSTOMER_NUMBER"))
+def q_hub_prehashed(spark, d):
+    return load_hub(model.stage_orders_hashed(spark, d), None, model.HUB_CUSTOMER)
+
+
+@register("link_prehashed", LNK_ORDER_ITEM_SQL)
+def q_link_prehashed(spark, d):
+    return load_link(model.stage_orders_hashed(spark, d), None, model.LNK_ORDER_ITEM)

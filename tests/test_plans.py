@@ -44,3 +44,10 @@ def test_histories_are_read_once(spark, name, scans, exchanges):
     plan = E.queries()[name](own, SF)._jdf.queryExecution().executedPlan().toString()
     made = len(re.findall(r"- Exchange hash", plan))
     assert (len(re.findall("FileScan", plan)), made) == (scans, exchanges), plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+@pytest.mark.parametrize("name", ["hub_prehashed", "link_prehashed", "sat_prehashed"])
+def test_loads_take_the_staged_hashes(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().toString()
+    assert "sha2" not in plan and "parquet" in plan and "lineitem.parquet" not in plan
