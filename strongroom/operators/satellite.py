@@ -182,11 +182,11 @@ def load_multi_active_sets(stg: DataFrame, sat: DataFrame | None, spec: SatSpec)
 
     new_sets = fingerprint(staged).withColumn("_new", F.lit(True))
     if sat is not None:
-        stored_sets = fingerprint(sat.select(hk, spec.ssqn, LOAD_DTS, HASH_DIFF))
+        # Only the touched keys' stored rows are fingerprinted.
+        touched = staged.select(hk).distinct()
+        stored_sets = fingerprint(sat.select(hk, spec.ssqn, LOAD_DTS, HASH_DIFF).join(touched, [hk], "left_semi"))
         new_sets = new_sets.join(stored_sets.select(hk, LOAD_DTS), [hk, LOAD_DTS], "left_anti")
-        touched = new_sets.select(hk).distinct()
-        hist = stored_sets.join(touched, [hk], "left_semi").withColumn("_new", F.lit(False))
-        new_sets = new_sets.unionByName(hist)
+        new_sets = new_sets.unionByName(stored_sets.withColumn("_new", F.lit(False)))
     changed = (
         previous_value(new_sets, [hk], LOAD_DTS, "_set_hd", "_prev")
         .filter(F.col("_new") & (F.col("_prev").isNull() | (F.col("_prev") != F.col("_set_hd"))))
