@@ -89,3 +89,25 @@ def test_empty_loads(spark):
     store.load(feed(spark, []))
     store.load(feed(spark, [(None, 0, "a", dt.datetime(2024, 1, 1), "S")]))
     assert store.read() is None and store.heads_days() == []
+
+
+def test_every_delivered_row_is_accounted(spark, tmp_path):
+    from strongroom.operators.specs import HubSpec
+    from strongroom.streaming.microbatch import VaultTarget, stream_load
+
+    root, day = f"file://{tmp_path}", dt.datetime(2024, 1, 1)
+    targets = [VaultTarget(SPEC, f"{root}/sat", f"{root}/r/sat"), VaultTarget(HubSpec("HUB", "K_HK", ("K",)), f"{root}/hub", f"{root}/r/hub")]
+    batches = [
+        [("a", 0, "1", day, "S"), ("a", 0, "1", day, "S"), (None, 0, "1", day, "S"), ("b", 0, "1", day, "S"), ("b", 0, "2", day, "S")],
+        [("a", 0, "1", day, "S"), ("a", 0, "1", day + dt.timedelta(1), "S"), ("a", 0, "2", day + dt.timedelta(2), "S"), ("c", 0, "1", day, "S")],
+        [(" ", 0, "1", day, "S")],
+    ]
+    for k, batch in enumerate(batches):
+        feed(spark, batch).coalesce(1).write.parquet(f"{root}/in/d{k}")
+        src = spark.readStream.schema(COLS).parquet(f"{root}/in/*")
+        stream_load(src, targets, f"{root}/c", accounts=f"{root}/accounts").awaitTermination()
+    got = {(r.BATCH_ID, r.TARGET): (r.DELIVERED, r.REFUSED, r.LOADED, r.ABSORBED) for r in spark.read.parquet(f"{root}/accounts").collect()}
+    assert got == {
+        (0, "HUB"): (5, 1, 2, 2), (0, "SAT"): (5, 3, 1, 1), (1, "HUB"): (4, 0, 1, 3), (1, "SAT"): (4, 0, 2, 2),
+        (2, "HUB"): (1, 1, 0, 0), (2, "SAT"): (1, 1, 0, 0),
+    }
