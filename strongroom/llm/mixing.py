@@ -38,14 +38,15 @@ def round_keys(seed: int, rounds: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def permuted(x: Column, n: Column, salt: Column, seed: int, rounds: int) -> Column:
+def permuted(x: Column, n: Column, salt: Column, seed: int, rounds: int, inverse: bool = False) -> Column:
     """The pseudorandom permutation of 0 .. n-1 that (salt, seed) choose, at x; n below 2^61.
 
-    salt is a whole number from 0 to 2^20.
+    salt is a whole number from 0 to 2^20.  Every round is its own inverse, so
+    the rounds in reverse order give the ``inverse``.
     """
     whole = lambda v: F.lit(v).cast("long")
     prime, salt, n = whole(PRIME), salt.cast("long"), n.cast("long")
-    keys = F.array(*[F.struct(whole(a).alias("a"), whole(b).alias("b"), whole(c).alias("c")) for a, b, c in round_keys(seed, rounds)])
+    keys = F.array(*[F.struct(whole(a).alias("a"), whole(b).alias("b"), whole(c).alias("c")) for a, b, c in round_keys(seed, rounds)[:: -1 if inverse else 1]])
 
     def step(at: Column, k: Column) -> Column:
         turn = F.pmod(k["a"] * (salt + 1) + k["b"], prime) * prime + F.pmod(k["c"] * (salt + 1), prime)
@@ -156,17 +157,31 @@ def slots(plan: DataFrame, block_words: int, shard_slots: int, rounds: int, seed
 
     Dealing all sources' slots through one permutation gives each shard a
     multinomial draw of source counts, given the totals.
+
+    A source's last block may be short, and the partial pass may meet it before
+    its end.  Its slot there is found by the inverse permutation, so the pass
+    has the slots that hold the words it needs, and its last slot has the rest
+    of them: sources come to their rounded targets exactly.
     """
-    counts = plan.withColumn("own", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / block_words).cast("long"))
+    some = F.greatest("blocks", F.lit(1))
+    salt = lambda turn: F.pmod(F.col("number") * 4 + turn, F.lit(1 << 20))
+    counts = plan.withColumn("missing", F.col("blocks") * block_words - F.col("source_size"))  # words, in the last block
+    counts = counts.withColumn("short", permuted(some - 1, some, salt(F.col("passes")), seed, rounds, inverse=True))
+    # A rest that ends within the short block needs no slot after it.
+    beyond = F.greatest(F.col("short") + 1, F.ceil((F.col("rest") + F.col("missing")) / block_words))
+    partial = F.when(F.col("rest") > F.col("short") * block_words, beyond).otherwise(F.ceil(F.col("rest") / block_words))
+    counts = counts.withColumn("own", F.col("passes") * F.col("blocks") + partial.cast("long"))
     before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = counts.withColumn("first", F.coalesce(F.sum("own").over(before), F.lit(0))).withColumn("total", F.sum("own").over(whole)).where("own > 0")
     each = numbered(counts.withColumn("n", F.col("own")))
     turn = F.floor(F.col("k") / F.col("blocks")).cast("long")
-    block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.pmod(F.col("number") * 4 + turn, F.lit(1 << 20)), seed, rounds)
+    block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), salt(turn), seed, rounds)
     slot = permuted(F.col("first") + F.col("k"), F.col("total"), F.lit(0), seed + 1, rounds)
     stop = F.least(F.col("source_size"), (F.col("b") + 1) * block_words)
-    cut = F.when(F.col("pass") == F.col("passes"), F.col("rest") - F.pmod("k", "blocks") * block_words).otherwise(F.lit(block_words))
+    place = F.pmod("k", "blocks")
+    earlier = place * block_words - F.when(place > F.col("short"), F.col("missing")).otherwise(0)
+    cut = F.when(F.col("pass") == F.col("passes"), F.col("rest") - earlier).otherwise(F.lit(block_words))
     out = each.withColumn("pass", turn).withColumn("b", block).withColumn("slot", slot)
     return out.select(F.floor(F.col("slot") / shard_slots).cast("long").alias("shard"), "slot", "source", "pass", F.col("b").alias("block"),
                       F.least(stop - F.col("b") * block_words, cut).cast("long").alias("length"))
