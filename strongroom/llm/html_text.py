@@ -7,12 +7,16 @@ split in two clusters by a threshold (one-dimensional two-means); the upper
 cluster is content, but for lines that are mostly links.  The regions are then
 widened to the element that holds them: the ``article`` or ``main`` elements
 with content, else the deepest element that holds most of the content
-characters.  Inside a region, lines of the lower cluster go, but for headings,
-paragraphs beside content and other lines between content.
+characters.  An ``article`` or ``main`` element says itself what belongs to it:
+only blocks of links before or after its prose go, paragraphs aside.  In other regions, lines of
+the lower cluster go, but for headings, paragraphs beside content and other
+lines between content.
 
 Lines inside boilerplate elements never count.  Forms and elements with
 boilerplate words count if most of the page's content lies in those that the
-same word marks.
+same word marks.  A boilerplate word is a whole class name, or one of a
+compound that holds nothing but such words and words of layout: ``cookie-notice``
+and ``ad-slot`` are boilerplate, ``share-price`` and ``safety-notice`` aren't.
 """
 
 from __future__ import annotations
@@ -52,14 +56,23 @@ HEAD = frozenset("base basefont bgsound link meta noscript script style template
 #: Elements whose short lines are text, beside or between content lines.
 PARAGRAPH = frozenset("blockquote p pre".split())
 BETWEEN = PARAGRAPH | frozenset("address caption dd dt figcaption li summary td th".split())
+#: Words of layout, which say nothing of what an element holds.
+LAYOUT = frozenset(
+    "aside area articles bar block body bottom box btn button buttons col column container content desktop fixed global google group "
+    "header icons inner item items layer leaderboard left legal lg link links list main mobile module outer overlay page pages panel posts primary "
+    "rail right row secondary section sidebar site slot sm sticky stories top unit wrap wrapper".split())
 words_of = re.compile("[A-Z]?[a-z]+|[A-Z]+").findall
-#: "has-sidebar" and the like tell about another element.
-elsewhere = re.compile(r"\b(?:has|with|without|no)[-_]\w+")
 
 
 def marks(attrs: list[tuple[str, str | None]]) -> frozenset[str]:
-    """The boilerplate words that the attributes hold."""
-    return frozenset(w.lower() for name, value in attrs if name in ("class", "id", "role") for w in words_of(elsewhere.sub("", value or "")) if w.lower() in MARKS)
+    """The boilerplate words that the attributes hold; a name with any other word, as in "has-sidebar", holds none."""
+    out: set[str] = set()
+    for name, value in attrs:
+        for token in (value or "").split() if name in ("class", "id", "role") else ():
+            words = {w.lower() for w in words_of(token)}
+            if words <= MARKS | LAYOUT:
+                out |= words & MARKS
+    return frozenset(out)
 
 
 def hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -131,6 +144,11 @@ class Lines(HTMLParser):
         self.kind[self.count] = tag
         self.open.append((tag, self.count, skip, words))
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment that nothing closes goes on to the page's end."""
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
@@ -233,14 +251,20 @@ def main_text(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
         wide = [n for n, c in held.items() if c >= most * total and kind[n] not in ("p", "li", "td", *HEADING)]
         regions = {max(wide)} if wide else set()
     inside = [(line, yes) for line, yes in zip(lines, content) if not regions or regions.intersection(line[2])]
-    kept = kept_lines(inside, kind, named)
-    if named and not any(kept):
-        kept = [True] * len(inside)
+    kept = outside_link_lists(inside, kind) if named else kept_lines(inside, kind)
     return "\n\n".join(line[0] for (line, _), yes in zip(inside, kept) if yes)
 
 
-def kept_lines(inside: list, kind: dict[int, str], named: bool) -> list[bool]:
-    """Which lines of the regions stay; ``named`` if they are article or main elements."""
+def outside_link_lists(inside: list, kind: dict[int, str]) -> list[bool]:
+    """Which lines of article or main elements stay: all but blocks of links before or after the prose that aren't paragraphs or headings."""
+    tags = [kind[line[2][-1]] for line, _ in inside]
+    text = PARAGRAPH | HEADING | CONTENT
+    prose = [k for k, ((_, _, _, links), yes) in enumerate(inside) if yes or tags[k] in PARAGRAPH and not links]
+    return [not (links and prose and tags[k] not in text and not prose[0] < k < prose[-1]) for k, ((_, _, _, links), _) in enumerate(inside)]
+
+
+def kept_lines(inside: list, kind: dict[int, str]) -> list[bool]:
+    """Which lines of a region stay that no article or main element names."""
     tags = [kind[line[2][-1]] if line[2] else "" for line, _ in inside]
     above = [line[2][:-1] for line, _ in inside]
     content = [k for k, (_, yes) in enumerate(inside) if yes]
@@ -255,16 +279,16 @@ def kept_lines(inside: list, kind: dict[int, str], named: bool) -> list[bool]:
     for k, ((_, _, _, links), yes) in enumerate(inside):
         between = first < k < last
         if tags[k] in PARAGRAPH:
-            short = not links and (named or above[k] in beside) or between and above[k] in beside
+            short = not links and above[k] in beside or between and above[k] in beside
         elif tags[k] in BETWEEN:
-            short = not links and (named or between)
+            short = not links and between
         else:
             short = not links and between and tags[k] in usual and above[k] in beside
         kept.append(yes or short)
     follows = False  # a heading stays if what it heads does
     for k in range(len(inside) - 1, -1, -1):
         if tags[k] in HEADING:
-            kept[k] = kept[k] or named or follows
+            kept[k] = kept[k] or follows
         else:
             follows = kept[k]
     return kept

@@ -346,6 +346,26 @@ def test_mixing(spark):
     assert mix(df.limit(0))[0].count() == 0
 
 
+def test_mixing_comes_to_the_target_of_small_sources(spark):
+    from strongroom.llm.mixing import mix, permuted
+
+    rng = random.Random(6)
+    sizes = {f"s{k:02}": rng.randint(100, 400) for k in range(24)} | {"t": 128, "u": 256, "v": 1, "w": 0}
+    rows = []
+    for source, size in sizes.items():
+        cut = rng.randint(0, size)
+        rows += [(len(rows) + k, "w " * n, "en", source) for k, n in enumerate((cut, size - cut))]
+    df = docs(spark, rows)
+    for block in (7, 128):
+        documents, slots = mix(df, keep=("source",), block_words=block)
+        got = documents.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+        assert {r.source: r.taken for r in got} == {r.source: math.floor(r.target + 0.5) for r in got} and len(got) == len(sizes)
+        assert slots.agg(F.sum("length")).first()[0] == sum(r.taken for r in got) and slots.where("length <= 0").count() == 0
+    n = F.lit(97)
+    there = spark.range(97).select("id", permuted(F.col("id"), n, F.lit(5), 3, 24).alias("y"))
+    assert there.where(permuted(F.col("y"), n, F.lit(5), 3, 24, inverse=True) != F.col("id")).count() == 0
+
+
 def test_mixing_takes_what_the_slots_say(spark, monkeypatch):
     from strongroom.llm import mixing
 
@@ -475,6 +495,33 @@ def test_extraction_drops_boilerplate_of_flat_pages_and_overrules_words():
     assert main_text(f"<body>{menu}{article}{links}") == want + "\n\nPlain item"
 
 
+def test_extraction_keeps_all_of_an_article():
+    from strongroom.llm.html_text import main_text
+
+    long = "word " * 60 + "end."
+    body = f"<p>{long}</p><p>{long}</p>"
+
+    def text_of(inner):
+        return main_text(f"<body><nav><ul><li><a href=/>Home</a></ul></nav><article>{inner}</article><footer>gone</footer></body>").split("\n\n")
+
+    assert text_of(f"<h1>T</h1><p><a href=x>The whole report</a></p>{body}<p>See <a href=y>the long list of sources</a></p>") == ["T", "The whole report", long, long, "See the long list of sources"]
+    assert text_of(f"<p>{long}</p><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul><p>Short.</p>") == [long, "One", "Two", "Short."]
+    assert text_of(f"<div>By hand</div><section>Opening line</section>{body}<b>closing words</b>") == ["By hand", "Opening line", long, long, "closing words"]
+    for name in ("share-price", "safety-notice", "search-history", "sharePrice", "has-sidebar"):
+        assert text_of(f'{body}<p class="{name}">It rose by 3 per cent.</p><p>x</p>') == [long, long, "It rose by 3 per cent.", "x"], name
+    for name in ("ad", "ad-slot", "cookie-notice", "newsletter signup", "relatedPosts", "site_footer", "notice", "comment-list"):
+        assert text_of(f'{body}<p class="{name}">Buy one now.</p><p>x</p>') == [long, long, "x"], name
+    # A list of links before or after the prose isn't its text.
+    more = "<ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul>"
+    assert text_of(f"<h1>T</h1>{more}{body}{more}") == ["T", long, long]
+    # An open comment goes on to the end, as in a browser; short ones end at once.
+    assert text_of(f"{body}<!-- open <p>not shown</p> <b>nor this</b>") == [long, long]
+    assert text_of(f"{body}<!-- a > b --><p>shown</p><!----><p>too</p>") == [long, long, "shown", "too"]
+    assert text_of(f"<script>var a = '<!--';</script>{body}") == [long, long]
+    # Growth: a page of many lines takes time in proportion.
+    assert text_of("".join(f"<p>line {k}</p>" for k in range(30_000)))[-1] == "line 29999"
+
+
 def test_extraction_keeps_text_after_a_sign_that_starts_no_tag():
     from strongroom.llm.html_text import main_text
 
