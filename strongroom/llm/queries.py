@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strongroom.llm.common import crc_mod
-from strongroom.llm.secrets import KINDS, LONG, RANK
+from strongroom.llm.secrets import KINDS, LONG, RANDOM, RANK, RUN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -193,30 +193,33 @@ ORACLES: dict[str, str] = {
                e.vec_id <= coalesce((SELECT min(y) FROM reach r WHERE r.x = e.vec_id), e.vec_id) AS kept
         FROM embeddings e""",
     "op3_secret_scan": f"""
-        WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '-') AS owner FROM documents),
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '-') AS owner, coalesce('=' || lang, '-') AS part FROM documents),
         patterns AS (SELECT * FROM (VALUES {", ".join(f"({RANK[k]}, '{k}', {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)}) AS v(rank, kind, pattern)),
         hits AS (
-            SELECT doc_id, owner, rank, kind, unnest(range(1, len(h) + 1)) AS i, h,
+            SELECT doc_id, owner, part, rank, kind, unnest(range(1, len(h) + 1)) AS i, h,
                    CASE WHEN kind = 'assign' THEN regexp_extract_all(t, {sql_text(KINDS["assign"])}, 2) ELSE h END AS v, g
-            FROM (SELECT doc_id, owner, rank, kind, t,
+            FROM (SELECT doc_id, owner, part, rank, kind, t,
                          CASE rank {" ".join(f"WHEN {RANK[k]} THEN regexp_extract_all(t, {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)} END AS h,
                          CASE rank {" ".join(f"WHEN {RANK[k]} THEN string_split_regex(t, {sql_text(LONG.get(k) or KINDS[k])})" for k in RANK)} END AS g
                   FROM docs CROSS JOIN patterns)),
         placed AS (
-            SELECT doc_id, owner, rank, kind, v[i] AS value, length(h[i]) AS n,
+            SELECT doc_id, owner, part, rank, kind, v[i] AS value, length(h[i]) AS n,
                    list_sum(list_transform(g[1:i], lambda x: length(x)))
                    + coalesce(list_sum(list_transform(h[1:i-1], lambda x: length(x))), 0) AS s
             FROM hits),
         spans AS (
-            SELECT doc_id, owner, rank, kind, value, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e FROM placed
+            SELECT doc_id, owner, part, rank, kind, value, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e FROM placed
             WHERE CASE kind WHEN 'assign' THEN length(value) >= 6
                             WHEN 'token' THEN regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')
+                                 AND 5 * length(regexp_replace(value, '[^A-Za-z0-9]', '', 'g')) < 13 * len(regexp_extract_all(value, {sql_text(RUN)}))
+                                 AND {RANDOM} * list_sum(list_transform(list_distinct(string_split(value, '')), lambda c: pow(length(value) - length(replace(value, c, '')), 2))) <= pow(length(value), 2)
                             ELSE true END),
         taken AS (
             SELECT * FROM spans x WHERE kind <> 'token' OR NOT EXISTS (
                 SELECT 1 FROM spans b WHERE b.doc_id = x.doc_id AND b.kind <> 'token' AND b.s < x.e AND x.s < b.e)),
-        owned AS (SELECT value, count(DISTINCT owner) AS owners FROM taken GROUP BY value),
-        marked AS (SELECT taken.*, owners <= 1 AS live FROM taken JOIN owned USING (value)),
+        owned AS (SELECT value, count(*) AS owners, max(parts) AS most FROM (
+            SELECT value, owner, count(DISTINCT part) AS parts FROM taken GROUP BY value, owner) GROUP BY value),
+        marked AS (SELECT taken.*, owners <= 1 AND most <= 3 AS live FROM taken JOIN owned USING (value)),
         final AS (
             SELECT doc_id,
                    count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,

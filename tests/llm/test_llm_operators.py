@@ -224,6 +224,55 @@ def test_secret_scan(spark):
     assert scan(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_secret_scan_asks_for_evidence(spark):
+    from strongroom.llm.secrets import redact, scan
+
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(chars) for _ in range(40)) + "aZ9" for _ in range(30)]
+    clean = ["com/Org/Repo2/blob/main/src/Main", "org/wiki/List_of_FIFA_World_Cup_2018_matches", "My-Long-Blog-Post-about-the-Year-2019-and-2020", "AbstractSingletonProxyFactoryBean2Implementation",
+             "aA1" * 20, "aB3" + "=" * 40, "Report_2020-01-31_to_2020-02-29_Final"]
+    spread = keys[-1]  # one owner's, in four of its repositories
+    rows = [(i, f"see {t} here", "en", "s") for i, t in enumerate(keys[:-1] + clean)] + [(100 + k, f"x {spread} y", f"l{k}", "s") for k in range(4)]
+    got = scan(docs(spark, rows), keep=("text",))
+    seen = {r.doc_id: r for r in got.withColumn("out", redact(F.col("text"), F.col("found"))).collect()}
+    assert all(seen[i].spans == f"token:4:{4 + len(k)}" and seen[i].out == "see [SECRET] here" for i, k in enumerate(keys[:-1]))
+    for i, t in enumerate(clean, len(keys) - 1):
+        assert not any(x.startswith("token") for x in seen[i].spans.split(",")) and seen[i].out == f"see {t} here", t
+    assert all(seen[100 + k].spans == "" for k in range(4))
+    assert scan(docs(spark, rows), most_repos=4).where("doc_id >= 100 and n_live = 1").count() == 4
+
+
+def test_secret_spans_that_overlap_are_one(spark):
+    from strongroom.llm.secrets import redact, scan
+
+    hexed = "ab12" * 8
+    texts = [f"\U0001f600 token={hexed} and {hexed}", f"{hexed}token={hexed}", "token=AKIA" + "A1" * 9 + "." * 30 + f"x {hexed}", "é" * 3000 + f"secret={hexed}" + "\U0001f600" * 2500 + hexed]
+    got = scan(docs(spark, [(i, t, "en", f"s{i}") for i, t in enumerate(texts)]), keep=("text",), most_owners=9)
+    for r in got.withColumn("out", redact(F.col("text"), F.col("found"))).collect():
+        want, at = [], 0
+        for s in r.found:
+            if s["start"] >= at:
+                want.append(r.text[at : s["start"]] + "[SECRET]")
+            at = max(at, s["end"])
+        assert r.out == "".join(want) + r.text[at:] and r.spans.startswith(",".join(brute_base(r.text))[:8])
+
+
+def test_secret_scan_takes_time_in_proportion(spark):
+    import time
+
+    from strongroom.llm.secrets import redact, scan
+
+    took = {}
+    for n in (1000, 50_000, 200_000):
+        df = docs(spark, [(1, "".join(f"line {k} token={k:08}abcdef0123456789 end\n" for k in range(n)), "en", "s")])
+        start = time.time()
+        got = scan(df, keep=("text",)).select("n_assign", "n_hex", F.length(redact(F.col("text"), F.col("found"))).alias("n"), "text").first()
+        took[n] = time.time() - start
+        assert got.n_assign == got.n_hex == n and got.n == len(got.text) - n * (len("token=") + 24 - len("[SECRET]"))
+    assert took[200_000] < 6 * took[50_000] + 5, took
+
+
 # -- language -----------------------------------------------------------------
 
 
