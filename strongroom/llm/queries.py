@@ -67,9 +67,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence families of the paragraphs of every document."""
-    from strongroom.llm.licences import NOTICES, scan_paragraphs, train
+    from strongroom.llm.licences import fit, scan_paragraphs
 
-    return scan_paragraphs(table(spark, sf_dir, "documents"), train(NOTICES))
+    docs = table(spark, sf_dir, "documents")
+    return scan_paragraphs(docs, fit(docs))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
