@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strongroom.operators.common import next_value
+from strongroom.operators.common import hash_columns, next_value, packed, unpacked
 from strongroom.operators.satellite import current, merge_timelines
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, SNAPSHOT_DTS
 
@@ -145,14 +145,22 @@ def fact(
     missing = [c for c in wanted if c not in link.columns]
     if missing:
         raise ValueError(f"the link has no {missing}")
+    # All shuffles carry the hash keys packed.
+    small = lambda df: packed(df, hash_columns(df))
     out = link.select(*dict.fromkeys(wanted))
-    out = out.join(hub.select(hub_hk, *hub_cols), hub_hk, "inner")
+    hashes = hash_columns(out)
+    out = packed(out, hashes).join(small(hub.select(hub_hk, *hub_cols)), hub_hk, "inner")
+    hashes += [c for c in hash_columns(hub.select(*hub_cols)) if c not in hashes]
     for olink, on, col, name in optional_links:
-        out = out.join(olink.select(on, F.col(col).alias(name)), on, "left")
-    cur = current(sat.select(*sat_keys, LOAD_DTS, HASH_DIFF, *measures), sat_keys)
+        side = small(olink.select(*dict.fromkeys([on, col])))
+        out = out.join(side.select(on, F.col(col).alias(name)), on, "left")
+        hashes += [name] if hash_columns(olink.select(col)) else []
+    held = sat.select(*sat_keys, LOAD_DTS, HASH_DIFF, *measures)
+    cur = current(small(held), sat_keys)
     cur = cur.select(*sat_keys, *measures)
+    hashes += [c for c in hash_columns(held.select(*sat_keys, *measures)) if c not in hashes]
     out = out.join(cur, link_hk, "left")
-    return out.filter(F.col(required).isNotNull())
+    return unpacked(out.filter(F.col(required).isNotNull()), hashes)
 
 
 def report(fact_df: DataFrame, dims: Sequence[tuple[DataFrame, str]], group: Sequence[str], measures: dict) -> DataFrame:
