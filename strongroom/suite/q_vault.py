@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import hash_key
+from strongroom.operators.common import packed
 from strongroom.operators.hub import load_hub
 from strongroom.operators.link import ancestors, coarsen, exploration_link, load_link, load_nh_link, resolve_same_as, same_as_masters
 from strongroom.operators.specs import HubSpec, LinkSpec
@@ -155,7 +156,8 @@ def q_sal_customer(spark, d):
 def crm_orders_by_name(spark, d):
     o = feeds.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = feeds.table(spark, d, "customer").select("c_custkey", "c_name")
-    return o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+    # Customers grow with the input: merged, never broadcast by the size of their compressed file.
+    return o.join(c.hint("merge"), o["o_custkey"] == c["c_custkey"]).select(
         F.col("o_orderkey").cast("string").alias("ORDER_NUMBER"),
         F.col("c_name").alias("CUSTOMER_NAME"),
         F.col("o_orderdate").alias("LOAD_DTS"),
@@ -275,7 +277,7 @@ def q_bhub_customer(spark, d):
     r = resolve_same_as(f, sal_customer(spark, d), "CUSTOMER_HK", "SYNONYM_CUSTOMER_HK", "MASTER_CUSTOMER_HK")
     # The business key of a resolved customer is its number; a name without a master stays its own key.
     numbers = feeds.stg_customers(spark, d).select(hash_key("CUSTOMER_NUMBER").alias("CUSTOMER_HK"), "CUSTOMER_NUMBER")
-    r = r.join(numbers, "CUSTOMER_HK", "left").select(F.coalesce("CUSTOMER_NUMBER", "CUSTOMER_NAME").alias("CUSTOMER_NUMBER"), "LOAD_DTS", "REC_SRC")
+    r = packed(r, ["CUSTOMER_HK"]).join(packed(numbers, ["CUSTOMER_HK"]).hint("merge"), "CUSTOMER_HK", "left").select(F.coalesce("CUSTOMER_NUMBER", "CUSTOMER_NAME").alias("CUSTOMER_NUMBER"), "LOAD_DTS", "REC_SRC")
     return load_hub(r, None, model.HUB_CUSTOMER)
 
 
