@@ -4,10 +4,10 @@ Native: texts are scored by DataFrame functions alone.  One logistic
 regression per family, over the sparse word pairs of a paragraph, names its
 families; a paragraph with none above the threshold is unknown.  The models
 are trained on standard notices and clauses of the licences, whole, with words
-missing and mixed, against fragments of them, denials and paragraphs of the
-corpus (:func:`train`).  The threshold is calibrated on other paragraphs of
-the corpus and on changed notices that took no part in the training
-(:func:`fit`).  A family that the classifier names counts only if a template
+missing and mixed, against fragments of them, denials (:func:`train`) and all
+different paragraphs of one half of the corpus.  The threshold is calibrated on
+all paragraphs of the other half and on changed notices that took no part in
+the training (:func:`fit`).  A family that the classifier names counts only if a template
 of it confirms it.
 """
 
@@ -100,6 +100,8 @@ NOTICES = TEMPLATES + [
 SPDX = {"apache-2.0": "apache-2.0", "gpl-3.0": "gpl-3.0", "gpl-2.0": "gpl-2.0", "lgpl-": "lgpl", "agpl-3.0": "agpl-3.0", "mit": "mit", "bsd-": "bsd", "isc": "isc", "mpl-2.0": "mpl-2.0", "epl-2.0": "epl-2.0",
         "epl-1.0": "epl-1.0", "unlicense": "unlicense", "zlib": "zlib", "cc-by-4.0": "cc-by", "cc-by-sa-": "cc-by-sa", "cc-by-nc-": "cc-by-nc", "cc0-": "cc0"}
 WORDS = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: Weight of the squares of the regressions' weights in their loss.
+PENALTY = 2e-5
 
 
 def pairs(words: list[str]) -> set[str]:
@@ -145,24 +147,15 @@ def denials(text: str) -> list[str]:
     return [f"{text[: at.start()]}{no} {text[at.start() :]}" for no in ("not", "never", "no longer", "is not")] if at else []
 
 
-def train(templates: list[tuple[str, str]] = NOTICES, unknown: list[list[str]] = (), penalty: float = 2e-5, steps: int = 300, confirm: float = 0.8) -> LicenceModel:
-    """Fit on the templates (a fixed, bounded set) and ``unknown``, word pairs of paragraphs without a licence.
-
-    A template is given whole, without each of about twelve of its words, and
-    together with one or two of other families, whose labels it then has too.
-    No family have its short pieces, its denials and ``unknown``.  The
-    threshold is 0.5, or less if changed notices that took no part need it.
-    """
+def examples_of(templates: list[tuple[str, str]]) -> list[tuple[set[str], set[str]]]:
+    """Families and word pairs of the examples made of the templates (a fixed, bounded set)."""
     import random
 
-    import numpy as np
-
     rnd = random.Random(7)
-    classes = tuple(dict.fromkeys(f for f, _ in templates))
     shapes = by_template(templates)
     lists = [words_of(t) for _, t in templates]
     told = [{f} | confirmed(t, shapes, 1.0) for f, t, _ in shapes]
-    examples: list[tuple[set[str], set[str]]] = [(set(), set())] * 20 + [(set(), set(u)) for u in unknown]
+    examples: list[tuple[set[str], set[str]]] = [(set(), set())] * 20
     for (family, text), w, labels in zip(templates, lists, told):
         step = max(1, len(w) // 12)
         examples += [(labels, pairs(w))] * 4 + [(labels, pairs(w[:k] + w[k + 1 :])) for k in range(0, len(w), step) if len(w) > 6]
@@ -171,7 +164,38 @@ def train(templates: list[tuple[str, str]] = NOTICES, unknown: list[list[str]] =
     for k in range(8 * len(lists)):
         several = [k % len(lists), *rnd.sample(range(len(lists)), 1 + k % 2)]
         examples.append((set().union(*[told[i] for i in several]), set().union(*[shapes[i][1] for i in several])))
-    vocabulary = {p: k for k, p in enumerate(sorted(set().union(*[t for _, t, _ in shapes], *[pairs(words_of(d)) for _, t in templates for d in denials(t)])))}
+    return examples
+
+
+def vocabulary_of(templates: list[tuple[str, str]]) -> dict[str, int]:
+    """The known word pairs, those of the templates and of their denials, with their numbers."""
+    return {p: k for k, p in enumerate(sorted(set().union(*[pairs(words_of(t)) for _, t in templates], *[pairs(words_of(d)) for _, t in templates for d in denials(t)])))}
+
+
+def families_of(templates: list[tuple[str, str]]) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(f for f, _ in templates))
+
+
+def model_of(templates: list[tuple[str, str]], weights, confirm: float) -> LicenceModel:
+    """The model of a matrix of weights: a row per known word pair and one of intercepts, a column per family."""
+    classes, vocabulary = families_of(templates), vocabulary_of(templates)
+    reach = changed_notices(templates, by_template(templates), [words_of(t) for _, t in templates], classes, vocabulary, weights, confirm)
+    return LicenceModel(classes, tuple(float(f"{w:.6g}") for w in weights[-1]), {p: tuple(float(f"{w:.6g}") for w in weights[k]) for p, k in vocabulary.items()}, min(0.5, reach), reach)
+
+
+def train(templates: list[tuple[str, str]] = NOTICES, unknown: list[list[str]] = (), penalty: float = PENALTY, steps: int = 300, confirm: float = 0.8) -> LicenceModel:
+    """Fit on the templates (a fixed, bounded set) and ``unknown``, word pairs of paragraphs without a licence.
+
+    A template is given whole, without each of about twelve of its words, and
+    together with one or two of other families, whose labels it then has too.
+    No family have its short pieces, its denials and ``unknown``.  The
+    threshold is 0.5, or less if changed notices that took no part need it.
+    """
+    import numpy as np
+
+    classes, vocabulary = families_of(templates), vocabulary_of(templates)
+    own = examples_of(templates)
+    examples = own[:20] + [(set(), set(u)) for u in unknown] + own[20:]
     x = np.zeros((len(examples), len(vocabulary) + 1), dtype=np.float32)
     truth = np.zeros((len(examples), len(classes)), dtype=np.float32)
     x[:, -1] = 1  # the intercept
@@ -190,8 +214,36 @@ def train(templates: list[tuple[str, str]] = NOTICES, unknown: list[list[str]] =
         slope[:-1] += penalty * ahead[:-1]
         after = ahead - rate * slope
         ahead, weights = after + k / (k + 3) * (after - weights), after
-    reach = changed_notices(templates, shapes, lists, classes, vocabulary, weights, confirm)
-    return LicenceModel(classes, tuple(float(f"{w:.6g}") for w in weights[-1]), {p: tuple(float(f"{w:.6g}") for w in weights[k]) for p, k in vocabulary.items()}, min(0.5, reach), reach)
+    return model_of(templates, weights, confirm)
+
+
+def train_spread(unknown: DataFrame, n_unknown: int, share: float, templates: list[tuple[str, str]] = NOTICES, penalty: float = PENALTY, confirm: float = 0.8,
+                 steps: int = 40, task_rows: int = 50_000, at_once: int = 6) -> LicenceModel:
+    """As :func:`train`, with all ``n_unknown`` rows of ``unknown`` (``_held``), which lie in Spark and weigh ``share`` each.
+
+    The same penalised loss, minimised by MLlib, ``at_once`` regressions at a time over one cached table."""
+    from multiprocessing.pool import ThreadPool
+
+    import numpy as np
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizerModel
+
+    spark = unknown.sparkSession
+    classes, vocabulary = families_of(templates), vocabulary_of(templates)
+    own = spark.createDataFrame([(sorted(held), sorted(labels), 1.0) for labels, held in examples_of(templates)], "_held array<string>, _labels array<string>, _weight double")
+    rows = own.unionByName(unknown.select("_held", F.array().cast("array<string>").alias("_labels"), F.lit(share).alias("_weight")))
+    # Rows of a task in a fixed order, so that sums come out alike in each run.
+    rows = rows.repartition(-(-n_unknown // task_rows), "_held").sortWithinPartitions("_held", "_labels")
+    counts = CountVectorizerModel.from_vocabulary(list(vocabulary), "_held", "_pairs")
+    data = counts.setBinary(True).transform(rows).select("_pairs", "_labels", "_weight").persist()
+    regression = LogisticRegression(featuresCol="_pairs", labelCol="_label", weightCol="_weight", regParam=penalty, standardization=False, maxIter=steps, family="binomial")
+    one = inheritable_thread_target(spark)(lambda family: regression.fit(data.withColumn("_label", F.array_contains("_labels", family).cast("double"))))
+    with ThreadPool(at_once) as pool:
+        found = pool.map(one, classes)
+    weights = np.array([[*m.coefficients.toArray(), m.intercept] for m in found]).T
+    data.unpersist()
+    return model_of(templates, weights, confirm)
 
 
 def changed_notices(templates, shapes, lists, classes, vocabulary, weights, confirm: float) -> float:
@@ -239,11 +291,19 @@ def literal(templates: list[tuple[str, str]]) -> Column:
         for f, t, others in by_template(templates)])
 
 
-def windows(words: Column, vocabulary: Column, span: int) -> Column:
-    """Word pairs of the vocabulary in windows of twice ``span`` words that start every ``span`` words."""
-    both = lambda w: F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))  # noqa: E731 (null at the end)
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(words) / span).cast("int") - 2, F.lit(0)))
-    return F.transform(starts, lambda k: F.array_intersect(both(F.slice(words, k * span + 1, 2 * span)), vocabulary))
+def windows(words: str, known: list[str], span: int) -> str:
+    """Known word pairs, each once, in windows of twice ``span`` words that start every ``span`` words; SQL of an array of words and of the result.
+
+    ``cells`` are the places of known pairs in every ``span`` words; a window has two of them but no pair that leaves it.
+    They are an array's only element, so that they are made once and not for each window."""
+    pair = f"concat(get({words}, i), ' ', get({words}, i + 1))"  # null at the end
+    n = f"cast(ceil(size({words}) / {span}) as int)"
+    among = lambda values: ",".join(f"'{v}'" for v in values)
+    known_pair = f"get({words}, i) in ({among(sorted({p.split(' ')[0] for p in known}))}) and {pair} in ({among(known)})"
+    cells = f"transform(sequence(0, greatest({n} - 1, 0)), c -> filter(sequence(c * {span}, (c + 1) * {span} - 1), i -> {known_pair}))"
+    second = f"filter(coalesce(get(cells, k + 1), cast(array() as array<int>)), i -> i < (k + 2) * {span} - 1)"
+    window = f"array_distinct(transform(concat(get(cells, k), {second}), i -> {pair}))"
+    return f"get(transform(array({cells}), cells -> transform(sequence(0, greatest({n} - 2, 0)), k -> {window})), 0)"
 
 
 def likelihoods(model: LicenceModel, held: Column) -> Column:
@@ -256,35 +316,55 @@ def likelihoods(model: LicenceModel, held: Column) -> Column:
 BLOCKS = r"\r?\n(?:[^\S\n]*\n)+"
 
 
+def paragraphs(df: DataFrame, text_col: str = "text", templates: list[tuple[str, str]] = NOTICES, span: int = 96) -> DataFrame:
+    """The different paragraphs without a licence of all texts: known word pairs ``_held`` and number of windows ``_n``.
+
+    Of the paragraphs, in windows, those count that hold two known word pairs
+    or more and less than half of every template: they carry no licence."""
+    words = F.transform(F.split(text_col, BLOCKS), lambda x: F.regexp_extract_all(F.lower(x), F.lit(WORDS), F.lit(0)))
+    held = df.select(F.explode(words).alias("_words")).select(F.explode(F.expr(windows("_words", list(vocabulary_of(templates)), span))).alias("_held"))
+    near = F.exists(literal(templates), lambda t: (2 * F.size("_held") >= F.size(t["needed"][0])) & (2 * F.size(F.array_intersect(t["needed"][0], F.col("_held"))) >= F.size(t["needed"][0])))
+    return held.where(F.size("_held") > 1).groupBy("_held").agg(F.count(F.lit(1)).alias("_n")).where(~near)
+
+
+def passed_by(model: LicenceModel, unknown: DataFrame, alarm: float, grid: int = 10_000) -> float:
+    """The lowest score, in steps of 1 / ``grid``, above which at most a share of ``alarm`` of the windows in ``unknown`` lies; 0 for none."""
+    top = F.array_max(F.transform(likelihoods(model, F.col("_held")), lambda x: x["score"]))
+    # At most grid + 1 rows come.
+    steps = unknown.groupBy(F.ceil(top * grid).alias("_step")).agg(F.sum("_n").alias("_n")).collect()
+    above, most = 0, alarm * sum(r["_n"] for r in steps)
+    for r in sorted(steps, key=lambda r: -r["_step"]):
+        above += r["_n"]
+        if above > most:
+            return r["_step"] / grid
+    return 0.0
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = NOTICES, confirm: float = 0.8, span: int = 96,
-        sample_rows: int = 10_000, train_rows: int = 1_000, alarm: float = 0.001) -> LicenceModel:
-    """Train against paragraphs of the corpus and calibrate the unknown class on others.
-
-    About ``sample_rows`` documents are drawn by a hash (a bound whatever the
-    corpus); of their paragraphs, in windows, those count that hold two known
-    word pairs or more and less than half of every template: they carry no
-    licence.  Up to ``train_rows`` of one half of them are the regressions'
-    negative examples.  Of the other half at most a share of ``alarm`` may pass
-    the threshold, which starts from that of :func:`train` and rises no further
+        train_rows: int = 1_000, alarm: float = 0.001) -> LicenceModel:
+    """Train against all paragraphs of one half of the corpus and calibrate the unknown class on all of the other.
+
+    The different :func:`paragraphs` fall into halves by a hash.  All of one
+    half are the regressions' negative examples: up to ``train_rows`` are
+    trained on at once, more by :func:`train_spread`, where they weigh as much as
+    ``train_rows`` together, so that the notices keep their share.  Of the
+    windows of the other half at most a share of ``alarm`` may pass the
+    threshold, which starts from that of :func:`train` and rises no further
     than the score that changed notices reach (``reach``), or 0.5.  An empty table, or one without such paragraphs, leaves the
     threshold of :func:`train`.
     """
     from strongroom.llm.common import discard, stored_at
 
-    first = train(templates, confirm=confirm)
-    share = min(1.0, sample_rows / max(df.count(), 1))
-    drawn = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    words = F.transform(F.split("_text", BLOCKS), lambda x: F.regexp_extract_all(F.lower(x), F.lit(WORDS), F.lit(0)))
-    held = drawn.select(F.explode(words).alias("_words")).select(F.explode(windows(F.col("_words"), texts(sorted(first.weights)), span)).alias("_held"))
-    near = F.exists(literal(templates), lambda t: (2 * F.size("_held") >= F.size(t["needed"][0])) & (2 * F.size(F.array_intersect(t["needed"][0], F.col("_held"))) >= F.size(t["needed"][0])))
-    spark = df.sparkSession
-    table, path = stored_at(held.where(F.size("_held") > 1).where(~near).withColumn("_at", F.xxhash64("_held")), "licence_unknown")
-    some = table.where(F.pmod("_at", F.lit(2)) == 0).select("_held", "_at").distinct().orderBy("_at").limit(train_rows).collect()
-    model = train(templates, [r["_held"] for r in some], confirm=confirm)
-    top = F.array_max(F.transform(likelihoods(model, F.col("_held")), lambda x: x["score"]))
-    high = table.where(F.pmod("_at", F.lit(2)) == 1).agg(F.percentile_approx(top, 1 - alarm, 10_000).alias("high")).head()["high"]
-    discard(spark, path)
-    return replace(model, threshold=min(max(model.threshold, high or 0.0), max(0.5, model.reach)))
+    table, path = stored_at(paragraphs(df, text_col, templates, span).withColumn("_at", F.xxhash64("_held")), "licence_unknown")
+    trained = table.where(F.pmod("_at", F.lit(2)) == 0)
+    n = trained.count()
+    if n <= train_rows:
+        model = train(templates, [r["_held"] for r in trained.orderBy("_at").collect()], confirm=confirm)
+    else:
+        model = train_spread(trained, n, train_rows / n, templates, confirm=confirm)
+    high = passed_by(model, table.where(F.pmod("_at", F.lit(2)) == 1), alarm)
+    discard(df.sparkSession, path)
+    return replace(model, threshold=min(max(model.threshold, high), max(0.5, model.reach)))
 
 
 def scan_paragraphs(df: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = NOTICES, confirm: float = 0.8, span: int = 96) -> DataFrame:
@@ -333,7 +413,7 @@ def scan_paragraphs(df: DataFrame, model: LicenceModel, id_col: str = "doc_id",
     blocks = F.filter(F.split("_text", BLOCKS), lambda x: x.rlike(hint))
     rows = rows.select("_id", F.when(F.col("_text").rlike(hint), blocks).otherwise(none).alias("_blocks"))
     rows = rows.select("_id", F.transform("_blocks", lambda x: F.struct(tagged(x).alias("tags"), F.regexp_extract_all(F.lower(x), F.lit(WORDS), F.lit(0)).alias("words"))).alias("_blocks"))
-    rows = rows.select("_id", F.transform("_blocks", lambda b: F.struct(b["tags"].alias("tags"), windows(b["words"], texts(known), span).alias("held"))).alias("_blocks"))
+    rows = rows.select("_id", F.expr(f"transform(_blocks, b -> struct(b.tags as tags, {windows('b.words', known, span)} as held))").alias("_blocks"))
     rows = rows.select("_id", F.transform("_blocks", lambda b: F.concat(b["tags"], F.flatten(F.transform(b["held"], found)))).alias("_blocks"))
     rows = rows.select("_id", F.filter("_blocks", lambda b: F.size(b) > 0).alias("_blocks")).withColumn("_found", F.flatten("_blocks"))
     return rows.select(F.col("_id").alias(id_col), F.size("_blocks").cast("long").alias("n_paragraphs"),

@@ -149,3 +149,60 @@ def test_wrapped_notices_and_every_family_of_a_paragraph(spark):
     assert scan_paragraphs(df.union(df).withColumn("doc_id", F.lit(None).cast("long")), model).count() == 2 * len(cases)
     plan = out._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_paragraph_of_the_corpus_trains_and_calibrates(spark):
+    """More different paragraphs than are trained on at once: the loss over all of one half is at its least, the threshold is that of all windows of the other half."""
+    import numpy as np
+
+    from strongroom.llm.licences import NOTICES, PENALTY, by_template, examples_of, fit, pairs, paragraphs, train, vocabulary_of, words_of
+
+    known = sorted(p for p in vocabulary_of(NOTICES) if p.replace(" ", "").isalpha())[::9][:40]
+    text = lambda k: " zz ".join([known[k % 40], known[k * 7 // 40 % 40], known[k // 3 % 40]])
+    docs = spark.createDataFrame([(k, text(k)) for k in range(2400)] + [(k, text(k % 5)) for k in range(10_000)], "doc_id long, text string")
+    found = [(r["_held"], r["_n"], r["h"] % 2) for r in paragraphs(docs).withColumn("h", F.xxhash64("_held")).collect()]
+    shapes = [s for _, s, _ in by_template(NOTICES)]
+    counted = lambda held: len(held) > 1 and not any(2 * len(s & held) >= len(s) for s in shapes)
+    assert sum(n for _, n, _ in found) == sum(counted(pairs(words_of(text(k))) & set(vocabulary_of(NOTICES))) for k in [*range(2400), *(k % 5 for k in range(10_000))])
+    half = [h for h, _, odd in found if not odd]
+    assert len(half) > 100
+    model, old = fit(docs, train_rows=20), train(unknown=half[:20])
+
+    vocabulary = vocabulary_of(NOTICES)
+    rows = [(labels, held, 1.0) for labels, held in examples_of(NOTICES)] + [(set(), set(h), 20 / len(half)) for h in half]
+    x, y = np.zeros((len(rows), len(vocabulary) + 1)), np.zeros((len(rows), len(model.classes)))
+    x[:, -1] = 1
+    for k, (labels, held, _) in enumerate(rows):
+        x[k, [vocabulary[p] for p in held if p in vocabulary]] = 1
+        y[k, [model.classes.index(f) for f in labels]] = 1
+    share = np.array([w for _, _, w in rows])[:, None] / sum(w for _, _, w in rows)
+
+    def loss(m):
+        w = np.array([*[m.weights[p] for p in vocabulary], m.intercepts])
+        z = x @ w
+        slope = x.T @ (share * (1 / (1 + np.exp(-z)) - y))
+        slope[:-1] += PENALTY * w[:-1]
+        return (share * (np.logaddexp(0, z) - y * z)).sum() + PENALTY / 2 * (w[:-1] ** 2).sum(), np.abs(slope).max()
+
+    assert loss(model)[0] < loss(old)[0] and loss(model)[1] < 1e-3
+    # The alarm: no more than a share of 0.001 of all windows of the other half passes, unless changed notices need a lower threshold.
+    other = [(max(1 / (1 + np.exp(-(b + sum(model.weights[p][c] for p in h)))) for c, b in enumerate(model.intercepts)), n) for h, n, odd in found if odd]
+    loud = sum(n for s, n in other if s > model.threshold)
+    assert loud <= 0.001 * sum(n for _, n in other) or model.threshold == max(0.5, model.reach)
+
+
+def test_windows_equal_slices_of_words(spark):
+    import random
+
+    from strongroom.llm.licences import windows
+
+    rnd, known, span = random.Random(5), ["a b", "b c", "c a"], 4
+    lists = [[rnd.choice("abcd") for _ in range(n)] for n in range(30) for _ in range(3)]
+    got = spark.createDataFrame([(k, w) for k, w in enumerate(lists)], "k int, words array<string>").select("k", F.expr(windows("words", known, span)).alias("w")).collect()
+    for r in got:
+        w = lists[r.k]
+        want = []
+        for k in range(max(1, -(-len(w) // span) - 1)):
+            cut = w[k * span : (k + 2) * span]
+            want.append(list(dict.fromkeys(p for p in (f"{a} {b}" for a, b in zip(cut, cut[1:])) if p in known)))
+        assert r.w == want
