@@ -218,14 +218,13 @@ def train(templates: list[tuple[str, str]] = NOTICES, unknown: list[list[str]] =
 
 
 def train_spread(unknown: DataFrame, n_unknown: int, share: float, templates: list[tuple[str, str]] = NOTICES, penalty: float = PENALTY, confirm: float = 0.8,
-                 steps: int = 40, task_rows: int = 50_000, at_once: int = 6) -> LicenceModel:
+                 steps: int = 40, task_rows: int = 50_000) -> LicenceModel:
     """As :func:`train`, with all ``n_unknown`` rows of ``unknown`` (``_held``), which lie in Spark and weigh ``share`` each.
 
-    The same penalised loss, minimised by MLlib, ``at_once`` regressions at a time over one cached table."""
-    from multiprocessing.pool import ThreadPool
-
+    The same penalised loss, minimised by MLlib over one cached table.  One
+    regression is fit after the other: each is about 45 jobs, and those of
+    several at once fill the driver's heap, whatever the size of the input."""
     import numpy as np
-    from pyspark import inheritable_thread_target
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
@@ -238,9 +237,7 @@ def train_spread(unknown: DataFrame, n_unknown: int, share: float, templates: li
     counts = CountVectorizerModel.from_vocabulary(list(vocabulary), "_held", "_pairs")
     data = counts.setBinary(True).transform(rows).select("_pairs", "_labels", "_weight").persist()
     regression = LogisticRegression(featuresCol="_pairs", labelCol="_label", weightCol="_weight", regParam=penalty, standardization=False, maxIter=steps, family="binomial")
-    one = inheritable_thread_target(spark)(lambda family: regression.fit(data.withColumn("_label", F.array_contains("_labels", family).cast("double"))))
-    with ThreadPool(at_once) as pool:
-        found = pool.map(one, classes)
+    found = [regression.fit(data.withColumn("_label", F.array_contains("_labels", family).cast("double"))) for family in classes]
     weights = np.array([[*m.coefficients.toArray(), m.intercept] for m in found]).T
     data.unpersist()
     return model_of(templates, weights, confirm)
