@@ -232,8 +232,10 @@ def train_spread(unknown: DataFrame, n_unknown: int, share: float, templates: li
     classes, vocabulary = families_of(templates), vocabulary_of(templates)
     own = spark.createDataFrame([(sorted(held), sorted(labels), 1.0) for labels, held in examples_of(templates)], "_held array<string>, _labels array<string>, _weight double")
     rows = own.unionByName(unknown.select("_held", F.array().cast("array<string>").alias("_labels"), F.lit(share).alias("_weight")))
-    # Rows of a task in a fixed order, so that sums come out alike in each run.
-    rows = rows.repartition(-(-n_unknown // task_rows), "_held").sortWithinPartitions("_held", "_labels")
+    # Rows of a task in a fixed order, so that sums come out alike in each run.  Every step of a regression pays for each
+    # task, so there are as many as the rows need, also where shuffles are dealt out wider.
+    n_tasks = -(-n_unknown // task_rows)
+    rows = rows.repartition(n_tasks, "_held").coalesce(n_tasks).sortWithinPartitions("_held", "_labels")
     counts = CountVectorizerModel.from_vocabulary(list(vocabulary), "_held", "_pairs")
     data = counts.setBinary(True).transform(rows).select("_pairs", "_labels", "_weight").persist()
     regression = LogisticRegression(featuresCol="_pairs", labelCol="_label", weightCol="_weight", regParam=penalty, standardization=False, maxIter=steps, family="binomial")

@@ -192,19 +192,20 @@ def test_every_paragraph_of_the_corpus_trains_and_calibrates(spark):
 
 
 def test_one_regression_is_fit_after_the_other(spark, monkeypatch):
-    """Several at once fill the driver's heap; every family still gets its own regression over all rows."""
+    """Several at once fill the driver's heap; every family still gets its own regression over all rows, in as many tasks as the rows need."""
     import time
 
     from pyspark.ml.classification import LogisticRegression
 
     from strongroom.llm.licences import TEMPLATES, families_of, pairs, train_spread, words_of
 
-    fit, running, most, n_rows = LogisticRegression.fit, [], [], []
+    fit, running, most, n_rows, n_tasks = LogisticRegression.fit, [], [], [], []
 
     def watched(self, data, params=None):
         running.append(1)
         most.append(len(running))
         n_rows.append(data.count())
+        n_tasks.append(data.rdd.getNumPartitions())
         time.sleep(0.2)
         try:
             return fit(self, data, params)
@@ -212,11 +213,14 @@ def test_one_regression_is_fit_after_the_other(spark, monkeypatch):
             running.pop()
 
     monkeypatch.setattr(LogisticRegression, "fit", watched)
+    frame = type(spark.range(0))
+    wider = lambda self, n, *cols, f=frame.repartition: f(self, max(n, 30), *cols)
+    monkeypatch.setattr(frame, "repartition", wider)
     templates = [t for t in TEMPLATES if t[0] in ("mit", "bsd", "cc0", "mpl-2.0")]
     unknown = spark.createDataFrame([(sorted(pairs(words_of(f"of this software word{k} in source"))),) for k in range(60)], "_held array<string>")
     model = train_spread(unknown, 60, 0.5, templates, steps=5)
     assert model.classes == families_of(templates) and len(most) == len(model.classes) == 4
-    assert max(most) == 1
+    assert max(most) == 1 and max(n_tasks) == 1
     assert len(set(n_rows)) == 1 and n_rows[0] > 60
     # The weights tell the families apart: each notice scores highest in its own.
     for family, text in templates:
