@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strongroom.functions.hashing import _join, digest, hash_key, key_is_valid, normalise_key, pack, unpack
-from strongroom.operators.common import first_per_key, packed, text_columns, unpacked
-from strongroom.operators.specs import LOAD_DTS, REC_SRC, LinkSpec
+from strongroom.operators.common import first_per_key, packed, place, text_columns, unpacked
+from strongroom.operators.specs import LOAD_DTS, PLACE, REC_SRC, LinkSpec
 from strongroom.sources.io import cut_lineage
 
 
@@ -37,7 +37,9 @@ def link_candidates(stg: DataFrame | Sequence[DataFrame], spec: LinkSpec) -> Dat
     return out
 
 
-def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec: LinkSpec) -> DataFrame:
+def load_link(
+    stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec: LinkSpec, placed: bool = False, hashed: bool = True
+) -> DataFrame:
     """Rows to append: one per new link key, first seen and first source.
 
     Grouped on the text that the link key digests (as the hub load), so there
@@ -47,25 +49,33 @@ def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec
 
     Feeds that all hold the link key and the hub keys already (stage L2,
     ``stage_hashed``) are grouped on the link key and nothing is hashed.
+
+    ``placed``: the feeds are placed by the first part of this key.  They are
+    reduced where they lie, and the result is placed as well.  ``hashed=False`` gives the
+    texts that the keys digest in their columns, for plans that hash last.
     """
-    parts = spec.key_parts()
+    parts, at = spec.key_parts(), [PLACE] if placed else []
+    if link is not None and not hashed:
+        raise ValueError("stored links hold hashes")
     hashes = [spec.hk, *[hk for hk, _ in spec.refs]]
     staged = [stg] if isinstance(stg, DataFrame) else list(stg)
-    if all(c in f.columns for f in staged for c in hashes):
+    if hashed and all(c in f.columns for f in staged for c in hashes):
         cand = None
         for f in staged:
-            c = f.filter(key_is_valid(*parts)).select(*hashes, LOAD_DTS, REC_SRC, *spec.payload)
+            c = f.filter(key_is_valid(*parts)).select(*at, *hashes, LOAD_DTS, REC_SRC, *spec.payload)
             cand = c if cand is None else cand.unionByName(c)
-        new = first_per_key(packed(cand, held := text_columns(cand, hashes)), [spec.hk], [LOAD_DTS, REC_SRC, *hashes[1:]])
+        new = first_per_key(packed(cand, held := text_columns(cand, hashes)), [*at, spec.hk], [LOAD_DTS, REC_SRC, *hashes[1:]])
         if link is not None:
-            new = new.join(packed(link.select(spec.hk), [spec.hk]), spec.hk, "left_anti")
-        return unpacked(new, held)
+            on = [*(place(link) if placed else []), spec.hk]
+            new = new.join(packed(link.select(*on), [spec.hk]), on, "left_anti")
+        return unpacked(new, held).select(*hashes, LOAD_DTS, REC_SRC, *spec.payload, *at)
     # Of the hub keys' texts only the lengths go with the key text: of one key text, texts and lengths sort alike.
     ends = [f"_n{i}" for i in range(len(spec.refs) - 1)]
     cand = None
     for f in staged:
         texts = _ref_texts(spec)
         c = f.filter(key_is_valid(*parts)).select(
+            *at,
             _join(texts).alias("_key"),
             *[F.length(t).alias(n) for t, n in zip(texts, ends)],
             F.col(LOAD_DTS),
@@ -73,17 +83,19 @@ def load_link(stg: DataFrame | Sequence[DataFrame], link: DataFrame | None, spec
             *[F.col(p) for p in spec.payload],
         )
         cand = c if cand is None else cand.unionByName(c)
-    new = first_per_key(cand, ["_key"], [LOAD_DTS, REC_SRC, *ends])
+    new = first_per_key(cand, [*at, "_key"], [LOAD_DTS, REC_SRC, *ends])
     if link is not None:
         # Hashed again below: the join carries the key text and one packed hash.
         new = new.withColumn("_hk", pack(digest(F.col("_key"), spec.algo)))
-        new = new.join(link.select(pack(spec.hk).alias("_hk")), "_hk", "left_anti")
-    cols, at = [digest(F.col("_key"), spec.algo).alias(spec.hk)], F.lit(1)
+        on = place(link) if placed else []
+        new = new.join(link.select(*on, pack(spec.hk).alias("_hk")), [*on, "_hk"], "left_anti")
+    made = (lambda text: digest(text, spec.algo)) if hashed else (lambda text: text)
+    cols, begin = [made(F.col("_key")).alias(spec.hk)], F.lit(1)
     for (hk_col, _), n in zip(spec.refs, [*ends, None]):
-        text = F.substring(F.col("_key"), at, F.col(n) if n else F.length("_key"))
-        cols.append(digest(text, spec.algo).alias(hk_col))
-        at = at + F.col(n) + 1 if n else at
-    return new.select(*cols, F.col(LOAD_DTS), F.col(REC_SRC), *[F.col(p) for p in spec.payload])
+        text = F.substring(F.col("_key"), begin, F.col(n) if n else F.length("_key"))
+        cols.append(made(text).alias(hk_col))
+        begin = begin + F.col(n) + 1 if n else begin
+    return new.select(*cols, F.col(LOAD_DTS), F.col(REC_SRC), *[F.col(p) for p in spec.payload], *at)
 
 
 def _ref_texts(spec: LinkSpec) -> list[Column]:

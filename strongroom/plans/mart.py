@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strongroom.operators.common import hash_columns, next_value, packed, unpacked
+from strongroom.operators.common import hash_columns, next_value, packed, place, text_columns, unpacked
 from strongroom.operators.satellite import current, merge_timelines
 from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, SNAPSHOT_DTS
 
@@ -137,8 +137,10 @@ def fact(
     the optional links join on the same key, so Spark shuffles the link once
     by that key and reuses the partitioning across the three joins; the
     satellite joins on the link key.  ``link_cols`` are further columns of the
-    link; the keys it is joined by are taken in any case.
+    link; the keys it is joined by are taken in any case.  Where all tables are
+    placed by the hub's key, their rows are joined where they lie.
     """
+    at = place(link, hub, sat, *[olink for olink, _, _, _ in optional_links])
     if link_hk not in sat_keys:
         raise ValueError(f"the satellite's keys {list(sat_keys)} lack the link key {link_hk!r}")
     wanted = [link_hk, hub_hk, *[on for _, on, _, _ in optional_links], *link_cols, LOAD_DTS]
@@ -147,19 +149,19 @@ def fact(
         raise ValueError(f"the link has no {missing}")
     # All shuffles carry the hash keys packed.
     small = lambda df: packed(df, hash_columns(df))
-    out = link.select(*dict.fromkeys(wanted))
+    out = link.select(*at, *dict.fromkeys(wanted))
     hashes = hash_columns(out)
-    out = packed(out, hashes).join(small(hub.select(hub_hk, *hub_cols)), hub_hk, "inner")
+    out = packed(out, hashes).join(small(hub.select(*at, hub_hk, *hub_cols)), [*at, hub_hk], "inner")
     hashes += [c for c in hash_columns(hub.select(*hub_cols)) if c not in hashes]
     for olink, on, col, name in optional_links:
-        side = small(olink.select(*dict.fromkeys([on, col])))
-        out = out.join(side.select(on, F.col(col).alias(name)), on, "left")
+        side = small(olink.select(*at, *dict.fromkeys([on, col])))
+        out = out.join(side.select(*at, on, F.col(col).alias(name)), [*at, on], "left")
         hashes += [name] if hash_columns(olink.select(col)) else []
-    held = sat.select(*sat_keys, LOAD_DTS, HASH_DIFF, *measures)
-    cur = current(small(held), sat_keys)
-    cur = cur.select(*sat_keys, *measures)
+    held = sat.select(*at, *sat_keys, LOAD_DTS, HASH_DIFF, *measures)
+    cur = current(small(held), [*at, *sat_keys])
+    cur = cur.select(*at, *sat_keys, *measures)
     hashes += [c for c in hash_columns(held.select(*sat_keys, *measures)) if c not in hashes]
-    out = out.join(cur, link_hk, "left")
+    out = out.join(cur, [*at, link_hk], "left").drop(*at)
     return unpacked(out.filter(F.col(required).isNotNull()), hashes)
 
 
