@@ -166,8 +166,9 @@ def fact(
 
 
 def report(fact_df: DataFrame, dims: Sequence[tuple[DataFrame, str]], group: Sequence[str], measures: dict) -> DataFrame:
-    """Reporting table (M9): star join then group-by."""
+    """Reporting table (M9): star join then group-by.  The joins' shuffles carry text keys packed."""
     out = fact_df
     for dim, key in dims:
-        out = out.join(dim, key, "left")
+        texts = text_columns(out, [key]) if text_columns(dim, [key]) else []
+        out = unpacked(packed(out, texts).join(packed(dim, texts), key, "left"), texts)
     return out.groupBy(*group).agg(*[expr.alias(name) for name, expr in measures.items()])
