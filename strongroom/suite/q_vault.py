@@ -10,6 +10,7 @@ from strongroom.operators.hub import load_hub
 from strongroom.operators.link import ancestors, coarsen, exploration_link, load_link, load_nh_link, resolve_same_as, same_as_masters
 from strongroom.operators.specs import PLACE, HubSpec, LinkSpec
 from strongroom.sources import feeds
+from strongroom.sources.io import placing_session
 from strongroom.suite import model
 from strongroom.suite import sqlbits as S
 from strongroom.suite.registry import register
@@ -109,11 +110,11 @@ def q_link_order_payment(spark, d):
 # are absorbed, the first REC_SRC stays.
 @register("link_replay", LNK_ORDER_ITEM_SQL)
 def q_link_replay(spark, d):
-    stg = feeds.stg_orders(spark, d)
-    first = load_link(stg, None, model.LNK_ORDER_ITEM)
+    stg = model.stage_orders.placed(placing_session(spark), d)
+    first = load_link(stg, None, model.LNK_ORDER_ITEM, placed=True)
     other = stg.withColumn("REC_SRC", F.lit("ZZ_LATE_SOURCE"))
-    again = load_link(other, first, model.LNK_ORDER_ITEM)
-    return first.unionByName(again)
+    again = load_link(other, first, model.LNK_ORDER_ITEM, placed=True)
+    return first.unionByName(again).drop(PLACE)
 
 
 # L2: hierarchical link, the product hub imported twice (parent, child).
