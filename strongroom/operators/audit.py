@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strongroom.functions.hashing import _join, hash_key, normalise_key
 from strongroom.operators.checksums import differing_buckets, rows_of_buckets
 from strongroom.operators.common import HOT_KEY_BUCKET, null_safe_differs, packed, previous_value, text_columns, unpacked
-from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, REC_SRC
+from strongroom.operators.specs import HASH_DIFF, LOAD_DTS, PLACE, REC_SRC
 
 
 def audit_key_one_to_one(hub: DataFrame, hk: str, bk: Sequence[str]) -> DataFrame:
@@ -28,7 +28,7 @@ def audit_key_one_to_one(hub: DataFrame, hk: str, bk: Sequence[str]) -> DataFram
 
 def audit_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A2, A3, A4, A10: keys that occur more than once, with counts."""
-    texts = text_columns(df, keys)
+    texts = text_columns(df, [k for k in keys if k != PLACE])
     out = packed(df.select(*keys), texts).groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
     return unpacked(out.filter(F.col("occurrences") > 1), texts)
 
