@@ -244,8 +244,8 @@ TLNK_PURCHASE = LinkSpec(
     ),
 )
 def q_tlink(spark, d):
-    stg = feeds.stg_orders(spark, d).withColumn("ORDER_DATE", F.date_format("LOAD_DTS", "yyyy-MM-dd"))
-    return load_link(stg, None, TLNK_PURCHASE)
+    stg = feeds.stg_orders(spark, d, placed=True).withColumn("ORDER_DATE", F.date_format("LOAD_DTS", "yyyy-MM-dd"))
+    return load_link(stg, None, TLNK_PURCHASE, placed=True).drop(PLACE)
 
 
 # Grain coarsening: order x customer from the order-item link.
